@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import date_key, string_key
 from salesmart.operators.dims import clean_geo, geo_key
+from salesmart.operators.merge import keep_known
 from salesmart.schema import AMOUNT, RATE, SENTINEL
 
 NET_EXACT = "decimal(18,4)"    # qte * prixunit * (1 - remise) is exact at scale 4
@@ -59,12 +60,21 @@ def allocated_freight(port: str = "port", net: str = "montant_net", total: str =
 
 
 def fact_deliveries(commande: DataFrame, dim_client: DataFrame, dim_employe: DataFrame,
-                    dim_transporteur: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
-    """One row per order with a known customer and employee."""
-    orders = (commande
-              .join(dim_client.select("codecli"), "codecli", "left_semi")
-              .join(dim_employe.select("noemp"), "noemp", "left_semi")
-              .join(dim_transporteur.select("notran", "transporteur_key"), "notran", "left"))
+                    dim_transporteur: DataFrame, sentinels: Iterable[str] = (SENTINEL,),
+                    eager_checks: bool = False) -> DataFrame:
+    """One row per order with a known customer and employee.
+
+    ``eager_checks`` (used by the staged refresh) applies the row-loss
+    rules with ``keep_known`` — no shuffle of the orders when every
+    reference resolves; otherwise they stay lazy LEFT SEMI joins.
+    """
+    if eager_checks:
+        orders = keep_known(keep_known(commande, "codecli", dim_client), "noemp", dim_employe)
+    else:
+        orders = (commande
+                  .join(dim_client.select("codecli"), "codecli", "left_semi")
+                  .join(dim_employe.select("noemp"), "noemp", "left_semi"))
+    orders = orders.join(dim_transporteur.select("notran", "transporteur_key"), "notran", "left")
     return _fact_deliveries(orders, sentinels)
 
 
@@ -90,7 +100,8 @@ def _fact_deliveries(orders: DataFrame, sentinels: Iterable[str]) -> DataFrame:
     )
 
 
-def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame) -> DataFrame:
+def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame,
+               eager_checks: bool = False) -> DataFrame:
     """One row per order line whose order and product are known.
 
     ``deliveries`` is the order-grain fact (E12): it already carries the
@@ -98,12 +109,15 @@ def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame)
     source load applies to the lines.
     """
     lines = line_amounts(detail).withColumn("ventes_key", F.monotonically_increasing_id())
+    if eager_checks:
+        lines = keep_known(lines, "refprod", dim_produit)
     totals = order_net_total(line_amounts(detail))
     header = deliveries.select(
         "nocom", F.col("datecom_key").alias("date_key"), "client_key", "employe_key",
         "transporteur_key", "geo_key", "port", "annee")
-    enriched = (lines.join(totals, "nocom").join(header, "nocom")
-                .join(dim_produit.select("refprod"), "refprod", "left_semi"))
+    enriched = lines.join(totals, "nocom").join(header, "nocom")
+    if not eager_checks:
+        enriched = enriched.join(dim_produit.select("refprod"), "refprod", "left_semi")
     return enriched.select(
         "ventes_key", "date_key", "client_key", "employe_key", "transporteur_key",
         F.col("refprod").alias("produit_key"), "geo_key", "nocom", "qte", "prixunit",

@@ -34,3 +34,29 @@ def insert_if_absent(existing: DataFrame | None, new: DataFrame, key: Sequence[s
     cond = reduce(lambda a, b: a & b, [batch[k].eqNullSafe(existing[k]) for k in key])
     absent = batch.join(existing, cond, "left_anti")
     return existing.unionByName(absent)
+
+
+def keep_known(df: DataFrame, key: str, dim: DataFrame, dim_key: str | None = None,
+               max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Rows of ``df`` whose ``key`` exists in ``dim`` — an inner-join row-loss
+    rule, without shuffling ``df`` when nothing needs to be dropped.
+
+    The distinct keys of ``df`` (a partial aggregate: at most one row per
+    key and task is shuffled) are anti-joined with the dimension. That
+    count runs now (one number to the driver):
+
+    * 0 missing keys → ``df`` unchanged (NULL keys removed), no join;
+    * a few → broadcast anti-join of the missing keys (size checked just
+      above, so the broadcast is bounded);
+    * more → the plain LEFT SEMI join, which Spark shuffles.
+    """
+    dim_key = dim_key or key
+    known = dim.select(F.col(dim_key).alias(key))
+    present = df.filter(F.col(key).isNotNull())
+    missing = present.select(key).distinct().join(known, key, "left_anti")
+    n_missing = missing.count()
+    if n_missing == 0:
+        return present
+    if n_missing <= max_broadcast_rows:
+        return present.join(F.broadcast(missing), key, "left_anti")
+    return present.join(known, key, "left_semi")

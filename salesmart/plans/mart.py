@@ -32,14 +32,9 @@ DIM_KEYS = {
 }
 
 
-def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mart | None = None) -> Mart:
-    """Dimensions first, then deliveries, then sales (the source load order).
-
-    With ``existing``, dimensions are loaded insert-if-absent (E10):
-    members already in the mart keep their row, new ones are added. Facts
-    are always rebuilt from the sources (lines have no natural key, so an
-    append could not be made idempotent).
-    """
+def build_dims(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,),
+               existing: Mart | None = None) -> dict[str, DataFrame]:
+    """The six dimensions (E2, E4–E8), insert-if-absent into ``existing``."""
     s = tuple(sentinels)
     new = {
         "dim_temps": dims.dim_date(oltp.commande),
@@ -51,6 +46,20 @@ def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
     }
     if existing is not None:
         new = {name: insert_if_absent(getattr(existing, name), df, DIM_KEYS[name]) for name, df in new.items()}
+    return new
+
+
+def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mart | None = None) -> Mart:
+    """Lazy star schema: dimensions, then deliveries, then sales (the
+    source load order), as one plan per table.
+
+    With ``existing``, dimensions are loaded insert-if-absent (E10):
+    members already in the mart keep their row, new ones are added. Facts
+    are always rebuilt from the sources (lines have no natural key, so an
+    append could not be made idempotent).
+    """
+    s = tuple(sentinels)
+    new = build_dims(oltp, s, existing)
     liv = facts.fact_deliveries(oltp.commande, new["dim_client"], new["dim_employe"],
                                 new["dim_transporteur"], s)
     ventes = facts.fact_sales(oltp.detailcommande, liv, new["dim_produit"])
@@ -61,13 +70,47 @@ def _table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+FACT_SORT = {"fait_livraisons": "datecom_key", "fait_ventes": "date_key"}
+
+
+def write_table(name: str, df: DataFrame, root: str, mode: str = "overwrite") -> None:
+    """S5 for one table. Facts are partitioned by ``annee`` and sorted by
+    date inside each task: one open file per task at a time, and row
+    groups with tight ``date_key`` ranges for pushed-down date filters."""
+    path = _table_path(root, name)
+    if name in FACTS:
+        df.sortWithinPartitions("annee", FACT_SORT[name]).write.mode(mode).partitionBy("annee").parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
+
+
 def write_mart(mart: Mart, root: str, mode: str = "overwrite") -> None:
-    """Parquet per table; facts partitioned by ``annee``."""
+    """Parquet per table, each table from its own lazy plan."""
     for name, df in mart.tables().items():
-        w = df.write.mode(mode)
-        if name in FACTS:
-            w = w.partitionBy("annee")
-        w.parquet(_table_path(root, name))
+        write_table(name, df, root, mode)
+
+
+def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
+              existing: Mart | None = None) -> Mart:
+    """Staged load into ``root``: dimensions are written and read back,
+    then the delivery fact, read back as the order header of the sales
+    fact. Each stage reads the previous one's files, so lineage stays
+    short (a lost executor only recomputes the current stage), join
+    strategies are chosen on exact file sizes, and the row-loss rules
+    run as integrity checks (``keep_known``) rather than fact shuffles.
+    """
+    spark = oltp.commande.sparkSession
+    s = tuple(sentinels)
+    for name, df in build_dims(oltp, s, existing).items():
+        write_table(name, df, root)
+    d = {name: spark.read.parquet(_table_path(root, name)) for name in DIM_KEYS}
+    liv = facts.fact_deliveries(oltp.commande, d["dim_client"], d["dim_employe"], d["dim_transporteur"], s,
+                                eager_checks=True)
+    write_table("fait_livraisons", liv, root)
+    liv = spark.read.parquet(_table_path(root, "fait_livraisons"))
+    ventes = facts.fact_sales(oltp.detailcommande, liv, d["dim_produit"], eager_checks=True)
+    write_table("fait_ventes", ventes, root)
+    return read_mart(spark, root)
 
 
 def read_mart(spark: SparkSession, root: str) -> Mart:
@@ -90,8 +133,7 @@ def refresh(spark: SparkSession, oltp: Oltp, root: str, sentinels: Iterable[str]
     previous = current_version(spark, root)
     existing = read_mart(spark, f"{root.rstrip('/')}/{previous}") if (incremental and previous) else None
     version = f"v-{uuid.uuid4().hex[:12]}"
-    mart = build_mart(oltp, sentinels, existing)
-    write_mart(mart, f"{root.rstrip('/')}/{version}")
+    load_mart(oltp, f"{root.rstrip('/')}/{version}", sentinels, existing)
     spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
         _current_pointer(root))
     return read_mart(spark, f"{root.rstrip('/')}/{version}")

@@ -38,18 +38,6 @@ def context(spark: SparkSession, sf_dir: str) -> tuple[Oltp, Mart]:
     return _CACHE[key]
 
 
-def _m(fn: Callable[[Mart], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(context(spark, sf_dir)[1])
-
-
-def _o(fn: Callable[[Oltp], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(context(spark, sf_dir)[0])
-
-
-def _om(fn: Callable[[Oltp, Mart], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: fn(*context(spark, sf_dir))
-
-
 # ------------------------------------------------------------ load views
 def q_date_bounds(o: Oltp) -> DataFrame:
     return dims.date_bounds(o.commande)
@@ -172,85 +160,105 @@ def q_dim_date(m: Mart) -> DataFrame:
     return m.dim_temps
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+OPERATORS: dict[str, tuple[str, Callable]] = {
     # finance business queries
-    "f1_discounts": _m(finance.f1_discounts),
-    "f2_revenue_product": _m(finance.f2_revenue_product),
-    "f3_revenue_country": _m(finance.f3_revenue_country),
-    "f4_revenue_carrier": _m(finance.f4_revenue_carrier),
-    "f5_orders_employee_customer": _m(finance.f5_orders_employee_customer),
-    "f6_revenue_supplier_product": _m(finance.f6_revenue_supplier_product),
-    "f7_freight_carrier": _m(finance.f7_freight_carrier),
-    "f8_top_customers_period": _m(finance.f8_top_customers_period),
+    "f1_discounts": ("mart", finance.f1_discounts),
+    "f2_revenue_product": ("mart", finance.f2_revenue_product),
+    "f3_revenue_country": ("mart", finance.f3_revenue_country),
+    "f4_revenue_carrier": ("mart", finance.f4_revenue_carrier),
+    "f5_orders_employee_customer": ("mart", finance.f5_orders_employee_customer),
+    "f6_revenue_supplier_product": ("mart", finance.f6_revenue_supplier_product),
+    "f7_freight_carrier": ("mart", finance.f7_freight_carrier),
+    "f8_top_customers_period": ("mart", finance.f8_top_customers_period),
     # logistics business queries
-    "l1_date_gaps": _m(logistics.l1_date_gaps),
-    "l2_reorder": _m(logistics.l2_reorder),
-    "l3_qty_zone": _m(logistics.l3_qty_zone),
-    "l4_same_country_supplier": _m(logistics.l4_same_country_supplier),
-    "l5_shipping_delay": _m(logistics.l5_shipping_delay),
+    "l1_date_gaps": ("mart", logistics.l1_date_gaps),
+    "l2_reorder": ("mart", logistics.l2_reorder),
+    "l3_qty_zone": ("mart", logistics.l3_qty_zone),
+    "l4_same_country_supplier": ("mart", logistics.l4_same_country_supplier),
+    "l5_shipping_delay": ("mart", logistics.l5_shipping_delay),
     # views, first file
-    "v_revenue_period": _m(finance.v_revenue_period),
-    "v_revenue_product_full": _m(finance.v_revenue_product_full),
-    "v_revenue_delivery_country": _m(finance.v_revenue_delivery_country),
-    "v_revenue_carrier": _m(finance.v_revenue_carrier),
-    "v_discounts_agg": _m(finance.v_discounts_agg),
-    "v_delays": _m(logistics.v_delays),
-    "v_qty_zone_all": _m(logistics.v_qty_zone_all),
-    "v_carrier_stats": _m(logistics.v_carrier_stats),
+    "v_revenue_period": ("mart", finance.v_revenue_period),
+    "v_revenue_product_full": ("mart", finance.v_revenue_product_full),
+    "v_revenue_delivery_country": ("mart", finance.v_revenue_delivery_country),
+    "v_revenue_carrier": ("mart", finance.v_revenue_carrier),
+    "v_discounts_agg": ("mart", finance.v_discounts_agg),
+    "v_delays": ("mart", logistics.v_delays),
+    "v_qty_zone_all": ("mart", logistics.v_qty_zone_all),
+    "v_carrier_stats": ("mart", logistics.v_carrier_stats),
     # views, second file
-    "vf1_discounts": _m(finance.vf1_discounts),
-    "vf2_revenue_product": _m(finance.vf2_revenue_product),
-    "vf2_revenue_category": _m(finance.vf2_revenue_category),
-    "vf3_revenue_country": _m(finance.vf3_revenue_country),
-    "vf4_revenue_carrier": _m(finance.vf4_revenue_carrier),
-    "vf5_orders_employee": _m(finance.vf5_orders_employee),
-    "vf5_avg_discount_customer": _m(finance.vf5_avg_discount_customer),
-    "vf6_supplier_product": _m(finance.vf6_supplier_product),
-    "vf7_freight_carrier": _m(finance.vf7_freight_carrier),
-    "vf8_top_customers": _m(finance.vf8_top_customers),
-    "vl1_largest_delays": _m(logistics.vl1_largest_delays),
-    "vl2_reorder": _o(logistics.vl2_reorder),
-    "vl3_qty_zone": _m(logistics.vl3_qty_zone),
-    "vl4_same_region_supplier": _o(logistics.vl4_same_region_supplier),
-    "vl5_late_rate_carrier": _m(logistics.vl5_late_rate_carrier),
+    "vf1_discounts": ("mart", finance.vf1_discounts),
+    "vf2_revenue_product": ("mart", finance.vf2_revenue_product),
+    "vf2_revenue_category": ("mart", finance.vf2_revenue_category),
+    "vf3_revenue_country": ("mart", finance.vf3_revenue_country),
+    "vf4_revenue_carrier": ("mart", finance.vf4_revenue_carrier),
+    "vf5_orders_employee": ("mart", finance.vf5_orders_employee),
+    "vf5_avg_discount_customer": ("mart", finance.vf5_avg_discount_customer),
+    "vf6_supplier_product": ("mart", finance.vf6_supplier_product),
+    "vf7_freight_carrier": ("mart", finance.vf7_freight_carrier),
+    "vf8_top_customers": ("mart", finance.vf8_top_customers),
+    "vl1_largest_delays": ("mart", logistics.vl1_largest_delays),
+    "vl2_reorder": ("oltp", logistics.vl2_reorder),
+    "vl3_qty_zone": ("mart", logistics.vl3_qty_zone),
+    "vl4_same_region_supplier": ("oltp", logistics.vl4_same_region_supplier),
+    "vl5_late_rate_carrier": ("mart", logistics.vl5_late_rate_carrier),
     # load (ETL) operators
-    "date_bounds": _o(q_date_bounds),
-    "dim_date": _m(q_dim_date),
-    "null_if_sentinel": _m(q_null_if_sentinel),
-    "dim_customer": _m(q_dim_customer),
-    "dim_employee": _m(q_dim_employee),
-    "dim_carrier": _m(q_dim_carrier),
-    "dim_delivery_geo": _m(q_dim_geo),
-    "dim_product": _m(q_dim_product),
-    "surrogate_key": _m(q_surrogate_key),
-    "insert_if_absent": _o(q_insert_if_absent),
-    "date_key": _m(q_date_key),
-    "fact_deliveries": _m(q_fact_deliveries),
-    "line_amounts": _o(q_line_amounts),
-    "order_net_total": _o(q_order_net_total),
-    "allocate_freight": _m(q_allocate_freight),
-    "fact_sales": _m(q_fact_sales),
-    "null_safe_geo_lookup": _m(q_null_safe_geo_lookup),
-    "refresh": _m(q_refresh),
+    "date_bounds": ("oltp", q_date_bounds),
+    "dim_date": ("mart", q_dim_date),
+    "null_if_sentinel": ("mart", q_null_if_sentinel),
+    "dim_customer": ("mart", q_dim_customer),
+    "dim_employee": ("mart", q_dim_employee),
+    "dim_carrier": ("mart", q_dim_carrier),
+    "dim_delivery_geo": ("mart", q_dim_geo),
+    "dim_product": ("mart", q_dim_product),
+    "surrogate_key": ("mart", q_surrogate_key),
+    "insert_if_absent": ("oltp", q_insert_if_absent),
+    "date_key": ("mart", q_date_key),
+    "fact_deliveries": ("mart", q_fact_deliveries),
+    "line_amounts": ("oltp", q_line_amounts),
+    "order_net_total": ("oltp", q_order_net_total),
+    "allocate_freight": ("mart", q_allocate_freight),
+    "fact_sales": ("mart", q_fact_sales),
+    "null_safe_geo_lookup": ("mart", q_null_safe_geo_lookup),
+    "refresh": ("mart", q_refresh),
     # period and report layer
-    "period_filter": _m(lambda m: finance.f2_revenue_product(m, EXAMPLE_PERIOD)),
-    "period_grain": _m(lambda m: finance.f5_orders_employee_customer(m, grain="trimestre")),
-    "slicer": _m(lambda m: report_layer.slicer(logistics.l3_qty_zone(m), EXAMPLE_SLICER)),
-    "kpi_finance": _m(report_layer.kpi_finance),
-    "kpi_shipments": _m(report_layer.kpi_shipments),
-    "price_vs_quantity": _m(report_layer.price_vs_quantity),
-    "discount_distribution": _m(report_layer.discount_distribution),
-    "top_n": _m(report_layer.top_customers_per_year),
-    "supplier_product_matrix": _m(report_layer.supplier_product_matrix),
-    "role_date_report": _m(report_layer.role_date_report),
-    "gap_direction": _m(report_layer.gap_direction),
+    "period_filter": ("mart", lambda m: finance.f2_revenue_product(m, EXAMPLE_PERIOD)),
+    "period_grain": ("mart", lambda m: finance.f5_orders_employee_customer(m, grain="trimestre")),
+    "slicer": ("mart", lambda m: report_layer.slicer(logistics.l3_qty_zone(m), EXAMPLE_SLICER)),
+    "kpi_finance": ("mart", report_layer.kpi_finance),
+    "kpi_shipments": ("mart", report_layer.kpi_shipments),
+    "price_vs_quantity": ("mart", report_layer.price_vs_quantity),
+    "discount_distribution": ("mart", report_layer.discount_distribution),
+    "top_n": ("mart", report_layer.top_customers_per_year),
+    "supplier_product_matrix": ("mart", report_layer.supplier_product_matrix),
+    "role_date_report": ("mart", report_layer.role_date_report),
+    "gap_direction": ("mart", report_layer.gap_direction),
     # data quality
-    "dq_revenue_reconciliation": _om(quality.dq_revenue_reconciliation),
-    "dq_order_count": _om(quality.dq_order_count),
-    "dq_unique_keys": _om(quality.dq_unique_keys),
-    "dq_foreign_keys": _om(quality.dq_foreign_keys),
-    "dq_line_checks": _o(quality.dq_line_checks),
-    "dq_not_null": _m(quality.dq_not_null),
-    "dq_orders_without_lines": _o(quality.dq_orders_without_lines),
-    "dq_freight_residual": _m(quality.dq_freight_residual),
+    "dq_revenue_reconciliation": ("both", quality.dq_revenue_reconciliation),
+    "dq_order_count": ("both", quality.dq_order_count),
+    "dq_unique_keys": ("both", quality.dq_unique_keys),
+    "dq_foreign_keys": ("both", quality.dq_foreign_keys),
+    "dq_line_checks": ("oltp", quality.dq_line_checks),
+    "dq_not_null": ("mart", quality.dq_not_null),
+    "dq_orders_without_lines": ("oltp", quality.dq_orders_without_lines),
+    "dq_freight_residual": ("mart", quality.dq_freight_residual),
 }
+
+
+def apply(name: str, oltp: Oltp, mart: Mart) -> DataFrame:
+    """Run operator ``name`` on given source tables and mart."""
+    kind, fn = OPERATORS[name]
+    if kind == "mart":
+        return fn(mart)
+    if kind == "oltp":
+        return fn(oltp)
+    return fn(oltp, mart)
+
+
+def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return apply(name, *context(spark, sf_dir))
+    run.__name__ = name
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _query(name) for name in OPERATORS}
