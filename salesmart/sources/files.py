@@ -7,6 +7,7 @@ malformed record instead of silently turning it into NULLs.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesmart.plans.model import Oltp
@@ -38,3 +39,16 @@ def write_oltp(oltp: Oltp, root: str, mode: str = "overwrite") -> None:
     """Persist source tables (e.g. a snapshot taken before a refresh)."""
     for name, df in oltp.tables().items():
         df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
+
+
+def from_rows(spark: SparkSession, name: str, rows: list[tuple | dict]) -> DataFrame:
+    """A small reference table given as literal rows (categories,
+    carriers, employees), typed by the declared schema. Values are cast
+    explicitly (e.g. a manager number written as the text '2')."""
+    schema = OLTP_SCHEMAS[name]
+    as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    norm = [tuple(None if (r.get(f.name) if isinstance(r, dict) else r[i]) is None
+                  else str(r.get(f.name) if isinstance(r, dict) else r[i])
+                  for i, f in enumerate(schema.fields)) for r in rows]
+    df = spark.createDataFrame(norm, as_text)
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

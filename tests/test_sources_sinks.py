@@ -70,3 +70,20 @@ def test_mart_write_read_publish_export(spark, edge_mart, tmp_root):
     assert len(parts) == 1
     with open(f"{tmp_root}/kpi/{parts[0]}") as fh:
         assert fh.readline().startswith("ca_net,ca_brut")
+
+
+def test_literal_rows_source_casts_explicitly(spark):
+    from salesmart.sources.files import from_rows
+
+    df = from_rows(spark, "employe", [dict(noemp=1, nom="A"), dict(noemp="2", nom="B", rendcomptea="1")])
+    assert [(r.noemp, r.rendcomptea) for r in df.orderBy("noemp").collect()] == [(1, None), (2, 1)]
+    assert dict(df.dtypes)["noemp"] == "int"
+
+
+def test_register_views(spark, edge_oltp, edge_mart):
+    from salesmart.plans.views import register_views
+
+    names = register_views(spark, edge_oltp, edge_mart, ["vf7_freight_carrier", "kpi_finance"])
+    assert "fait_ventes" in names
+    assert spark.sql("SELECT nb_lignes FROM kpi_finance").collect()[0][0] == 8
+    assert spark.sql("SELECT COUNT(*) FROM fait_livraisons").collect()[0][0] == 7
