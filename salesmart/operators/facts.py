@@ -5,7 +5,7 @@ Plan at scale (one order may carry a third of all lines):
 * order totals (E14) are a partial aggregate of the lines joined back on
   ``nocom`` — not a window, which would put every line of a hot order
   into one task;
-* lines ⋈ totals ⋈ orders are all keyed on ``nocom`` and share one
+* totals ⋈ orders, then lines ⋈ that, all keyed on ``nocom``: one
   hash partitioning (one exchange per input); AQE's skew-join splits a
   hot order's partition on the line side and replicates the one-row
   total/header side;
@@ -115,7 +115,9 @@ def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame,
     header = deliveries.select(
         "nocom", F.col("datecom_key").alias("date_key"), "client_key", "employe_key",
         "transporteur_key", "geo_key", "port", "annee")
-    enriched = lines.join(totals, "nocom").join(header, "nocom")
+    # totals and header are both order-grain: join them first, so the lines
+    # meet one order-side input (one hash join instead of two)
+    enriched = lines.join(totals.join(header, "nocom"), "nocom")
     if not eager_checks:
         enriched = enriched.join(dim_produit.select("refprod"), "refprod", "left_semi")
     return enriched.select(

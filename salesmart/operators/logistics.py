@@ -77,9 +77,11 @@ def l4_same_country_supplier(mart: Mart) -> DataFrame:
            .select("nocom", F.col("fournisseur_pays").alias("paysliv"), "fournisseur_societe").distinct())
     orders = (mart.fait_livraisons.select("nocom", "geo_key")
               .join(mart.dim_geo.select("geo_key", "paysliv").filter(F.col("paysliv").isNotNull()), "geo_key"))
+    # ``sup`` is distinct and ``orders`` has one row per order (its key), so
+    # the join output is already DISTINCT: no final de-duplication shuffle.
     out = orders.join(sup, ["nocom", "paysliv"]).select(
         "nocom", "paysliv", F.col("paysliv").alias("fournisseur_pays"), "fournisseur_societe")
-    return out.distinct().orderBy("nocom")
+    return out.orderBy("nocom")
 
 
 # --------------------------------------------------------------------- L5
@@ -165,8 +167,10 @@ def vl4_same_region_supplier(oltp: Oltp, sentinels=(SENTINEL,)) -> DataFrame:
            .select("nocom", "nofour", "fournisseur", "region_fournisseur").distinct()
            .withColumn("_rf", clean("region_fournisseur", s)))
     cmd = oltp.commande.select(F.col("nocom").alias("_nocom"), "regionliv").withColumn("_rc", clean("regionliv", s))
+    # ``sup`` is distinct and an order has one header (source key): the
+    # join output is already DISTINCT.
     out = sup.join(cmd, (sup.nocom == cmd._nocom) & sup._rf.eqNullSafe(cmd._rc))
-    return out.select("nocom", "regionliv", "nofour", "fournisseur", "region_fournisseur").distinct()
+    return out.select("nocom", "regionliv", "nofour", "fournisseur", "region_fournisseur")
 
 
 def vl5_late_rate_carrier(mart: Mart) -> DataFrame:
