@@ -49,7 +49,7 @@ def l2_reorder(mart: Mart) -> DataFrame:
                      & F.col("niveaureap").isNotNull() & (dispo < F.col("niveaureap")))
             .select("refprod", "nomprod", "nomcateg", "fournisseur_societe", "unitesstock", "unitescom",
                     "niveaureap", dispo.alias("stock_dispo"))
-            .orderBy(F.col("stock_dispo").asc_nulls_last(), F.col("niveaureap").desc_nulls_first()))
+            .orderBy(F.col("stock_dispo").asc_nulls_last(), F.col("niveaureap").desc_nulls_first(), "refprod"))
 
 
 # --------------------------------------------------------------------- L3
@@ -108,7 +108,7 @@ def v_delays(mart: Mart) -> DataFrame:
     out = (fl.join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"), "transporteur_key", "left")
            .join(mart.dim_geo.select("geo_key", *GEO3), "geo_key", "left"))
     return out.select("nocom", "notran", "nomtran", *GEO3, "retard_jours", "delai_envoi_jours",
-                      to_money(F.col("port")).alias("port")).orderBy(F.col("retard_jours").desc())
+                      to_money(F.col("port")).alias("port")).orderBy(F.col("retard_jours").desc(), "nocom")
 
 
 def v_qty_zone_all(mart: Mart) -> DataFrame:
@@ -145,7 +145,7 @@ def vl2_reorder(oltp: Oltp) -> DataFrame:
     dispo = F.col("unitesstock") - F.col("unitescom")
     return (oltp.produit.filter(dispo < F.col("niveaureap"))
             .select("refprod", "nomprod", "unitesstock", "unitescom", "niveaureap", dispo.alias("stock_dispo"))
-            .orderBy(F.col("stock_dispo").asc_nulls_last()))
+            .orderBy(F.col("stock_dispo").asc_nulls_last(), "refprod"))
 
 
 def vl3_qty_zone(mart: Mart) -> DataFrame:
