@@ -2,13 +2,13 @@
 
 Plan at scale (one order may carry a third of all lines):
 
-* order totals (E14) are a partial aggregate of the lines joined back on
-  ``nocom`` — not a window, which would put every line of a hot order
-  into one task;
-* totals ⋈ orders, then lines ⋈ that, all keyed on ``nocom``: one
-  hash partitioning (one exchange per input); AQE's skew-join splits a
-  hot order's partition on the line side and replicates the one-row
-  total/header side;
+* order totals (E14) are a partial aggregate of the lines, stored on the
+  order-grain fact — not a window, which would put every line of a hot
+  order into one task;
+* the sales fact is then one two-input join, lines ⋈ order fact on
+  ``nocom``; with the order fact read back from its files (staged load)
+  both inputs are plain shuffles, and AQE's skew-join splits a hot
+  order's partition on the line side, replicating the one-row order side;
 * dimension keys are computed, not looked up (``salesmart.functions.keys``);
   the inner joins of the source load that drop rows without a customer,
   employee or product survive as LEFT SEMI joins, which Spark broadcasts
@@ -59,11 +59,17 @@ def allocated_freight(port: str = "port", net: str = "montant_net", total: str =
     return F.when(F.col(total) > 0, share).otherwise(F.lit(0)).cast(AMOUNT)
 
 
-def fact_deliveries(commande: DataFrame, dim_client: DataFrame, dim_employe: DataFrame,
+def fact_deliveries(commande: DataFrame, detail: DataFrame, dim_client: DataFrame, dim_employe: DataFrame,
                     dim_transporteur: DataFrame, sentinels: Iterable[str] = (SENTINEL,),
                     eager_checks: bool = False) -> DataFrame:
     """One row per order with a known customer and employee.
 
+    Besides the source columns it keeps ``total_net``, the order's net
+    total over all its lines (E14, NULL for an order without lines): the
+    denominator of the freight allocation. Storing it here makes the sales
+    fact a two-input join of lines with this table, which AQE can split
+    when one order holds a large share of the lines.
+
     ``eager_checks`` (used by the staged refresh) applies the row-loss
     rules with ``keep_known`` — no shuffle of the orders when every
     reference resolves; otherwise they stay lazy LEFT SEMI joins.
@@ -74,14 +80,15 @@ def fact_deliveries(commande: DataFrame, dim_client: DataFrame, dim_employe: Dat
         orders = (commande
                   .join(dim_client.select("codecli"), "codecli", "left_semi")
                   .join(dim_employe.select("noemp"), "noemp", "left_semi"))
-    orders = orders.join(dim_transporteur.select("notran", "transporteur_key"), "notran", "left")
+    orders = (orders.join(dim_transporteur.select("notran", "transporteur_key"), "notran", "left")
+              .join(order_net_total(line_amounts(detail)), "nocom", "left"))
     return _fact_deliveries(orders, sentinels)
 
 
 def _fact_deliveries(orders: DataFrame, sentinels: Iterable[str]) -> DataFrame:
     dateenv, dateobj, datecom = F.col("dateenv"), F.col("dateobjliv"), F.col("datecom")
     cleaned = orders.select(
-        "nocom", "codecli", "noemp", "transporteur_key", "datecom", "dateenv", "dateobjliv", "port",
+        "nocom", "codecli", "noemp", "transporteur_key", "datecom", "dateenv", "dateobjliv", "port", "total_net",
         *clean_geo(sentinels))
     return cleaned.select(
         F.col("nocom").alias("liv_key"),
@@ -96,6 +103,7 @@ def _fact_deliveries(orders: DataFrame, sentinels: Iterable[str]) -> DataFrame:
         F.datediff(dateenv, datecom).alias("delai_envoi_jours"),
         F.when(dateenv.isNotNull() & dateobj.isNotNull(),
                F.greatest(F.lit(0), F.datediff(dateenv, dateobj))).alias("retard_jours"),
+        "total_net",
         F.year(datecom).alias("annee"),
     )
 
@@ -105,19 +113,18 @@ def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame,
     """One row per order line whose order and product are known.
 
     ``deliveries`` is the order-grain fact (E12): it already carries the
-    order's keys and applies the customer / employee row-loss rules the
-    source load applies to the lines.
+    order's keys and net total, and applies the customer / employee
+    row-loss rules the source load applies to the lines. Read back from
+    its files (staged load), the join below has two shuffled inputs, the
+    shape AQE's skew-join handles.
     """
     lines = line_amounts(detail).withColumn("ventes_key", F.monotonically_increasing_id())
     if eager_checks:
         lines = keep_known(lines, "refprod", dim_produit)
-    totals = order_net_total(line_amounts(detail))
     header = deliveries.select(
         "nocom", F.col("datecom_key").alias("date_key"), "client_key", "employe_key",
-        "transporteur_key", "geo_key", "port", "annee")
-    # totals and header are both order-grain: join them first, so the lines
-    # meet one order-side input (one hash join instead of two)
-    enriched = lines.join(totals.join(header, "nocom"), "nocom")
+        "transporteur_key", "geo_key", "port", "total_net", "annee")
+    enriched = lines.join(header, "nocom")
     if not eager_checks:
         enriched = enriched.join(dim_produit.select("refprod"), "refprod", "left_semi")
     return enriched.select(

@@ -60,7 +60,7 @@ def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
     """
     s = tuple(sentinels)
     new = build_dims(oltp, s, existing)
-    liv = facts.fact_deliveries(oltp.commande, new["dim_client"], new["dim_employe"],
+    liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, new["dim_client"], new["dim_employe"],
                                 new["dim_transporteur"], s)
     ventes = facts.fact_sales(oltp.detailcommande, liv, new["dim_produit"])
     return Mart(fait_livraisons=liv, fait_ventes=ventes, **new)
@@ -104,8 +104,8 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
     for name, df in build_dims(oltp, s, existing).items():
         write_table(name, df, root)
     d = {name: spark.read.parquet(_table_path(root, name)) for name in DIM_KEYS}
-    liv = facts.fact_deliveries(oltp.commande, d["dim_client"], d["dim_employe"], d["dim_transporteur"], s,
-                                eager_checks=True)
+    liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"],
+                                d["dim_transporteur"], s, eager_checks=True)
     write_table("fait_livraisons", liv, root)
     liv = spark.read.parquet(_table_path(root, "fait_livraisons"))
     ventes = facts.fact_sales(oltp.detailcommande, liv, d["dim_produit"], eager_checks=True)
