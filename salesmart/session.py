@@ -41,11 +41,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a fresh local one only if unset."""
+    """The session's checkpoint folder (shared storage on a cluster).
+
+    Only a local-mode session (tests, a laptop) gets a fresh local folder
+    when none is configured; on a cluster a machine-local folder would be
+    invisible to the other executors, so an unset setting is an error.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on storage shared by the cluster")
         d = tempfile.mkdtemp(prefix="salesmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
