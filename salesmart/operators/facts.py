@@ -11,8 +11,10 @@ Plan at scale (one order may carry a third of all lines):
   order's partition on the line side, replicating the one-row order side;
 * dimension keys are computed, not looked up (``salesmart.functions.keys``);
   the inner joins of the source load that drop rows without a customer,
-  employee or product survive as LEFT SEMI joins, which Spark broadcasts
-  or shuffle-joins depending on the dimension's size;
+  employee or product become, in the staged load, integrity checks
+  (``keep_known``) that join nothing when every reference resolves, and
+  in the lazy plan LEFT SEMI joins that Spark broadcasts or shuffle-joins
+  by the dimension's size;
 * ``ventes_key`` is ``monotonically_increasing_id`` taken in the scan
   stage of the lines, before any exchange, so a retried task reproduces it.
 """

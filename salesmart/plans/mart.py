@@ -15,6 +15,8 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from salesmart.operators import dims, facts
 from salesmart.operators.merge import insert_if_absent
@@ -142,7 +144,7 @@ def refresh(spark: SparkSession, oltp: Oltp, root: str, sentinels: Iterable[str]
 def current_version(spark: SparkSession, root: str) -> str | None:
     try:
         rows = spark.read.text(_current_pointer(root)).collect()
-    except Exception:  # no pointer yet
+    except AnalysisException:  # no pointer yet (path not found)
         return None
     return rows[0][0].strip() if rows else None
 
@@ -154,8 +156,6 @@ def current_mart(spark: SparkSession, root: str) -> Mart | None:
 
 def table_counts(mart: Mart) -> DataFrame:
     """Row count per mart table (one aggregate per table, unioned)."""
-    from pyspark.sql import functions as F
-
     parts = [df.select(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
              for name, df in mart.tables().items()]
     out = parts[0]
