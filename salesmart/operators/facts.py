@@ -30,6 +30,7 @@ from salesmart.functions import date_key, string_key
 from salesmart.operators.dims import clean_geo, geo_key
 from salesmart.operators.merge import keep_known
 from salesmart.schema import AMOUNT, RATE, SENTINEL
+from salesmart.sources.files import widen
 
 NET_EXACT = "decimal(18,4)"    # qte * prixunit * (1 - remise) is exact at scale 4
 TOTAL_EXACT = "decimal(20,4)"
@@ -111,16 +112,19 @@ def _fact_deliveries(orders: DataFrame, sentinels: Iterable[str]) -> DataFrame:
 
 
 def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame,
-               eager_checks: bool = False) -> DataFrame:
+               eager_checks: bool = False, widen_lines: bool = False) -> DataFrame:
     """One row per order line whose order and product are known.
 
     ``deliveries`` is the order-grain fact (E12): it already carries the
     order's keys and net total, and applies the customer / employee
     row-loss rules the source load applies to the lines. Read back from
     its files (staged load), the join below has two shuffled inputs, the
-    shape AQE's skew-join handles.
+    shape AQE's skew-join handles. ``widen_lines`` spreads a narrow line
+    source over the cluster after the keys are taken (``sources.files.widen``).
     """
     lines = line_amounts(detail).withColumn("ventes_key", F.monotonically_increasing_id())
+    if widen_lines:
+        lines = widen(lines)
     if eager_checks:
         lines = keep_known(lines, "refprod", dim_produit)
     header = deliveries.select(

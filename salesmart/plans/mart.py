@@ -12,6 +12,7 @@ source load whose sales insert doubled the fact on a second run.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from salesmart.operators import dims, facts
 from salesmart.operators.merge import insert_if_absent
 from salesmart.plans.model import Mart, Oltp
 from salesmart.schema import SENTINEL
+from salesmart.sources.files import widen
 
 FACTS = ("fait_livraisons", "fait_ventes")
 DIM_KEYS = {
@@ -103,6 +105,7 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
     """
     spark = oltp.commande.sparkSession
     s = tuple(sentinels)
+    oltp = replace(oltp, commande=widen(oltp.commande))
     for name, df in build_dims(oltp, s, existing).items():
         write_table(name, df, root)
     d = {name: spark.read.parquet(_table_path(root, name)) for name in DIM_KEYS}
@@ -110,7 +113,7 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
                                 d["dim_transporteur"], s, eager_checks=True)
     write_table("fait_livraisons", liv, root)
     liv = spark.read.parquet(_table_path(root, "fait_livraisons"))
-    ventes = facts.fact_sales(oltp.detailcommande, liv, d["dim_produit"], eager_checks=True)
+    ventes = facts.fact_sales(oltp.detailcommande, liv, d["dim_produit"], eager_checks=True, widen_lines=True)
     write_table("fait_ventes", ventes, root)
     return read_mart(spark, root)
 
