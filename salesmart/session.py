@@ -65,3 +65,31 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a given input volume and cluster.
+
+    * scan splits and post-shuffle partitions of ``partition_bytes``
+      (default 256 MiB: fits an executor core's share of memory with room
+      for sort / hash-aggregate buffers, and makes fact files of that size);
+    * initial shuffle partitions = input / partition size, at least 3 per
+      core, so the largest shuffle (the order lines) never needs spills of
+      multi-GB partitions; AQE coalesces the smaller shuffles down;
+    * a partition is skewed above 4 × the median and 2 × the target size,
+      and is then split to the target size.
+
+    e.g. 100 TB on 1000 executors × 8 cores → 400k shuffle partitions.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // partition_bytes))
+    size = f"{partition_bytes // (1 << 20)}m"
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * partition_bytes // (1 << 20)}m",
+    }

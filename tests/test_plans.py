@@ -48,3 +48,13 @@ def test_order_totals_are_aggregated_not_windowed(spark):
     m = build_mart(load_oltp(spark, SF0001))
     p = m.fait_ventes._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in p
+
+
+def test_scale_settings_for_100_tb():
+    from salesmart.session import scale_settings
+
+    conf = scale_settings(100 * 10**12, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+    small = scale_settings(10**9, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
