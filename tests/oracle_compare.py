@@ -45,6 +45,16 @@ def _rows(cols, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "smallint": "SMALLINT", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+def _duck_type(spark_type: str) -> str:
+    if spark_type.startswith("decimal"):
+        return spark_type.upper()
+    return SPARK_TO_DUCK.get(spark_type, spark_type.upper())
+
+
 def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     t0 = time.time()
     df = query(spark, sf_dir)
@@ -62,6 +72,12 @@ def compare(spark, con, sf_dir: str, name: str, query, sql: str | None) -> dict:
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"columns differ: spark={s_cols} oracle={d_cols}"
         return res
+    s_types = {c: _duck_type(t) for c, t in df.dtypes}
+    d_types = {c[0]: str(c[1]) for c in cur.description}
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if bad_types:
+        res["status"] = f"types differ: {bad_types}"
+        return res
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     if len(a) != len(b):
         res["status"] = "row count differs"
