@@ -8,8 +8,12 @@ compute their dimension keys without joining the dimension:
 * string / composite natural keys use ``xxhash64`` of a NULL-safe
   encoding. ``xxhash64`` skips NULL inputs, so (NULL, 'a') and
   ('a', NULL) would collide; hashing an ``isnull`` flag in front of every
-  field makes the encoding injective on NULL positions. Uniqueness of
-  hashed keys is verified by the Q3 check.
+  field makes the encoding injective on NULL positions.
+
+64 bits are not enough to rule collisions out at scale (about 6 colliding
+pairs expected among 1.5e10 customer codes), so the rare natural keys
+whose hash is shared get a second, salted hash instead
+(``operators.surrogate``); Q3 checks the result.
 """
 
 from __future__ import annotations
@@ -42,3 +46,20 @@ def null_safe_key(*cols: str | Column) -> Column:
 def string_key(col: str | Column) -> Column:
     """64-bit key of a non-null string natural key."""
     return F.xxhash64(F.col(col) if isinstance(col, str) else col)
+
+
+# Fixed salt of the second hash used for natural keys whose first hash clashes.
+REHASH_SALT = "salesmart-rehash-1"
+
+
+def natural_hash(cols: list[str]) -> Column:
+    """First-choice key of a natural key (one string column or a tuple)."""
+    return string_key(cols[0]) if len(cols) == 1 else null_safe_key(*cols)
+
+
+def rehash(cols: list[str]) -> Column:
+    """Independent second hash (salted) of the same NULL-safe encoding."""
+    parts: list[Column] = [F.lit(REHASH_SALT)]
+    for c in cols:
+        parts.extend([F.col(c).isNull(), F.col(c)])
+    return F.xxhash64(*parts)

@@ -13,7 +13,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions import clean, date_key, iso_weekday, null_safe_key, string_key
+from salesmart.functions import clean, date_key, iso_weekday
+from salesmart.operators.surrogate import with_hashed_key
 from salesmart.schema import SENTINEL
 
 GEO_COLS = ("paysliv", "regionliv", "villeliv", "codepostalliv")
@@ -55,14 +56,19 @@ def dim_date(commande: DataFrame) -> DataFrame:
     return calendar(days)
 
 
-def dim_client(client: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
-    """Customers, every attribute but the key cleaned."""
+CLIENT_COLS = ("codecli", "societe", "contact", "fonction", "ville", "region", "pays", "codepostal")
+
+
+def client_rows(client: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
+    """E4 without the key: customers, every attribute but the code cleaned."""
     s = tuple(sentinels)
-    return client.select(
-        string_key("codecli").alias("client_key"),
-        "codecli",
-        *[clean(c, s).alias(c) for c in ("societe", "contact", "fonction", "ville", "region", "pays", "codepostal")],
-    )
+    return client.select("codecli", *[clean(c, s).alias(c) for c in CLIENT_COLS[1:]])
+
+
+def dim_client(client: DataFrame, sentinels: Iterable[str] = (SENTINEL,), eager: bool = False) -> DataFrame:
+    """Customers with their collision-free hashed key."""
+    rows = client_rows(client, sentinels)
+    return with_hashed_key(rows, ["codecli"], "client_key", eager).select("client_key", *CLIENT_COLS)
 
 
 def dim_employe(employe: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
@@ -88,19 +94,18 @@ def clean_geo(sentinels: Iterable[str] = (SENTINEL,)) -> list:
     return [clean(c, s).alias(c) for c in GEO_COLS]
 
 
-def geo_key(prefix: str = "") -> F.Column:
-    """Key of a cleaned delivery address (NULL-safe on all 4 fields)."""
-    return null_safe_key(*[f"{prefix}{c}" for c in GEO_COLS])
-
+def geo_rows(commande: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
+    """E7 without the key: distinct cleaned delivery addresses, NULLs
+    grouping as equal. The DISTINCT is a partial aggregate per task first,
+    so only distinct addresses are shuffled, however many orders share one."""
+    return commande.select(clean_geo(sentinels)).distinct()
 
-def dim_geo(commande: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
-    """Distinct cleaned delivery addresses; NULLs group as equal.
 
-    The DISTINCT is a partial aggregate per task first, so only distinct
-    addresses are shuffled, however many orders share one.
-    """
-    return (commande.select(clean_geo(sentinels)).distinct()
-            .select(geo_key().alias("geo_key"), *GEO_COLS))
+def dim_geo(commande: DataFrame, sentinels: Iterable[str] = (SENTINEL,), eager: bool = False) -> DataFrame:
+    """Delivery addresses with their collision-free hashed key (NULL-safe
+    on all 4 fields)."""
+    return with_hashed_key(geo_rows(commande, sentinels), list(GEO_COLS), "geo_key", eager).select(
+        "geo_key", *GEO_COLS)
 
 
 def dim_produit(produit: DataFrame, categorie: DataFrame, fournisseur: DataFrame,

@@ -9,7 +9,8 @@ Plan at scale (one order may carry a third of all lines):
   ``nocom``; with the order fact read back from its files (staged load)
   both inputs are plain shuffles, and AQE's skew-join splits a hot
   order's partition on the line side, replicating the one-row order side;
-* dimension keys are computed, not looked up (``salesmart.functions.keys``);
+* dimension keys are computed, not looked up (``salesmart.functions.keys``;
+  only the rare re-hashed members of ``operators.surrogate`` are);
   the inner joins of the source load that drop rows without a customer,
   employee or product become, in the staged load, integrity checks
   (``keep_known``) that join nothing when every reference resolves, and
@@ -26,9 +27,10 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.functions import date_key, string_key
-from salesmart.operators.dims import clean_geo, geo_key
+from salesmart.functions import date_key
+from salesmart.operators.dims import GEO_COLS, clean_geo
 from salesmart.operators.merge import keep_known
+from salesmart.operators.surrogate import lookup_key
 from salesmart.schema import AMOUNT, RATE, SENTINEL
 from salesmart.sources.files import widen
 
@@ -63,7 +65,7 @@ def allocated_freight(port: str = "port", net: str = "montant_net", total: str =
 
 
 def fact_deliveries(commande: DataFrame, detail: DataFrame, dim_client: DataFrame, dim_employe: DataFrame,
-                    dim_transporteur: DataFrame, sentinels: Iterable[str] = (SENTINEL,),
+                    dim_transporteur: DataFrame, dim_geo: DataFrame, sentinels: Iterable[str] = (SENTINEL,),
                     eager_checks: bool = False) -> DataFrame:
     """One row per order with a known customer and employee.
 
@@ -85,23 +87,25 @@ def fact_deliveries(commande: DataFrame, detail: DataFrame, dim_client: DataFram
                   .join(dim_employe.select("noemp"), "noemp", "left_semi"))
     orders = (orders.join(dim_transporteur.select("notran", "transporteur_key"), "notran", "left")
               .join(order_net_total(line_amounts(detail)), "nocom", "left"))
-    return _fact_deliveries(orders, sentinels)
-
-
-def _fact_deliveries(orders: DataFrame, sentinels: Iterable[str]) -> DataFrame:
-    dateenv, dateobj, datecom = F.col("dateenv"), F.col("dateobjliv"), F.col("datecom")
     cleaned = orders.select(
         "nocom", "codecli", "noemp", "transporteur_key", "datecom", "dateenv", "dateobjliv", "port", "total_net",
         *clean_geo(sentinels))
+    keyed = lookup_key(cleaned, ["codecli"], "client_key", dim_client, eager_checks)
+    keyed = lookup_key(keyed, list(GEO_COLS), "geo_key", dim_geo, eager_checks)
+    return _fact_deliveries(keyed)
+
+
+def _fact_deliveries(cleaned: DataFrame) -> DataFrame:
+    dateenv, dateobj, datecom = F.col("dateenv"), F.col("dateobjliv"), F.col("datecom")
     return cleaned.select(
         F.col("nocom").alias("liv_key"),
         date_key(datecom).alias("datecom_key"),
         date_key(dateenv).alias("dateenv_key"),
         date_key(dateobj).alias("dateobj_key"),
-        string_key("codecli").alias("client_key"),
+        "client_key",
         F.col("noemp").cast("bigint").alias("employe_key"),
         "transporteur_key",
-        geo_key().alias("geo_key"),
+        "geo_key",
         "nocom", "port",
         F.datediff(dateenv, datecom).alias("delai_envoi_jours"),
         F.when(dateenv.isNotNull() & dateobj.isNotNull(),

@@ -1,0 +1,67 @@
+"""E9 for string / composite natural keys: collision-free 64-bit keys.
+
+A dimension's key is the hash of its natural key, except for natural
+keys whose hash is shared with another member: those (expected: a handful
+among billions) get an independent salted hash. Facts derive the same key
+from the natural key — the plain hash, or the re-hashed key looked up in
+the dimension's short list of re-hashed members — so they still need no
+join with the dimension itself.
+
+``eager`` (staged load) counts the clashes first: none → no join at all;
+a few → broadcast of just those members (size checked); many → a plain
+join, which Spark sizes itself.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from salesmart.functions.keys import natural_hash, rehash
+
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def _small(df: DataFrame, eager: bool) -> DataFrame | None:
+    """``None`` if empty (eager), the frame broadcast if small, else as is."""
+    if not eager:
+        return df
+    n = df.count()
+    if n == 0:
+        return None
+    return F.broadcast(df) if n <= MAX_BROADCAST_ROWS else df
+
+
+def with_hashed_key(dim: DataFrame, natural: Sequence[str], key: str, eager: bool = False,
+                    hash_fn: Callable[[list[str]], Column] = natural_hash) -> DataFrame:
+    """``dim`` (one row per natural key) with a unique ``key`` column.
+    ``hash_fn`` is the first-choice hash (replaceable to test clashes)."""
+    natural = list(natural)
+    hashed = dim.withColumn(key, hash_fn(natural))
+    clashes = (hashed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+               .filter(F.col("_n") > 1).select(key, F.lit(True).alias("_clash")))
+    clashes = _small(clashes, eager)
+    if clashes is None:
+        return hashed
+    return (hashed.join(clashes, key, "left")
+            .withColumn(key, F.when(F.col("_clash"), rehash(natural)).otherwise(F.col(key)))
+            .drop("_clash"))
+
+
+def lookup_key(rows: DataFrame, natural: Sequence[str], key: str, dim: DataFrame, eager: bool = False,
+               hash_fn: Callable[[list[str]], Column] = natural_hash) -> DataFrame:
+    """``rows`` with the dimension's ``key`` for their natural key, computed
+    (hash) except for the dimension's re-hashed members (small lookup)."""
+    natural = list(natural)
+    rehashed = dim.filter(F.col(key) != hash_fn(natural)).select(
+        *[F.col(c).alias(f"_n_{c}") for c in natural], F.col(key).alias("_alt"))
+    rehashed = _small(rehashed, eager)
+    if rehashed is None:
+        return rows.withColumn(key, hash_fn(natural))
+    cond = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(F.col(f"_n_{c}")) for c in natural])
+    joined = rows.join(rehashed, cond, "left")
+    return (joined.withColumn(key, F.coalesce(F.col("_alt"), hash_fn(natural)))
+            .drop("_alt", *[f"_n_{c}" for c in natural]))

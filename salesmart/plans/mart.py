@@ -21,6 +21,7 @@ from pyspark.sql.utils import AnalysisException
 
 from salesmart.operators import dims, facts
 from salesmart.operators.merge import insert_if_absent
+from salesmart.operators.surrogate import with_hashed_key
 from salesmart.plans.model import Mart, Oltp
 from salesmart.schema import SENTINEL
 from salesmart.sources.files import widen
@@ -36,20 +37,34 @@ DIM_KEYS = {
 }
 
 
-def build_dims(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,),
-               existing: Mart | None = None) -> dict[str, DataFrame]:
-    """The six dimensions (E2, E4–E8), insert-if-absent into ``existing``."""
+HASHED = {"dim_client": "client_key", "dim_geo": "geo_key"}
+
+
+def build_dims(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mart | None = None,
+               eager: bool = False) -> dict[str, DataFrame]:
+    """The six dimensions (E2, E4–E8), insert-if-absent into ``existing``.
+
+    Hashed keys are assigned after the merge, over all members, so a new
+    member whose hash clashes with an old one is re-hashed too (facts are
+    rebuilt with every refresh, so keys need not survive one).
+    """
     s = tuple(sentinels)
     new = {
         "dim_temps": dims.dim_date(oltp.commande),
-        "dim_client": dims.dim_client(oltp.client, s),
+        "dim_client": dims.client_rows(oltp.client, s),
         "dim_employe": dims.dim_employe(oltp.employe, s),
         "dim_transporteur": dims.dim_transporteur(oltp.transporteur),
-        "dim_geo": dims.dim_geo(oltp.commande, s),
+        "dim_geo": dims.geo_rows(oltp.commande, s),
         "dim_produit": dims.dim_produit(oltp.produit, oltp.categorie, oltp.fournisseur, s),
     }
     if existing is not None:
-        new = {name: insert_if_absent(getattr(existing, name), df, DIM_KEYS[name]) for name, df in new.items()}
+        new = {name: insert_if_absent(getattr(existing, name).drop(*([HASHED[name]] if name in HASHED else [])),
+                                      df, DIM_KEYS[name])
+               for name, df in new.items()}
+    new["dim_client"] = with_hashed_key(new["dim_client"], DIM_KEYS["dim_client"], "client_key", eager).select(
+        "client_key", *dims.CLIENT_COLS)
+    new["dim_geo"] = with_hashed_key(new["dim_geo"], DIM_KEYS["dim_geo"], "geo_key", eager).select(
+        "geo_key", *dims.GEO_COLS)
     return new
 
 
@@ -65,7 +80,7 @@ def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
     s = tuple(sentinels)
     new = build_dims(oltp, s, existing)
     liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, new["dim_client"], new["dim_employe"],
-                                new["dim_transporteur"], s)
+                                new["dim_transporteur"], new["dim_geo"], s)
     ventes = facts.fact_sales(oltp.detailcommande, liv, new["dim_produit"])
     return Mart(fait_livraisons=liv, fait_ventes=ventes, **new)
 
@@ -106,11 +121,11 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
     spark = oltp.commande.sparkSession
     s = tuple(sentinels)
     oltp = replace(oltp, commande=widen(oltp.commande))
-    for name, df in build_dims(oltp, s, existing).items():
+    for name, df in build_dims(oltp, s, existing, eager=True).items():
         write_table(name, df, root)
     d = {name: spark.read.parquet(_table_path(root, name)) for name in DIM_KEYS}
     liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"],
-                                d["dim_transporteur"], s, eager_checks=True)
+                                d["dim_transporteur"], d["dim_geo"], s, eager_checks=True)
     write_table("fait_livraisons", liv, root)
     liv = spark.read.parquet(_table_path(root, "fait_livraisons"))
     ventes = facts.fact_sales(oltp.detailcommande, liv, d["dim_produit"], eager_checks=True, widen_lines=True)

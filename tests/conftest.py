@@ -22,7 +22,7 @@ def spark():
     from salesmart.session import get_spark
 
     s = get_spark("local[4]", 8, app_name="salesmart-tests",
-                  extra={"spark.ui.showConsoleProgress": "false"})
+                  extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "6g"})
     yield s
     s.stop()
 

@@ -119,3 +119,21 @@ def test_keep_known_paths(spark):
     dim1 = spark.createDataFrame([(1,)], "k int")
     assert [r.v for r in keep_known(df, "k", dim1).collect()] == ["a"]                    # broadcast anti
     assert [r.v for r in keep_known(df, "k", dim1, max_broadcast_rows=0).collect()] == ["a"]   # semi join
+
+
+def test_hashed_keys_resolve_clashes(spark):
+    from salesmart.operators.surrogate import lookup_key, with_hashed_key
+
+    # a first-choice hash that sends every code onto 2 values: clashes on purpose
+    clashing = lambda cols: F.xxhash64(*[F.col(c) for c in cols]) % 2
+    dim = spark.createDataFrame([(f"C{i}",) for i in range(6)] + [(None,)], "codecli string")
+    for eager in (False, True):
+        keyed = with_hashed_key(dim, ["codecli"], "k", eager, hash_fn=clashing)
+        keys = {r.codecli: r.k for r in keyed.collect()}
+        assert len(set(keys.values())) == 7                      # all unique after re-hashing
+        facts_rows = spark.createDataFrame([("C1", 1), ("C5", 2), (None, 3), ("C1", 4)], "codecli string, v int")
+        got = lookup_key(facts_rows, ["codecli"], "k", keyed, eager, hash_fn=clashing).collect()
+        assert all(r.k == keys[r.codecli] for r in got) and len(got) == 4
+    # without clashes the key is the plain hash and no join is planned
+    plain = with_hashed_key(dim.filter("codecli is not null"), ["codecli"], "k", eager=True)
+    assert all(r.k == r.h for r in plain.select("k", F.xxhash64("codecli").alias("h")).collect())
