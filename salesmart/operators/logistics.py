@@ -160,10 +160,12 @@ def vl4_same_region_supplier(oltp: Oltp, sentinels=(SENTINEL,)) -> DataFrame:
     The comparison is a (NULL-safe) join key next to ``nocom``.
     """
     s = tuple(sentinels)
-    sup = (oltp.detailcommande.select("nocom", "refprod")
-           .join(oltp.produit.select("refprod", "nofour"), "refprod")
-           .join(oltp.fournisseur.select("nofour", F.col("societe").alias("fournisseur"),
-                                         F.col("region").alias("region_fournisseur")), "nofour")
+    # product → supplier first (a dimension-sized join), so the lines are
+    # shuffled once, on the product key
+    prod_sup = oltp.produit.select("refprod", "nofour").join(
+        oltp.fournisseur.select("nofour", F.col("societe").alias("fournisseur"),
+                                F.col("region").alias("region_fournisseur")), "nofour")
+    sup = (oltp.detailcommande.select("nocom", "refprod").join(prod_sup, "refprod")
            .select("nocom", "nofour", "fournisseur", "region_fournisseur").distinct()
            .withColumn("_rf", clean("region_fournisseur", s)))
     cmd = oltp.commande.select(F.col("nocom").alias("_nocom"), "regionliv").withColumn("_rc", clean("regionliv", s))
