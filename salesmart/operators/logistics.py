@@ -67,21 +67,21 @@ def l3_qty_zone(mart: Mart, period: Period | None = None, grain: str = "semaine"
 def l4_same_country_supplier(mart: Mart) -> DataFrame:
     """L4: orders holding a product whose supplier is in the delivery country.
 
-    Lines are first reduced to distinct (order, product) (partial
-    aggregate), products to their supplier; the country equality is a
-    join key next to ``nocom``, so no pair is built only to be filtered.
+    Two line-sized shuffles at most: lines meet their product (supplier
+    country), then their order on (order, country) — the country equality
+    is a join key, so no pair is built only to be filtered. The final
+    DISTINCT needs no exchange: the join's hash partitioning on (order,
+    country) already co-locates equal rows.
     """
-    op = mart.fait_ventes.select("nocom", "produit_key").distinct()
-    sup = (op.join(mart.dim_produit.select("produit_key", "fournisseur_pays", "fournisseur_societe")
-                   .filter(F.col("fournisseur_pays").isNotNull()), "produit_key")
-           .select("nocom", F.col("fournisseur_pays").alias("paysliv"), "fournisseur_societe").distinct())
+    sup = (mart.fait_ventes.select("nocom", "produit_key")
+           .join(mart.dim_produit.filter(F.col("fournisseur_pays").isNotNull())
+                 .select("produit_key", F.col("fournisseur_pays").alias("paysliv"), "fournisseur_societe"),
+                 "produit_key"))
     orders = (mart.fait_livraisons.select("nocom", "geo_key")
               .join(mart.dim_geo.select("geo_key", "paysliv").filter(F.col("paysliv").isNotNull()), "geo_key"))
-    # ``sup`` is distinct and ``orders`` has one row per order (its key), so
-    # the join output is already DISTINCT: no final de-duplication shuffle.
-    out = orders.join(sup, ["nocom", "paysliv"]).select(
+    out = sup.join(orders, ["nocom", "paysliv"]).select(
         "nocom", "paysliv", F.col("paysliv").alias("fournisseur_pays"), "fournisseur_societe")
-    return out.orderBy("nocom")
+    return out.distinct().orderBy("nocom")
 
 
 # --------------------------------------------------------------------- L5
