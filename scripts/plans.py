@@ -32,8 +32,9 @@ NOTES = {
                                "TakeOrderedAndProject.",
     "vf8_top_customers": "grand total as a scalar subquery: no cross join, no single-partition window.",
     "l1_date_gaps": "top-50 on fact + calendar columns first; carrier and address joined to 50 rows.",
-    "l4_same_country_supplier": "distinct (order, product) pairs, supplier country as a join key next to the "
-                                "order key; no final DISTINCT.",
+    "l4_same_country_supplier": "lines meet their product, then their order on (order, country): the "
+                                "country equality is a join key, and the final DISTINCT runs without an "
+                                "exchange.",
     "top_n (per year)": "row_number with Spark's window group limit: partial top-n per task before the shuffle.",
     "dq_foreign_keys": "each child reduced to (key, rows) before the anti-join with its parent.",
 }
