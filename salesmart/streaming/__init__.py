@@ -1,0 +1,2 @@
+"""The refresh procedure (import new order lines, reload, check) as a
+Structured Streaming file source with ``foreachBatch``."""
