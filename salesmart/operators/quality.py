@@ -74,14 +74,21 @@ def key_specs(oltp: Oltp, mart: Mart) -> list[tuple[str, str, DataFrame, list[st
 
 def dq_unique_keys(oltp: Oltp, mart: Mart) -> DataFrame:
     """Rows vs distinct keys per key; duplicates > 0 is a violation (for a
-    hashed surrogate key it would be a hash collision). Composite keys
-    compare NULL fields as equal (a struct is never NULL)."""
-    parts = []
+    hashed surrogate key it would be an unresolved collision). Composite
+    keys compare NULL fields as equal (a struct is never NULL). One
+    aggregate per table counts all its keys in a single pass."""
+    tables: dict[str, tuple[DataFrame, list[tuple[str, list[str]]]]] = {}
     for table, key_name, df, cols in key_specs(oltp, mart):
-        k = F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
-        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(k).alias("n_keys"))
-                     .select(F.lit(table).alias("table_name"), F.lit(key_name).alias("key_name"),
-                             "n_rows", "n_keys", (F.col("n_rows") - F.col("n_keys")).alias("n_duplicates")))
+        tables.setdefault(table, (df, []))[1].append((key_name, cols))
+    parts = []
+    for table, (df, keys) in tables.items():
+        distinct = [F.countDistinct(F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)).alias(f"_k{i}")
+                    for i, (_, cols) in enumerate(keys)]
+        wide = df.agg(F.count(F.lit(1)).alias("n_rows"), *distinct)
+        names = F.create_map(*[x for i, (name, _) in enumerate(keys) for x in (F.lit(f"_k{i}"), F.lit(name))])
+        long = wide.unpivot(["n_rows"], [f"_k{i}" for i in range(len(keys))], "_slot", "n_keys")
+        parts.append(long.select(F.lit(table).alias("table_name"), names[F.col("_slot")].alias("key_name"),
+                                 "n_rows", "n_keys", (F.col("n_rows") - F.col("n_keys")).alias("n_duplicates")))
     return _union(parts)
 
 
