@@ -33,7 +33,9 @@ def deliveries(mart: Mart, period: Period | None, cols, role_key: str = "datecom
 
 
 def _desc(*cols: str) -> list[Column]:
-    return [F.col(c).desc() for c in cols]
+    """DESC with NULLs first, the source system's order (Spark's default
+    puts them last)."""
+    return [F.col(c).desc_nulls_first() for c in cols]
 
 
 def _label(col: str) -> Column:
@@ -80,7 +82,8 @@ def _subtotals(detail: DataFrame, P: tuple[str, ...], group: str, item: str,
         *[to_money(F.col(n)).alias(n) if n == "ca_net" else F.col(n) for n in measures],
         niveau.alias("_niveau"), F.col(group).alias("_group"),
     )
-    return out.orderBy(*P, "_group", "_niveau", F.col("ca_net").desc()).drop("_niveau", "_group")
+    return (out.orderBy(*P, F.col("_group").asc_nulls_last(), "_niveau", F.col("ca_net").desc_nulls_first())
+            .drop("_niveau", "_group"))
 
 
 def f2_revenue_product(mart: Mart, period: Period | None = None, grain: str = "mois") -> DataFrame:
@@ -111,7 +114,7 @@ def f3_revenue_country(mart: Mart, period: Period | None = None, grain: str = "m
     g = (base.join(mart.dim_geo.select("geo_key", "paysliv"), "geo_key", "left")
          .groupBy(*P, "paysliv").agg(F.sum("ca").alias("ca"), F.sum("port").alias("port")))
     return g.select(*P, _label("paysliv").alias("paysliv"), to_money(F.col("ca")).alias("ca_net"),
-                    to_money(F.col("port")).alias("port_total_alloue")).orderBy(*P, F.col("ca_net").desc())
+                    to_money(F.col("port")).alias("port_total_alloue")).orderBy(*P, F.col("ca_net").desc_nulls_first())
 
 
 # --------------------------------------------------------------------- F4
@@ -122,7 +125,7 @@ def f4_revenue_carrier(mart: Mart, period: Period | None = None, grain: str = "m
     g = (base.join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
          .groupBy(*P, "nomtran").agg(F.sum("ca").alias("ca")))
     return g.select(*P, _label("nomtran").alias("transporteur"),
-                    to_money(F.col("ca")).alias("ca_net")).orderBy(*P, F.col("ca_net").desc())
+                    to_money(F.col("ca")).alias("ca_net")).orderBy(*P, F.col("ca_net").desc_nulls_first())
 
 
 # --------------------------------------------------------------------- F5
@@ -141,7 +144,7 @@ def f5_orders_employee_customer(mart: Mart, period: Period | None = None, grain:
                  "client_key"))
     return out.select(*P, "noemp", "emp_nom", "emp_prenom", "codecli", "client_societe", "nb_commandes",
                       "remise_moyenne", to_money(F.col("ca")).alias("ca_net")
-                      ).orderBy(*P, F.col("nb_commandes").desc(), F.col("ca_net").desc())
+                      ).orderBy(*P, F.col("nb_commandes").desc_nulls_first(), F.col("ca_net").desc_nulls_first())
 
 
 # --------------------------------------------------------------------- F7
@@ -180,7 +183,7 @@ def f8_top_customers_period(mart: Mart, period: Period | None = None, grain: str
         to_money(F.col("tot")).alias("ca_total"),
         share_round2(F.col("ca"), F.col("tot")).alias("ca_pct_du_total"),
     )
-    return out.orderBy(*P, F.col("ca_net").desc(), "codecli").limit(limit)
+    return out.orderBy(*P, F.col("ca_net").desc_nulls_first(), "codecli").limit(limit)
 
 
 # ----------------------------------------------------------- views, file 1
@@ -254,26 +257,26 @@ def vf1_discounts(mart: Mart) -> DataFrame:
         F.col("remise").cast("double").alias("remise"),
         to_money(F.col("montant_brut")).alias("montant_brut"),
         to_money(F.col("montant_net")).alias("montant_net"))
-    return out.orderBy(F.col("remise").desc(), F.col("montant_net").desc())
+    return out.orderBy(*_desc("remise", "montant_net"))
 
 
 def vf2_revenue_product(mart: Mart) -> DataFrame:
     return _by_product(mart).select(
         "nomcateg", "refprod", "nomprod", F.col("q").alias("qte_totale"),
-        to_money(F.col("ca")).alias("ca_net")).orderBy("nomcateg", F.col("ca_net").desc())
+        to_money(F.col("ca")).alias("ca_net")).orderBy("nomcateg", F.col("ca_net").desc_nulls_first())
 
 
 def vf2_revenue_category(mart: Mart) -> DataFrame:
     g = _by_product(mart).groupBy("nomcateg").agg(F.sum("ca").alias("ca"))
-    return g.select("nomcateg", to_money(F.col("ca")).alias("ca_net")).orderBy(F.col("ca_net").desc())
+    return g.select("nomcateg", to_money(F.col("ca")).alias("ca_net")).orderBy(F.col("ca_net").desc_nulls_first())
 
 
 def vf3_revenue_country(mart: Mart) -> DataFrame:
-    return v_revenue_delivery_country(mart).orderBy(F.col("ca_net").desc())
+    return v_revenue_delivery_country(mart).orderBy(F.col("ca_net").desc_nulls_first())
 
 
 def vf4_revenue_carrier(mart: Mart) -> DataFrame:
-    return v_revenue_carrier(mart).orderBy(F.col("ca_net").desc())
+    return v_revenue_carrier(mart).orderBy(F.col("ca_net").desc_nulls_first())
 
 
 def vf5_orders_employee(mart: Mart) -> DataFrame:
@@ -281,7 +284,7 @@ def vf5_orders_employee(mart: Mart) -> DataFrame:
         F.countDistinct("nocom").alias("nb_commandes"), F.sum("montant_net").alias("ca"))
     return (base.join(mart.dim_employe.select("employe_key", "noemp", "nom", "prenom"), "employe_key")
             .select("noemp", "nom", "prenom", "nb_commandes", to_money(F.col("ca")).alias("ca_net"))
-            .orderBy(F.col("nb_commandes").desc(), F.col("ca_net").desc()))
+            .orderBy(F.col("nb_commandes").desc_nulls_first(), F.col("ca_net").desc_nulls_first()))
 
 
 def vf5_avg_discount_customer(mart: Mart) -> DataFrame:
@@ -295,7 +298,8 @@ def vf5_avg_discount_customer(mart: Mart) -> DataFrame:
 def vf6_supplier_product(mart: Mart) -> DataFrame:
     return _by_product(mart).select(
         "nofour", "fournisseur_societe", "refprod", "nomprod", F.col("q").alias("qte_totale"),
-        to_money(F.col("ca")).alias("ca_net")).orderBy("fournisseur_societe", F.col("ca_net").desc())
+        to_money(F.col("ca")).alias("ca_net")).orderBy(F.col("fournisseur_societe").asc_nulls_last(),
+                                                       F.col("ca_net").desc_nulls_first())
 
 
 def vf7_freight_carrier(mart: Mart) -> DataFrame:
@@ -320,4 +324,4 @@ def vf8_top_customers(mart: Mart, limit: int = 10) -> DataFrame:
     return base.select(
         "codecli", "societe", to_money(F.col("ca")).alias("ca_net"),
         share_round2(F.col("ca"), total).alias("pct_total"),
-    ).orderBy(F.col("ca_net").desc(), "codecli").limit(limit)
+    ).orderBy(F.col("ca_net").desc_nulls_first(), "codecli").limit(limit)

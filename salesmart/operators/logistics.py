@@ -60,7 +60,7 @@ def l3_qty_zone(mart: Mart, period: Period | None = None, grain: str = "semaine"
     g = (base.join(mart.dim_geo.select("geo_key", *GEO3), "geo_key", "left")
          .groupBy(*P, *GEO3).agg(F.sum("q").alias("qte_livree")))
     return g.select(*P, *[_label(c).alias(c) for c in GEO3], "qte_livree"
-                    ).orderBy(*P, F.col("qte_livree").desc())
+                    ).orderBy(*P, F.col("qte_livree").desc_nulls_first())
 
 
 # --------------------------------------------------------------------- L4
@@ -108,7 +108,7 @@ def v_delays(mart: Mart) -> DataFrame:
     out = (fl.join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"), "transporteur_key", "left")
            .join(mart.dim_geo.select("geo_key", *GEO3), "geo_key", "left"))
     return out.select("nocom", "notran", "nomtran", *GEO3, "retard_jours", "delai_envoi_jours",
-                      to_money(F.col("port")).alias("port")).orderBy(F.col("retard_jours").desc(), "nocom")
+                      to_money(F.col("port")).alias("port")).orderBy(F.col("retard_jours").desc_nulls_first(), "nocom")
 
 
 def v_qty_zone_all(mart: Mart) -> DataFrame:
@@ -149,7 +149,7 @@ def vl2_reorder(oltp: Oltp) -> DataFrame:
 
 
 def vl3_qty_zone(mart: Mart) -> DataFrame:
-    return v_qty_zone_all(mart).orderBy(F.col("qte_totale").desc())
+    return v_qty_zone_all(mart).orderBy(F.col("qte_totale").desc_nulls_first())
 
 
 def vl4_same_region_supplier(oltp: Oltp, sentinels=(SENTINEL,)) -> DataFrame:
