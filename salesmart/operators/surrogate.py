@@ -41,7 +41,10 @@ def with_hashed_key(dim: DataFrame, natural: Sequence[str], key: str, eager: boo
     ``hash_fn`` is the first-choice hash (replaceable to test clashes)."""
     natural = list(natural)
     hashed = dim.withColumn(key, hash_fn(natural))
-    clashes = (hashed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    # a clash is two *different* natural keys on one hash; a natural key
+    # repeated by a broken source key is not one (Q3 reports it)
+    nat = F.struct(*natural)            # never NULL, so a NULL natural key is counted too
+    clashes = (hashed.groupBy(key).agg(F.countDistinct(nat).alias("_n"))
                .filter(F.col("_n") > 1).select(key, F.lit(True).alias("_clash")))
     clashes = _small(clashes, eager)
     if clashes is None:
@@ -57,7 +60,7 @@ def lookup_key(rows: DataFrame, natural: Sequence[str], key: str, dim: DataFrame
     (hash) except for the dimension's re-hashed members (small lookup)."""
     natural = list(natural)
     rehashed = dim.filter(F.col(key) != hash_fn(natural)).select(
-        *[F.col(c).alias(f"_n_{c}") for c in natural], F.col(key).alias("_alt"))
+        *[F.col(c).alias(f"_n_{c}") for c in natural], F.col(key).alias("_alt")).distinct()
     rehashed = _small(rehashed, eager)
     if rehashed is None:
         return rows.withColumn(key, hash_fn(natural))

@@ -137,3 +137,13 @@ def test_hashed_keys_resolve_clashes(spark):
     # without clashes the key is the plain hash and no join is planned
     plain = with_hashed_key(dim.filter("codecli is not null"), ["codecli"], "k", eager=True)
     assert all(r.k == r.h for r in plain.select("k", F.xxhash64("codecli").alias("h")).collect())
+
+
+def test_repeated_natural_key_is_not_a_clash(spark):
+    from salesmart.operators.surrogate import lookup_key, with_hashed_key
+
+    dim = spark.createDataFrame([("C1",), ("C1",), ("C2",)], "codecli string")   # broken source key
+    keyed = with_hashed_key(dim, ["codecli"], "k", eager=True)
+    assert keyed.select("k").distinct().count() == 2                             # Q3 reports the repeat
+    rows = spark.createDataFrame([("C1", 1)], "codecli string, v int")
+    assert lookup_key(rows, ["codecli"], "k", keyed, eager=True).count() == 1     # no fact row doubled
