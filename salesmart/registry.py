@@ -31,7 +31,11 @@ INCREMENTAL_CUTOFF = "1998-01-01"
 
 def context(spark: SparkSession, sf_dir: str) -> tuple[Oltp, Mart]:
     """Lazy source tables and mart of ``sf_dir`` (memoised per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # a remote (Connect) session has no SparkContext
+        app = str(id(spark))
+    key = (app, sf_dir)
     if key not in _CACHE:
         oltp = load_oltp(spark, sf_dir)
         _CACHE[key] = (oltp, build_mart(oltp))
