@@ -9,39 +9,78 @@ pays planning and code generation for the query shape (reported as
 of a report refreshed again (per-query times and the headline value),
 the minimum damping noise from other work on the machine.
 
+Shuffle volume per operator (bytes written to shuffle files by its
+steady-state run, and by the load) is read from Spark's event log,
+written to a scratch folder (BENCH_EVENTLOG_DIR, else a new temporary
+folder: the bench runs in local mode) — the measure that decides cost at
+scale, next to time.
+
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_ONLY (comma-separated operator names). Prints ONE JSON line.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from salesmart.plans.mart import load_mart  # noqa: E402
 from salesmart.registry import OPERATORS, apply  # noqa: E402
 from salesmart.session import get_spark, scratch_dir  # noqa: E402
-from salesmart.sources.testdata import load_oltp  # noqa: E402
+from salesmart.sources.testdata import TABLES, load_oltp  # noqa: E402
 
 
 def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def shuffle_bytes_by_group(log_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, from the event log files."""
+    stage_group: dict[int, str] = {}
+    written: dict[int, int] = defaultdict(int)
+    paths = [p for p in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True) if os.path.isfile(p)]
+    for path in paths:
+        with open(path) as fh:
+            for line in fh:
+                if '"SparkListenerJobStart"' in line:
+                    ev = json.loads(line)
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif '"SparkListenerTaskEnd"' in line:
+                    ev = json.loads(line)
+                    m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    written[ev.get("Stage ID")] += int(m.get("Shuffle Bytes Written", 0))
+    out: dict[str, int] = defaultdict(int)
+    for sid, b in written.items():
+        if sid in stage_group:
+            out[stage_group[sid]] += b
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
+    log_dir = os.environ.get("BENCH_EVENTLOG_DIR") or tempfile.mkdtemp(prefix="salesmart-eventlog-")
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="salesmart-bench",
-                      extra={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false",
+                             "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}",
+                             "spark.eventLog.compress": "false"})
+    sc = spark.sparkContext
 
     oltp = load_oltp(spark, sf_dir)
     root = scratch_dir(spark, "bench-mart")
+    sc.setJobGroup("load_mart", "load_mart")
     t0 = time.time()
     mart = load_mart(oltp, root)
     load_sec = time.time() - t0
@@ -51,15 +90,18 @@ def main() -> None:
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
     for name in names:
+        sc.setJobGroup(f"{name}#cold", name)
         t = time.time()
         _run(apply(name, oltp, mart))
         cold[name] = round(time.time() - t, 3)
         warm = []
-        for _ in range(2):
+        for i in range(2):
+            sc.setJobGroup(f"{name}#warm{i}", name)
             t = time.time()
             _run(apply(name, oltp, mart))
             warm.append(time.time() - t)
         times[name] = round(min(warm), 3)
+    sc.setJobGroup("other", "other")
 
     m = re.search(r"sf([0-9.]+)", sf_dir.rstrip("/"))
     out = {
@@ -73,8 +115,19 @@ def main() -> None:
         "reports_sec": round(sum(times.values()), 3),
         "reports_cold_sec": round(sum(cold.values()), 3),
     }
-    print(json.dumps(out), flush=True)
+    input_bytes = sum(os.path.getsize(os.path.join(sf_dir, f"{t}.parquet")) for t in TABLES
+                      if os.path.isfile(os.path.join(sf_dir, f"{t}.parquet")))
     spark.stop()
+    try:
+        by_group = shuffle_bytes_by_group(log_dir)
+        mb = 1 << 20
+        out["shuffle_mb"] = {"load_mart": round(by_group.get("load_mart", 0) / mb, 2),
+                             **{n: round(by_group.get(f"{n}#warm1", 0) / mb, 2) for n in names}}
+        out["input_mb"] = round(input_bytes / mb, 2)
+        out["load_shuffle_per_input"] = round(by_group.get("load_mart", 0) / max(input_bytes, 1), 2)
+    except Exception as e:  # noqa: BLE001 - the timing line must be printed anyway
+        out["shuffle_mb_error"] = str(e)[:200]
+    print(json.dumps(out), flush=True)
 
 
 if __name__ == "__main__":
