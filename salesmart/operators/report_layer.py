@@ -34,17 +34,24 @@ def slicer(df: DataFrame, selections: Mapping[str, Iterable], include_null: Iter
 # --------------------------------------------------------------------- R2
 def kpi_finance(mart: Mart, period: Period | None = None) -> DataFrame:
     """One KPI row: revenue, gross, discount and freight amounts, orders,
-    quantity and lines of the scope."""
+    quantity and lines of the scope.
+
+    The sums are a plain global aggregate (one partial row per task); the
+    distinct order count is a separate scalar subquery over the order key
+    alone. Together in one aggregate, Spark would shuffle an order-grain
+    row carrying every partial sum just to count distinct orders.
+    """
     s = sales(mart, period, ["annee"]) if period is not None else mart.fait_ventes
+    orders = s.select("nocom").distinct().select(F.count(F.lit(1))).scalar()
     return s.agg(
         to_money(F.sum("montant_net")).alias("ca_net"),
         to_money(F.sum("montant_brut")).alias("ca_brut"),
         to_money(F.sum(F.col("montant_brut") - F.col("montant_net"))).alias("remise_montant"),
         to_money(F.sum("port_alloc")).alias("port_total"),
-        F.countDistinct("nocom").alias("nb_commandes"),
         F.sum("qte").cast("bigint").alias("qte_totale"),
         F.count(F.lit(1)).alias("nb_lignes"),
-    )
+    ).select("ca_net", "ca_brut", "remise_montant", "port_total", orders.alias("nb_commandes"),
+             "qte_totale", "nb_lignes")
 
 
 # --------------------------------------------------------------------- R3
