@@ -1,11 +1,16 @@
 """Finance reports: business queries F1–F8 (by period) and their views.
 
-Pattern for every grouped report (eager aggregation through the star):
-aggregate the fact to (period, dimension key) first — a partial
-aggregate per task, so hot keys collapse before any shuffle — then attach
-the dimension's attributes, then roll up to the attribute grain. The
-fact itself never shuffles on a dimension key; only aggregates do, and
-Spark broadcasts or shuffle-joins them by size (AQE re-plans at run time).
+Join first, then aggregate. A small dimension is broadcast (no shuffle);
+a large one is sort-merge joined on its key, which puts every line of a
+member in one task, so the partial aggregate to the report's grain is
+fully effective there and only aggregated rows are shuffled after it.
+Pre-aggregating the fact to (period, member) before the join would not
+help: at fine grains the lines of one (period, member) are spread over
+many tasks (TPC-H-like data has under one line per month × product), so
+the pre-aggregate shuffles about as many rows as the fact, and a large
+dimension still needs the fact on its key. Reports whose grain *is* the
+member (one row per product, customer, …) aggregate by key first and
+attach the attributes to one row per member — the same cost either way.
 
 Money is summed in DECIMAL and returned as DOUBLE; averages are exact
 ``sum / count``; counts and quantities are BIGINT.
@@ -89,30 +94,27 @@ def _subtotals(detail: DataFrame, P: tuple[str, ...], group: str, item: str,
 def f2_revenue_product(mart: Mart, period: Period | None = None, grain: str = "mois") -> DataFrame:
     """net revenue per product name with a subtotal row per category."""
     P = finance_grain(grain)
-    base = sales(mart, period, P).groupBy(*P, "produit_key").agg(F.sum("montant_net").alias("ca"))
-    detail = base.join(mart.dim_produit.select("produit_key", "nomcateg", "nomprod"), "produit_key")
-    return _subtotals(detail, P, "nomcateg", "nomprod", {"ca_net": F.sum("ca")}, "categorie")
+    detail = (sales(mart, period, P).select(*P, "produit_key", "montant_net")
+              .join(mart.dim_produit.select("produit_key", "nomcateg", "nomprod"), "produit_key"))
+    return _subtotals(detail, P, "nomcateg", "nomprod", {"ca_net": F.sum("montant_net")}, "categorie")
 
 
 def f6_revenue_supplier_product(mart: Mart, period: Period | None = None, grain: str = "mois") -> DataFrame:
     """quantity and net revenue per supplier and product name, with a
     subtotal row per supplier."""
     P = finance_grain(grain)
-    base = sales(mart, period, P).groupBy(*P, "produit_key").agg(
-        F.sum("qte").alias("q"), F.sum("montant_net").alias("ca"))
-    detail = base.join(mart.dim_produit.select("produit_key", "fournisseur_societe", "nomprod"), "produit_key")
+    detail = (sales(mart, period, P).select(*P, "produit_key", "qte", "montant_net")
+              .join(mart.dim_produit.select("produit_key", "fournisseur_societe", "nomprod"), "produit_key"))
     return _subtotals(detail, P, "fournisseur_societe", "nomprod",
-                      {"qte_vendue": F.sum("q"), "ca_net": F.sum("ca")}, "fournisseur")
+                      {"qte_vendue": F.sum("qte"), "ca_net": F.sum("montant_net")}, "fournisseur")
 
 
 # --------------------------------------------------------------------- F3
 def f3_revenue_country(mart: Mart, period: Period | None = None, grain: str = "mois") -> DataFrame:
     """net revenue and allocated freight per delivery country."""
     P = finance_grain(grain)
-    base = sales(mart, period, P).groupBy(*P, "geo_key").agg(
-        F.sum("montant_net").alias("ca"), F.sum("port_alloc").alias("port"))
-    g = (base.join(mart.dim_geo.select("geo_key", "paysliv"), "geo_key", "left")
-         .groupBy(*P, "paysliv").agg(F.sum("ca").alias("ca"), F.sum("port").alias("port")))
+    g = (sales(mart, period, P).join(mart.dim_geo.select("geo_key", "paysliv"), "geo_key", "left")
+         .groupBy(*P, "paysliv").agg(F.sum("montant_net").alias("ca"), F.sum("port_alloc").alias("port")))
     return g.select(*P, _label("paysliv").alias("paysliv"), to_money(F.col("ca")).alias("ca_net"),
                     to_money(F.col("port")).alias("port_total_alloue")).orderBy(*P, F.col("ca_net").desc_nulls_first())
 
@@ -121,9 +123,9 @@ def f3_revenue_country(mart: Mart, period: Period | None = None, grain: str = "m
 def f4_revenue_carrier(mart: Mart, period: Period | None = None, grain: str = "mois") -> DataFrame:
     """net revenue carried per carrier name."""
     P = finance_grain(grain)
-    base = sales(mart, period, P).groupBy(*P, "transporteur_key").agg(F.sum("montant_net").alias("ca"))
-    g = (base.join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
-         .groupBy(*P, "nomtran").agg(F.sum("ca").alias("ca")))
+    g = (sales(mart, period, P)
+         .join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
+         .groupBy(*P, "nomtran").agg(F.sum("montant_net").alias("ca")))
     return g.select(*P, _label("nomtran").alias("transporteur"),
                     to_money(F.col("ca")).alias("ca_net")).orderBy(*P, F.col("ca_net").desc_nulls_first())
 
@@ -151,10 +153,10 @@ def f5_orders_employee_customer(mart: Mart, period: Period | None = None, grain:
 def f7_freight_carrier(mart: Mart, period: Period | None = None, grain: str = "mois") -> DataFrame:
     """shipments, total and average freight per carrier name (order grain)."""
     P = finance_grain(grain)
-    base = deliveries(mart, period, P).groupBy(*P, "transporteur_key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("port").alias("s"), F.count("port").alias("c"))
-    g = (base.join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
-         .groupBy(*P, "nomtran").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("c").alias("c")))
+    g = (deliveries(mart, period, P)
+         .join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
+         .groupBy(*P, "nomtran").agg(F.count(F.lit(1)).alias("n"), F.sum("port").alias("s"),
+                                     F.count("port").alias("c")))
     return g.select(
         *P, _label("nomtran").alias("transporteur"),
         F.col("n").alias("nb_expeditions"),
@@ -210,20 +212,16 @@ def v_revenue_product_full(mart: Mart) -> DataFrame:
 
 def v_revenue_delivery_country(mart: Mart) -> DataFrame:
     """Net revenue and allocated freight per delivery country (NULL kept)."""
-    base = mart.fait_ventes.groupBy("geo_key").agg(F.sum("montant_net").alias("ca"),
-                                                   F.sum("port_alloc").alias("p"))
-    g = (base.join(mart.dim_geo.select("geo_key", "paysliv"), "geo_key", "left")
-         .groupBy("paysliv").agg(F.sum("ca").alias("ca"), F.sum("p").alias("p")))
+    g = (mart.fait_ventes.join(mart.dim_geo.select("geo_key", "paysliv"), "geo_key", "left")
+         .groupBy("paysliv").agg(F.sum("montant_net").alias("ca"), F.sum("port_alloc").alias("p")))
     return g.select("paysliv", to_money(F.col("ca")).alias("ca_net"), to_money(F.col("p")).alias("port_total"))
 
 
 def v_revenue_carrier(mart: Mart) -> DataFrame:
     """Net revenue and allocated freight per carrier."""
-    base = mart.fait_ventes.groupBy("transporteur_key").agg(F.sum("montant_net").alias("ca"),
-                                                            F.sum("port_alloc").alias("p"))
-    g = (base.join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"),
-                   "transporteur_key", "left")
-         .groupBy("notran", "nomtran").agg(F.sum("ca").alias("ca"), F.sum("p").alias("p")))
+    g = (mart.fait_ventes.join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"),
+                               "transporteur_key", "left")
+         .groupBy("notran", "nomtran").agg(F.sum("montant_net").alias("ca"), F.sum("port_alloc").alias("p")))
     return g.select("notran", "nomtran", to_money(F.col("ca")).alias("ca_net"),
                     to_money(F.col("p")).alias("port_total"))
 
@@ -267,7 +265,8 @@ def vf2_revenue_product(mart: Mart) -> DataFrame:
 
 
 def vf2_revenue_category(mart: Mart) -> DataFrame:
-    g = _by_product(mart).groupBy("nomcateg").agg(F.sum("ca").alias("ca"))
+    g = (mart.fait_ventes.join(mart.dim_produit.select("produit_key", "nomcateg"), "produit_key")
+         .groupBy("nomcateg").agg(F.sum("montant_net").alias("ca")))
     return g.select("nomcateg", to_money(F.col("ca")).alias("ca_net")).orderBy(F.col("ca_net").desc_nulls_first())
 
 
@@ -303,11 +302,9 @@ def vf6_supplier_product(mart: Mart) -> DataFrame:
 
 
 def vf7_freight_carrier(mart: Mart) -> DataFrame:
-    base = mart.fait_livraisons.groupBy("transporteur_key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("port").alias("s"))
-    g = (base.join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"),
-                   "transporteur_key", "left")
-         .groupBy("notran", "nomtran").agg(F.sum("n").alias("nb_expeditions"), F.sum("s").alias("s")))
+    g = (mart.fait_livraisons.join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"),
+                                   "transporteur_key", "left")
+         .groupBy("notran", "nomtran").agg(F.count(F.lit(1)).alias("nb_expeditions"), F.sum("port").alias("s")))
     return g.select("notran", "nomtran", "nb_expeditions", to_money(F.col("s")).alias("port_total")
                     ).orderBy(F.col("port_total").desc_nulls_first())
 

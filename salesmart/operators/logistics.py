@@ -56,9 +56,8 @@ def l2_reorder(mart: Mart) -> DataFrame:
 def l3_qty_zone(mart: Mart, period: Period | None = None, grain: str = "semaine") -> DataFrame:
     """L3: quantities delivered per country / region / city."""
     P = logistics_grain(grain)
-    base = sales(mart, period, P).groupBy(*P, "geo_key").agg(F.sum("qte").alias("q"))
-    g = (base.join(mart.dim_geo.select("geo_key", *GEO3), "geo_key", "left")
-         .groupBy(*P, *GEO3).agg(F.sum("q").alias("qte_livree")))
+    g = (sales(mart, period, P).join(mart.dim_geo.select("geo_key", *GEO3), "geo_key", "left")
+         .groupBy(*P, *GEO3).agg(F.sum("qte").alias("qte_livree")))
     return g.select(*P, *[_label(c).alias(c) for c in GEO3], "qte_livree"
                     ).orderBy(*P, F.col("qte_livree").desc_nulls_first())
 
@@ -88,11 +87,11 @@ def l4_same_country_supplier(mart: Mart) -> DataFrame:
 def l5_shipping_delay(mart: Mart, period: Period | None = None, grain: str = "semaine") -> DataFrame:
     """Shipments, average shipping delay and freight per carrier name."""
     P = logistics_grain(grain)
-    base = deliveries(mart, period, P).groupBy(*P, "transporteur_key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("delai_envoi_jours").alias("sd"),
-        F.count("delai_envoi_jours").alias("cd"), F.sum("port").alias("sp"))
-    g = (base.join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
-         .groupBy(*P, "nomtran").agg(*[F.sum(c).alias(c) for c in ("n", "sd", "cd", "sp")]))
+    g = (deliveries(mart, period, P)
+         .join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
+         .groupBy(*P, "nomtran").agg(
+             F.count(F.lit(1)).alias("n"), F.sum("delai_envoi_jours").alias("sd"),
+             F.count("delai_envoi_jours").alias("cd"), F.sum("port").alias("sp")))
     return g.select(
         *P, _label("nomtran").alias("transporteur"),
         F.col("n").alias("nb_expeditions"),
@@ -113,21 +112,20 @@ def v_delays(mart: Mart) -> DataFrame:
 
 def v_qty_zone_all(mart: Mart) -> DataFrame:
     """Quantity and net revenue per country / region / city (NULLs kept)."""
-    base = mart.fait_ventes.groupBy("geo_key").agg(F.sum("qte").alias("q"), F.sum("montant_net").alias("ca"))
-    g = (base.join(mart.dim_geo.select("geo_key", *GEO3), "geo_key", "left")
-         .groupBy(*GEO3).agg(F.sum("q").alias("qte_totale"), F.sum("ca").alias("ca")))
+    g = (mart.fait_ventes.join(mart.dim_geo.select("geo_key", *GEO3), "geo_key", "left")
+         .groupBy(*GEO3).agg(F.sum("qte").alias("qte_totale"), F.sum("montant_net").alias("ca")))
     return g.select(*GEO3, "qte_totale", to_money(F.col("ca")).alias("ca_net"))
 
 
 def v_carrier_stats(mart: Mart) -> DataFrame:
     """Orders, average delay / lateness (NULLs ignored) and freight per carrier."""
-    base = mart.fait_livraisons.groupBy("transporteur_key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("delai_envoi_jours").alias("sd"), F.count("delai_envoi_jours").alias("cd"),
-        F.sum("retard_jours").alias("sr"), F.count("retard_jours").alias("cr"),
-        F.sum("port").alias("sp"))
-    g = (base.join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"), "transporteur_key", "left")
-         .groupBy("notran", "nomtran").agg(*[F.sum(c).alias(c) for c in ("n", "sd", "cd", "sr", "cr", "sp")]))
+    g = (mart.fait_livraisons
+         .join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"), "transporteur_key", "left")
+         .groupBy("notran", "nomtran").agg(
+             F.count(F.lit(1)).alias("n"),
+             F.sum("delai_envoi_jours").alias("sd"), F.count("delai_envoi_jours").alias("cd"),
+             F.sum("retard_jours").alias("sr"), F.count("retard_jours").alias("cr"),
+             F.sum("port").alias("sp")))
     return g.select(
         "notran", "nomtran", F.col("n").alias("nb_commandes"),
         (F.col("sd").cast("double") / F.nullif(F.col("cd"), F.lit(0))).alias("delai_moyen_envoi"),
@@ -179,10 +177,10 @@ def vl5_late_rate_carrier(mart: Mart) -> DataFrame:
     """Share of late orders per carrier; orders without a known lateness
     count in the denominator."""
     late = F.when(F.col("retard_jours") > 0, 1).otherwise(0)
-    base = mart.fait_livraisons.groupBy("transporteur_key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(late).alias("r"))
-    g = (base.join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"), "transporteur_key", "left")
-         .groupBy("notran", "nomtran").agg(F.sum("n").alias("nb_cmd"), F.sum("r").alias("nb_retard")))
+    g = (mart.fait_livraisons
+         .join(mart.dim_transporteur.select("transporteur_key", "notran", "nomtran"), "transporteur_key", "left")
+         .groupBy("notran", "nomtran").agg(F.count(F.lit(1)).alias("nb_cmd"),
+                                           F.sum(late).cast("bigint").alias("nb_retard")))
     return g.select("notran", "nomtran", "nb_cmd", "nb_retard",
                     pct_round2(F.col("nb_retard"), F.col("nb_cmd")).alias("taux_retard_pct")
                     ).orderBy(F.col("taux_retard_pct").desc_nulls_first())

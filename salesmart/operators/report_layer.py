@@ -148,8 +148,6 @@ def gap_direction(mart: Mart, period: Period | None = None) -> DataFrame:
           .join(F.broadcast(cal.select(F.col("date_key").alias("dateobj_key"), F.col("date_jour").alias("_obj"))),
                 "dateobj_key", "left"))
     gap = F.datediff("_env", "_obj")
-    base = fl.groupBy("transporteur_key", gap_direction_label(gap).alias("sens")).agg(
-        F.count(F.lit(1)).alias("n"))
-    g = (base.join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
-         .groupBy("nomtran", "sens").agg(F.sum("n").alias("nb_commandes")))
+    g = (fl.join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")
+         .groupBy("nomtran", gap_direction_label(gap).alias("sens")).agg(F.count(F.lit(1)).alias("nb_commandes")))
     return g.select(_label("nomtran").alias("transporteur"), "sens", "nb_commandes")

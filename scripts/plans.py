@@ -25,8 +25,8 @@ from salesmart.sources.testdata import load_oltp  # noqa: E402
 NOTES = {
     "fact_sales (staged load)": "lines ⋈ order fact on `nocom`: one join, totals already on the order fact; "
                                 "the product row-loss rule ran as an integrity check, so no product join.",
-    "f2_revenue_product": "fact pruned to 3 columns, calendar broadcast, partial aggregate before the only "
-                          "fact-side exchange, product attached to the aggregate, one Expand for subtotals.",
+    "f2_revenue_product": "fact pruned to 3 columns, calendar and product joined first (broadcast at this "
+                          "size), partial aggregate before the only exchange, one Expand for subtotals.",
     "f2_revenue_product, Period(1998, 8)": "`annee` partition filter and a pushed `date_key` range on the scan.",
     "f8_top_customers_period": "period totals broadcast (bounded by the calendar) and joined back; top-20 by "
                                "TakeOrderedAndProject.",
