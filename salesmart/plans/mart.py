@@ -91,6 +91,10 @@ def _table_path(root: str, name: str) -> str:
 
 FACT_SORT = {"fait_livraisons": "datecom_key", "fait_ventes": "date_key"}
 
+# Reports broadcast the calendar; its size is bounded by the span of the
+# order dates, which the staged load checks (200 years of days).
+MAX_CALENDAR_DAYS = 200 * 366
+
 
 def write_table(name: str, df: DataFrame, root: str, mode: str = "overwrite") -> None:
     """S5 for one table. Facts are partitioned by ``annee`` and sorted by
@@ -124,6 +128,10 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
     for name, df in build_dims(oltp, s, existing, eager=True).items():
         write_table(name, df, root)
     d = {name: spark.read.parquet(_table_path(root, name)) for name in DIM_KEYS}
+    days = d["dim_temps"].count()
+    if days > MAX_CALENDAR_DAYS:
+        raise ValueError(f"order / ship / target dates span {days} days (> {MAX_CALENDAR_DAYS}): "
+                         "check the source dates before loading")
     liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"],
                                 d["dim_transporteur"], d["dim_geo"], s, eager_checks=True)
     write_table("fait_livraisons", liv, root)

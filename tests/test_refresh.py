@@ -46,3 +46,16 @@ def test_staged_load_equals_lazy_build_on_test_data(spark, tmp_root):
     lazy = build_mart(oltp)
     for name in staged.tables():
         assert _same(getattr(staged, name), getattr(lazy, name)), name
+
+
+def test_load_refuses_an_implausible_calendar(spark, tmp_root):
+    import datetime as dt
+
+    import pytest
+
+    from conftest import edge_rows, make_oltp
+
+    rows = edge_rows()
+    rows["commande"][0] = dict(rows["commande"][0], dateobjliv=dt.date(2999, 1, 1))
+    with pytest.raises(ValueError, match="span"):
+        load_mart(make_oltp(spark, **rows), f"{tmp_root}/m")
