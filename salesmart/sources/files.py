@@ -65,5 +65,9 @@ def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     100 TB source never pays this shuffle. Meant for plain source scans:
     counting partitions plans the input, and runs any broadcast in it.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # a remote (Connect) session exposes no partitions: leave as is
+        return df
+    return df.repartition(target) if narrow else df
