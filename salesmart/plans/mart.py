@@ -12,6 +12,7 @@ source load whose sales insert doubled the fact on a second run.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from collections.abc import Iterable
 
@@ -125,8 +126,12 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
     spark = oltp.commande.sparkSession
     s = tuple(sentinels)
     oltp = replace(oltp, commande=widen(oltp.commande))
-    for name, df in build_dims(oltp, s, existing, eager=True).items():
-        write_table(name, df, root)
+    # the six dimension loads are independent jobs: submit them together so
+    # small ones do not leave the cluster idle while they run one by one
+    dims_plan = build_dims(oltp, s, existing, eager=True)
+    with ThreadPoolExecutor(max_workers=len(dims_plan)) as pool:
+        for f in [pool.submit(write_table, name, df, root) for name, df in dims_plan.items()]:
+            f.result()
     d = {name: spark.read.parquet(_table_path(root, name)) for name in DIM_KEYS}
     days = d["dim_temps"].count()
     if days > MAX_CALENDAR_DAYS:
