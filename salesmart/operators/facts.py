@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from salesmart.functions import date_key
 from salesmart.operators.dims import GEO_COLS, clean_geo
-from salesmart.operators.merge import keep_known
+from salesmart.operators.merge import keep_known, keep_known_all
 from salesmart.operators.surrogate import lookup_key
 from salesmart.schema import AMOUNT, RATE, SENTINEL
 from salesmart.sources.files import widen
@@ -80,7 +80,7 @@ def fact_deliveries(commande: DataFrame, detail: DataFrame, dim_client: DataFram
     reference resolves; otherwise they stay lazy LEFT SEMI joins.
     """
     if eager_checks:
-        orders = keep_known(keep_known(commande, "codecli", dim_client), "noemp", dim_employe)
+        orders = keep_known_all(commande, [("codecli", dim_client), ("noemp", dim_employe)])
     else:
         orders = (commande
                   .join(dim_client.select("codecli"), "codecli", "left_semi")

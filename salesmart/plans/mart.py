@@ -62,10 +62,12 @@ def build_dims(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
         new = {name: insert_if_absent(getattr(existing, name).drop(*([HASHED[name]] if name in HASHED else [])),
                                       df, DIM_KEYS[name])
                for name, df in new.items()}
-    new["dim_client"] = with_hashed_key(new["dim_client"], DIM_KEYS["dim_client"], "client_key", eager).select(
-        "client_key", *dims.CLIENT_COLS)
-    new["dim_geo"] = with_hashed_key(new["dim_geo"], DIM_KEYS["dim_geo"], "geo_key", eager).select(
-        "geo_key", *dims.GEO_COLS)
+    # the two clash checks (eager: one small job each) are independent
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        client = pool.submit(with_hashed_key, new["dim_client"], DIM_KEYS["dim_client"], "client_key", eager)
+        geo = pool.submit(with_hashed_key, new["dim_geo"], DIM_KEYS["dim_geo"], "geo_key", eager)
+        new["dim_client"] = client.result().select("client_key", *dims.CLIENT_COLS)
+        new["dim_geo"] = geo.result().select("geo_key", *dims.GEO_COLS)
     return new
 
 

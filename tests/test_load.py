@@ -147,3 +147,14 @@ def test_repeated_natural_key_is_not_a_clash(spark):
     assert keyed.select("k").distinct().count() == 2                             # Q3 reports the repeat
     rows = spark.createDataFrame([("C1", 1)], "codecli string, v int")
     assert lookup_key(rows, ["codecli"], "k", keyed, eager=True).count() == 1     # no fact row doubled
+
+
+def test_keep_known_all_equals_nested(spark):
+    from salesmart.operators.merge import keep_known_all
+
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", 9), (3, "z", 1), (None, "a", 1)], "k int, c string, v int")
+    dk = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    dc = spark.createDataFrame([("a",), ("b",)], "c string")
+    nested = keep_known(keep_known(df, "k", dk), "c", dc).select("k", "c", "v")
+    both = keep_known_all(df, [("k", dk), ("c", dc)]).select("k", "c", "v")
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, nested.collect())) == [(1, "a", 1), (2, "b", 9)]
