@@ -68,3 +68,22 @@ def test_week_filter_without_year_pushes_date_ranges(persisted):
     # an OR of one range per run of days (the plan text is truncated after the first few)
     assert "PushedFilters: [Or(Or(" in p and "GreaterThanOrEqual(datecom_key,19950102)" in p
     assert {r.semaine_iso for r in df.collect()} == {1}
+
+
+def test_calendar_key_runs_cover_exactly_the_kept_days(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from salesmart.plans.period import calendar_key_runs
+
+    days = [dt.date(2014, 12, 29) + dt.timedelta(d) for d in range(7)]          # ISO week 1 of 2015
+    days += [dt.date(2016, 1, 4) + dt.timedelta(d) for d in range(7)]           # ISO week 1 of 2016
+    cal = spark.createDataFrame([(d,) for d in days], "d date").select(
+        (F.year("d") * 10000 + F.month("d") * 100 + F.dayofmonth("d")).alias("k"))
+    cond = calendar_key_runs(cal, "k")
+    probe = spark.createDataFrame([(20141228,), (20141229,), (20150104,), (20150105,), (20160104,),
+                                   (20160110,), (20160111,)], "k int")
+    assert sorted(r.k for r in probe.filter(cond).collect()) == [20141229, 20150104, 20160104, 20160110]
+    assert calendar_key_runs(cal.filter("k < 0"), "k") is not None             # no day kept: matches nothing
+    assert probe.filter(calendar_key_runs(cal.filter("k < 0"), "k")).count() == 0
