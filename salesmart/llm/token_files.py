@@ -42,7 +42,7 @@ BLOCK_TOKENS = 1 << 20
 SHARD_ROWS = 16_384
 _HEAD = struct.Struct("<4sBQq")
 _TOKENS = "doc_id long, shard int, n_tokens long, tie long, ids binary"
-_BLOCKS = "shard int, block int, n_docs long, n_tokens long, payload binary"
+_BLOCKS = "shard int, block int, n_docs long, before long, n_tokens long, payload binary"
 
 
 def _ends(lengths: np.ndarray) -> np.ndarray:
@@ -104,18 +104,19 @@ def tokenize(docs: DataFrame, path: str, spaces: bool, end_id: int, bounds: list
 
 def _to_blocks(block_tokens: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block, doc_ids, ids, total = None, 0, [], [], 0
+        shard, block, doc_ids, ids, total, before = None, 0, [], [], 0, 0
         unpress = zstandard.ZstdDecompressor()
 
         def done():
-            return pa.RecordBatch.from_pylist([{"shard": shard, "block": block, "n_docs": len(doc_ids), "n_tokens": total, "payload": pack_block(doc_ids, ids, width)}], pa.schema(
-                [("shard", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())]))
+            return pa.RecordBatch.from_pylist([{"shard": shard, "block": block, "n_docs": len(doc_ids), "before": before, "n_tokens": total, "payload": pack_block(doc_ids, ids, width)}], pa.schema(
+                [("shard", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int64()), ("before", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())]))
 
         for batch in batches:
             for d, s, packed in zip(batch.column("doc_id").to_pylist(), batch.column("shard").to_pylist(), batch.column("ids"), strict=True):
                 if doc_ids and (s != shard or total >= block_tokens):
                     yield done()
-                    block, doc_ids, ids, total = block + 1 if s == shard else 0, [], [], 0
+                    block, before = (block + 1, before + total) if s == shard else (0, 0)
+                    doc_ids, ids, total = [], [], 0
                 shard = s
                 doc_ids.append(d)
                 ids.append(np.frombuffer(unpress.decompress(packed.as_py()), f"<u{width}"))
@@ -148,13 +149,18 @@ def write_blocks(docs: DataFrame, folder: str, path: str, spaces: bool, end_id:
 
 
 def read_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """The blocks with ``base``, the ids of all blocks before. Two sums: of shards, then of the blocks in a shard."""
+    """The blocks with ``base``, the ids of all blocks before.
+
+    A block knows what its shard holds before it; what other shards hold is a
+    sum over a row per shard, written beside the blocks. Spark sees the size
+    of that file and sends it to all tasks, or shuffles where it is large.
+    """
     blocks = spark.read.schema(_BLOCKS).parquet(folder)
-    counts = blocks.select("shard", "block", "n_tokens")
-    shards = (counts.groupBy("shard").agg(F.sum("n_tokens").alias("of_shard"))
-              .select("shard", (F.sum("of_shard").over(Window.orderBy("shard")) - F.col("of_shard")).alias("before_shard")))
-    within = counts.select("shard", "block", (F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("block")) - F.col("n_tokens")).alias("before_block"))
-    return blocks.join(within.join(shards, "shard").select("shard", "block", (F.col("before_shard") + F.col("before_block")).alias("base")), ["shard", "block"])
+    shards = blocks.groupBy("shard").agg(F.sum("n_tokens").alias("of_shard"))
+    starts = shards.select("shard", (F.sum("of_shard").over(Window.orderBy("shard")) - F.col("of_shard")).alias("start"))
+    starts.write.mode("overwrite").parquet(f"{folder}-shards")
+    starts = spark.read.schema("shard int, start long").parquet(f"{folder}-shards")
+    return blocks.join(starts, "shard").withColumn("base", F.col("before") + F.col("start"))
 
 
 def documents_of(blocks: DataFrame) -> DataFrame:

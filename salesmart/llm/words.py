@@ -18,6 +18,9 @@ import pyarrow as pa
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(b".,;:!?")] = True
+
 #: A batch is worked on in slices of about so many bytes of text (one row at least).
 SLICE_BYTES = 8 << 20
 
@@ -71,7 +74,16 @@ def _encode(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, pa.Binar
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
-def words(column: pa.Array, lower: bool = False) -> Words:
+def _marks_after_letters(data: np.ndarray) -> np.ndarray:
+    """Places of ``.,;:!?`` right after a Latin letter (ASCII, or one of U+00C0 to U+00FF)."""
+    at = np.flatnonzero(_MARK[data[1:]]) + 1
+    one, two = data[at - 1], data[np.maximum(at - 2, 0)]
+    ascii_letter = ((one | 0x20) >= 0x61) & ((one | 0x20) <= 0x7A)
+    return at[ascii_letter | ((two == 0xC3) & (at > 1) & (one >= 0x80) & (one != 0x97) & (one != 0xB7))]
+
+
+def words(column: pa.Array, lower: bool = False, marks: bool = False) -> Words:
+    """The words of a column; with ``marks``, punctuation after a letter begins a word of its own."""
     data, ends = text_bytes(column)
     if len(data) == 0:
         return Words(np.zeros(len(ends), np.int64), np.empty(0, np.int64), pa.array([], pa.binary()))
@@ -80,10 +92,12 @@ def words(column: pa.Array, lower: bool = False) -> Words:
     first[1:] &= ~inside[:-1]
     edges = ends[:-1][ends[:-1] < len(data)]
     first[edges] = inside[edges]
+    if marks:
+        first[_marks_after_letters(data)] = True
     starts = np.flatnonzero(first)
     kept = data[inside]
-    before = np.concatenate(([0], np.cumsum(inside)))[np.concatenate((starts, [len(data)]))]
-    codes, vocabulary = _encode(lower_ascii(kept) if lower else kept, np.diff(before))
+    lengths = np.diff(np.flatnonzero(first[inside]), append=len(kept))
+    codes, vocabulary = _encode(lower_ascii(kept) if lower else kept, lengths)
     return Words(np.searchsorted(starts, ends, side="left"), codes, vocabulary)
 
 
@@ -97,8 +111,8 @@ def spaced_words(column: pa.Array) -> Words:
     """Runs of white space with the word after them; together they are the whole text.
 
     A cut is made before white space that follows a character which surely is
-    none. Tokenizers that attach spaces to the word behind them never join
-    text across such a place.
+    none, and before punctuation after a letter. Tokenizers that attach spaces
+    to the word behind them never join text across such a place.
     """
     data, ends = text_bytes(column)
     if len(data) == 0:
@@ -107,6 +121,7 @@ def spaced_words(column: pa.Array) -> Words:
     cut = np.zeros(len(data), bool)
     at = np.flatnonzero(space[1:] & ~space[:-1]) + 1
     cut[at[~_may_be_wide_space(data, at)]] = True
+    cut[_marks_after_letters(data)] = True
     cut[ends[:-1][ends[:-1] < len(data)]] = True
     starts = np.flatnonzero(cut)
     codes, vocabulary = _encode(data, np.diff(np.concatenate((starts, [len(data)]))))
