@@ -6,10 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.llm.mixing import op5_source_mixing
+from salesmart.llm.packing import op1_best_fit_packing
+from salesmart.llm.quality import OP6_SQL, op6_quality_rules
+from salesmart.llm.secret_scan import op4_secret_scan
+from salesmart.llm.superminhash import op7_superminhash
 from salesmart.llm.token_files import op2_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_token_files": op2_token_files,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_source_mixing": op5_source_mixing,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_superminhash": op7_superminhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_quality_rules": OP6_SQL,
+}
