@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.llm.host_reputation import OP9_SQL, op9_host_reputation
+from salesmart.llm.longest_match import op10_token_counts
 from salesmart.llm.mixing import op5_source_mixing
 from salesmart.llm.packing import op1_best_fit_packing
 from salesmart.llm.quality import OP6_SQL, op6_quality_rules
 from salesmart.llm.secret_scan import op4_secret_scan
+from salesmart.llm.spherical_caps import OP8_SQL, op8_spherical_caps
 from salesmart.llm.superminhash import op7_superminhash
 from salesmart.llm.token_files import op2_token_files
 
@@ -20,8 +23,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mixing": op5_source_mixing,
     "op6_quality_rules": op6_quality_rules,
     "op7_superminhash": op7_superminhash,
+    "op8_spherical_caps": op8_spherical_caps,
+    "op9_host_reputation": op9_host_reputation,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
     "op6_quality_rules": OP6_SQL,
+    "op8_spherical_caps": OP8_SQL,
+    "op9_host_reputation": OP9_SQL,
 }

@@ -28,7 +28,7 @@ MAX_BYTES = 96 << 20
 _PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves, the rest from U+0100 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = iter(range(0x100, 0x200))
@@ -51,7 +51,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.cut = spaced_words if spaces else partial(words, marks=True)
         self.lower = not spaces  # the tokenizer without spaces lower-cases
-        self.letter = _byte_letters()
+        self.letter = byte_letters()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._clear()
 
