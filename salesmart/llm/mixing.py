@@ -148,21 +148,29 @@ def copies(rows: DataFrame, folder: str, weights: tuple[float, ...] = WEIGHTS, s
             .select("row", (F.col("whole") + F.col("__one").isNotNull().cast("long")).alias("copies"), "source_size", "target"))
 
 
-def _numbered(docs: DataFrame, folder: str) -> DataFrame:
-    """(row, tie, source, size, doc_id), written once, so that row numbers hold."""
-    sized = with_sizes(docs.select("doc_id", "source", "text")).select(
-        F.monotonically_increasing_id().alias("row"),
-        F.xxhash64("doc_id", "source", "__size").alias("tie"), F.col("source").cast("string").alias("source"), F.col("__size").alias("size"), F.col("doc_id"))
-    sized.write.mode("errorifexists").parquet(f"{folder}/sizes")
-    return docs.sparkSession.read.schema(sized.schema).parquet(f"{folder}/sizes")
+def _rows(docs: DataFrame, folder: str, carried: list[str]) -> DataFrame:
+    """(row, tie, source, size, doc), written once, so that row numbers hold; doc holds the carried columns."""
+    numbered = with_sizes(docs).select(
+        F.monotonically_increasing_id().alias("row"), F.xxhash64("doc_id", "source", "__size").alias("tie"),
+        F.col("source").cast("string").alias("source"), F.col("__size").alias("size"), F.struct(*[F.col(f"`{c}`") for c in carried]).alias("doc"))
+    numbered.write.mode("errorifexists").parquet(f"{folder}/rows")
+    return docs.sparkSession.read.schema(numbered.schema).parquet(f"{folder}/rows")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """(doc_id, size, source_size, target, taken, copies) of documents (doc_id, source, text)."""
     folder = scratch_dir(docs.sparkSession, "mixing")
-    rows = _numbered(docs, folder)
+    rows = _rows(docs, folder, ["doc_id"])
     return (rows.join(copies(rows.select("row", "tie", "source", "size"), folder, **options), "row")
-            .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"))
+            .select("doc.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies"))
+
+
+def take(docs: DataFrame, folder: str, **options) -> DataFrame:
+    """The mix itself: rows of ``docs`` (doc_id, source, text and others), each as often as it is taken."""
+    rows = _rows(docs, folder, docs.columns)
+    wanted = copies(rows.select("row", "tie", "source", "size"), folder, **options).where("copies > 0").select("row", "copies")
+    repeated = rows.select("row", "doc").join(wanted, "row").select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("again"))
+    return repeated.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.llm.once import once
+
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
@@ -61,36 +63,34 @@ def line_fails(line: Column, lowered: Column) -> Column:
 
 
 def _windows(docs: DataFrame) -> DataFrame:
-    """``__n_repeat``: words that lie in a three-word window found twice or more."""
+    """``__n_repeat``: words that lie in a three-word window found twice or more; takes ``__words`` away."""
     windows = F.when(F.size("__words") >= 3, F.transform(
         F.slice("__words", 1, F.size("__words") - 2), lambda w, i: F.xxhash64(w, F.get("__words", i + 1), F.get("__words", i + 2)))).otherwise(F.array().cast("array<bigint>"))
-    out = docs.withColumn("__hashes", windows)
+    out = once(docs, __hashes=windows).drop("__words")
     # Most texts repeat no window: only the others are sorted with their places.
     places = F.when(F.size(F.array_distinct("__hashes")) < F.size("__hashes"), F.sort_array(F.transform("__hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    out = out.withColumn("__places", F.coalesce(places, F.array().cast("array<struct<h:bigint,i:int>>"))).drop("__hashes")
+    out = once(out, __places=F.coalesce(places, F.array().cast("array<struct<h:bigint,i:int>>"))).drop("__hashes")
     same = lambda s, k: F.coalesce(F.get("__places", k)["h"] == s["h"], F.lit(False))
     again = F.filter("__places", lambda s, k: ((k > 0) & same(s, F.greatest(k - 1, F.lit(0)))) | same(s, k + 1))
-    out = out.withColumn("__again", F.sort_array(F.transform(again, lambda s: s["i"]))).drop("__places")
+    out = once(out, __again=F.sort_array(F.transform(again, lambda s: s["i"]))).drop("__places")
     spans = F.transform("__again", lambda p, k: F.least(F.lit(3), F.coalesce(F.get("__again", k + 1) - p, F.lit(3))))
-    return out.withColumn("__n_repeat", F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, x: a + x)).drop("__again")
+    return once(out, __n_repeat=F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, x: a + x)).drop("__again")
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """``docs`` (with text) and the columns __n_words, __word_chars, __n_symbols, __n_dup_lines, __n_repeat, __base_failed, __kept, __clean."""
-    out = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    out = out.withColumn("__words", F.regexp_extract_all("__text", F.lit(WORD), F.lit(0))).withColumn("__lines", F.split("__text", "\n", -1))
-    out = out.withColumn("__lower", F.split(F.lower("__text"), "\n", -1))
-    out = out.withColumn("__n_words", F.size("__words").cast("long")).withColumn("__word_chars", F.length(F.array_join("__words", "")).cast("long"))
-    out = _windows(out).drop("__words").withColumn("__n_symbols", _n("__text", SYMBOLS)).drop("__text")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    out = once(docs, __lines=F.split(text, "\n", -1), __lower=F.split(F.lower(text), "\n", -1), __n_symbols=_n(text, SYMBOLS))
     filled = F.filter("__lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    out = out.withColumn("__filled", filled)
-    out = out.withColumn("__n_dup_lines", (F.size("__filled") - F.size(F.array_distinct("__filled"))).cast("long")).drop("__filled")
-    out = out.withColumn("__good", F.filter("__lines", lambda x, i: ~line_fails(x, F.get("__lower", i)))).drop("__lower")
-    out = out.withColumn("__clean", F.when(F.col("text").isNotNull(), F.array_join("__good", "\n")))
-    left = F.when(F.size("__good") == F.size("__lines"), F.col("__n_words")).otherwise(_n("__clean", WORD))
-    out = out.withColumn("__left", F.coalesce(left, F.lit(0)).cast("long")).drop("__good", "__lines")
+    good = F.filter("__lines", lambda x, i: ~line_fails(x, F.get("__lower", i)))
+    out = once(out, __filled=filled, __good=good).withColumn("__all_good", F.size("__good") == F.size("__lines")).drop("__lines", "__lower")
+    clean_text = F.when(F.col("text").isNotNull(), F.array_join("__good", "\n"))
+    out = once(out, __clean=clean_text, __n_dup_lines=(F.size("__filled") - F.size(F.array_distinct("__filled"))).cast("long"), __words=F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).drop("__filled", "__good")
+    n_words = F.size("__words").cast("long")
+    left = F.when(F.col("__all_good"), n_words).otherwise(F.coalesce(_n("__clean", WORD), F.lit(0).cast("long")))
+    out = once(out, __n_words=n_words, __word_chars=F.length(F.array_join("__words", "")).cast("long"), __left=left).drop("__all_good")
     failed = (F.col("__n_words") < MIN_WORDS) | (F.col("__n_repeat") * 100 > F.col("__n_words") * REPEAT_SHARE)
-    out = out.withColumn("__base_failed", failed)
+    out = _windows(out).withColumn("__base_failed", failed)
     return out.withColumn("__kept", ~F.col("__base_failed") & (F.col("__left") * 100 >= F.col("__n_words") * KEEP_SHARE))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salesmart.llm.host_reputation import OP9_SQL, op9_host_reputation
+from salesmart.llm.katz import op3_katz_scores
 from salesmart.llm.longest_match import op10_token_counts
 from salesmart.llm.mixing import op5_source_mixing
 from salesmart.llm.packing import op1_best_fit_packing
@@ -19,6 +20,7 @@ from salesmart.llm.token_files import op2_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_token_files": op2_token_files,
+    "op3_katz_scores": op3_katz_scores,
     "op4_secret_scan": op4_secret_scan,
     "op5_source_mixing": op5_source_mixing,
     "op6_quality_rules": op6_quality_rules,

@@ -26,6 +26,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesmart.llm.once import once
+
 # Fixed patterns.
 ASSIGN = (r"(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
           r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -51,16 +53,23 @@ def _spans_of(kind: int, found: Column) -> Column:
     return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), (m["start"] + F.length(m["match"])).alias("end")))
 
 
-def _with_matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
-    """Adds array ``name`` of (match, start) in order; texts without a match cost one search."""
-    hit = F.col("__text").rlike(pattern)
-    df = df.withColumn("__m", F.when(hit, F.regexp_extract_all("__text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    df = df.withColumn("__between", F.when(F.size("__m") > 0, F.transform(F.split("__text", pattern, -1), lambda s: F.length(s))).otherwise(F.array().cast("array<int>")))
+def _with_matches(df: DataFrame, **patterns: str) -> DataFrame:
+    """Adds an array of (match, start) in order for each pattern; texts without a match cost one search."""
+    none = F.array().cast("array<string>")
+    found = {f"{n}_m": F.when(F.col("__text").rlike(p), F.regexp_extract_all("__text", F.lit(p), F.lit(0))).otherwise(none) for n, p in patterns.items()}
+    df = once(df, **found)
+    lengths = {f"{n}_b": F.when(F.size(f"{n}_m") > 0, F.transform(F.split("__text", p, -1), lambda s: F.length(s))).otherwise(F.array().cast("array<int>")) for n, p in patterns.items()}
+    df = once(df, **lengths)
+    return once(df, **{n: _placed(f"{n}_m", f"{n}_b") for n in patterns}).drop(*found, *lengths)
+
+
+def _placed(matches: str, between: str) -> Column:
+    """(match, start): the lengths between and of the matches, added up."""
     start = F.struct(F.array().cast("array<struct<match:string,start:int>>").alias("out"), F.lit(0).alias("at"))
-    folded = F.aggregate(F.sequence(F.lit(0), F.size("__m") - 1), start, lambda a, k: F.struct(
-        F.concat(a["out"], F.array(F.struct(F.get("__m", k).alias("match"), (a["at"] + F.get("__between", k)).alias("start")))).alias("out"),
-        (a["at"] + F.get("__between", k) + F.length(F.get("__m", k))).alias("at")), lambda a: a["out"])
-    return df.withColumn(name, F.when(F.size("__m") > 0, folded).otherwise(F.array().cast("array<struct<match:string,start:int>>"))).drop("__m", "__between")
+    folded = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, lambda a, k: F.struct(
+        F.concat(a["out"], F.array(F.struct(F.get(matches, k).alias("match"), (a["at"] + F.get(between, k)).alias("start")))).alias("out"),
+        (a["at"] + F.get(between, k) + F.length(F.get(matches, k))).alias("at")), lambda a: a["out"])
+    return F.when(F.size(matches) > 0, folded).otherwise(F.array().cast("array<struct<match:string,start:int>>"))
 
 
 def _window_bits(run: Column) -> Column:
@@ -91,24 +100,22 @@ def _window_bits(run: Column) -> Column:
 
 def spans(docs: DataFrame) -> DataFrame:
     """``docs`` (with text) and ``__base``, ``__spans``: arrays of (kind, start, end) sorted by start, then kind."""
-    df = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    for name, pattern in (("__assign", ASSIGN), ("__access", ACCESS), ("__hex", HEX), ("__runs", CANDIDATE)):
-        df = _with_matches(df, name, pattern)
+    df = once(docs, __text=F.coalesce(F.col("text").cast("string"), F.lit("")))
+    df = _with_matches(df, __assign=ASSIGN, __access=ACCESS, __hex=HEX, __runs=CANDIDATE).drop("__text")
     end = lambda m: m["start"] + F.length(m["match"])
     kept = {
         0: F.filter("__assign", lambda m: F.length(F.regexp_extract(m["match"], "^" + ASSIGN, 1)) >= MIN_ASSIGN),
         1: F.filter("__access", lambda m: F.length(m["match"]) >= MIN_ACCESS),
         2: F.col("__hex"),
     }
-    df = df.withColumn("__base", F.sort_array(F.concat(*[_spans_of(kind, found) for kind, found in kept.items()]))).drop("__assign", "__access", "__hex", "__text")
     mixed = lambda m: m["match"].rlike("[A-Za-z]") & m["match"].rlike("[0-9]") & ~m["match"].rlike(ALLOW)
-    df = df.withColumn("__runs", F.filter("__runs", mixed))
-    bits = F.transform("__runs", lambda m: F.struct(m["match"].alias("match"), m["start"].alias("start"), _window_bits(m["match"]).alias("bits")))
-    df = df.withColumn("__runs", F.when(F.size("__runs") > 0, bits).otherwise(F.array().cast("array<struct<match:string,start:int,bits:double>>")))
+    df = once(df, __base=F.sort_array(F.concat(*[_spans_of(kind, found) for kind, found in kept.items()])), __mixed=F.filter("__runs", mixed)).drop("__assign", "__access", "__hex", "__runs")
+    bits = F.transform("__mixed", lambda m: F.struct(m["match"].alias("match"), m["start"].alias("start"), _window_bits(m["match"]).alias("bits")))
+    df = once(df, __runs=F.when(F.size("__mixed") > 0, bits).otherwise(F.array().cast("array<struct<match:string,start:int,bits:double>>"))).drop("__mixed")
     limit = lambda m: F.when(m["match"].rlike("^[0-9a-fA-F]+$"), F.lit(HEX_BITS)).otherwise(F.lit(ALPHABET_BITS))
     held = lambda m: F.exists("__base", lambda s: (s["start"] <= m["start"]) & (s["end"] >= end(m)))
     new = F.filter("__runs", lambda m: (m["bits"] >= limit(m)) & ~held(m))
-    return df.withColumn("__spans", F.sort_array(F.concat("__base", _spans_of(3, new)))).drop("__runs")
+    return once(df, __spans=F.sort_array(F.concat("__base", _spans_of(3, new)))).drop("__runs")
 
 
 def _named(array: str) -> Column:
@@ -123,9 +130,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     cut = F.aggregate("__spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
         F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).alias("out"),
         s["end"].alias("at"))))
-    df = df.withColumn("__cut", F.when(F.size("__spans") > 0, cut))
+    df = once(df, __cut=F.when(F.size("__spans") > 0, cut))
     text = F.when(F.size("__spans") > 0, F.concat(F.col("__cut.out"), F.substr("text", F.col("__cut.at") + 1))).otherwise(F.col("text"))
-    df = df.withColumn("__new", text)
+    df = once(df, __new=text)
     new = {"text": F.col("__new"), **({"n_chars": F.when(F.size("__spans") > 0, F.length("__new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in names else {})}
     return df.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in names])
 
