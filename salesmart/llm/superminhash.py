@@ -12,12 +12,20 @@ Slots of two documents are equal with a chance of their Jaccard similarity.
 ``BANDS`` bands of ``ROWS`` slots make candidates (a pair at 0.8 is missed with a chance
 of 4e-7), which are verified on the full sets.
 
-Equal sets are one node from the start. Within a bucket candidates are the
-pairs of one pivot with all others, so a group of n near copies costs n pairs;
-components of the confirmed links follow. In buckets that still hold several
-components, further rounds take other pivots against the members of other
-components; at last the pairs of different components that are left in such
-a bucket are verified too, so that no pair in a bucket is passed over. The
+Equal sets are one node from the start. A bucket's candidates are compared
+with one pivot, the member that shares most buckets, so a group of n near
+copies costs n pairs. Members that aren't linked to their pivot c may still be
+linked to each other or to other members; two bounds leave few such pairs. As
+a pair x, y shares at most min(|x & c|, |y & c|) shingles within c, it either
+
+* reaches the needed overlap with these alone: a bound on known numbers, and
+  only pairs that meet it are verified; or
+* shares shingles outside c. By prefix filtering the two then share one of
+  the first of these in a fixed order (as many as leave the needed overlap
+  possible), so (c, shingle) are new, much smaller buckets, to which the same applies.
+
+After ``PIVOT_ROUNDS`` such rounds the pairs of different components that are left in
+a bucket are verified one by one. No pair in a bucket is passed over. The
 shingle sets of candidates only are built again from their texts.
 
 Edges: documents without words or text have no set, are linked with nothing
@@ -28,6 +36,7 @@ unless all its rows have none. An empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -38,6 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesmart.llm.components import components
+from salesmart.llm.once import once
 from salesmart.llm.words import slices, words
 from salesmart.session import scratch_dir
 
@@ -47,7 +57,7 @@ SLOTS = ROWS * BANDS
 SHINGLE = 5
 PERCENT = 80
 #: Rounds with one pivot a bucket before the remaining pairs are verified.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
 #: Elements whose permutations are held at once.
 _CHUNK = 200_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -184,11 +194,14 @@ class _Store:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (u, v) with whether 100 * intersection reaches ``percent`` * union."""
+    """``pairs`` (u, v) with sizes, the common shingles, whether they are linked, and the prefix of v's shingles outside u."""
     mine, other = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "uv")
-    both = pairs.join(other, "v").join(mine, "u")
-    common = F.size(F.array_intersect("u_set", "v_set"))
-    return both.select("u", "v", (common * 100 >= (F.size("u_set") + F.size("v_set") - common) * percent).alias("linked"))
+    both = pairs.select("u", "v").join(other, "v").join(mine, "u")
+    both = once(both, common=F.size(F.array_intersect("u_set", "v_set")), n_u=F.size("u_set"), n_v=F.size("v_set"))
+    linked = F.col("common") * (100 + percent) >= (F.col("n_u") + F.col("n_v")) * percent
+    need = F.greatest(F.lit(1), F.ceil(F.col("n_v") * percent / 100).cast("int") - F.col("common"))
+    outside = F.slice(F.sort_array(F.array_except("v_set", "u_set")), F.lit(1), F.greatest(F.lit(0), F.col("n_v") - F.col("common") - need + 1))
+    return both.select("u", "v", "n_u", "n_v", "common", linked.alias("linked"), outside.alias("outside"))
 
 
 def _labels(links: DataFrame, store: _Store, name: str) -> DataFrame:
@@ -201,41 +214,55 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     store = _Store(spark, scratch_dir(spark, "near-duplicates"))
     signed = store(_sign_documents(docs, shingle, rows, bands), "signed")
     nodes = store(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "nodes")
-    rows_ = nodes.select("node", "n", F.explode("bands").alias("bucket"))
-    shared = rows_.groupBy("bucket").agg(F.count("*").alias("c"), F.min("node").alias("pivot")).where("c > 1").select("bucket", "pivot")
-    members = store(rows_.join(shared, "bucket").select("bucket", "node", "n", "pivot"), "members")
+    rows_ = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = rows_.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+    members = store(rows_.join(shared, "bucket").select("bucket", "node"), "members0")
 
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("rep").alias("doc_id"))
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(wanted.distinct(), "doc_id", "left_semi")
     sets = store(_sets(texts, shingle).dropDuplicates(["node"]), "sets")
 
-    of_node = nodes.select("node", "n")
-    pairs = members.where("node <> pivot").select(F.col("pivot").alias("u"), F.col("node").alias("v"), F.col("n").alias("n_v")).distinct()
-    pairs = pairs.join(of_node.select(F.col("node").alias("u"), F.col("n").alias("n_u")), "u")
-    fits = f"100 * least(n_u, n_v) >= {percent} * greatest(n_u, n_v)"  # else the sizes alone keep them apart
-    done = store(_verified(pairs.where(fits).select("u", "v"), sets, percent), "verified0")
-    label = _labels(done.where("linked").select("u", "v"), store, "labels0")
-    for turn in range(1, pivot_rounds + 2):
-        here = members.select("bucket", "node", "n").join(label, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("component"))
-        mixed = store(here.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "component")).alias("p")).where("a <> b"), f"mixed{turn}")
-        if mixed.isEmpty():
-            break
-        if turn <= pivot_rounds:
-            pairs = (here.join(mixed.select("bucket", F.col("p.node").alias("p"), F.col("p.n").alias("n_p"), F.col("p.component").alias("pc")), "bucket")
-                     .where("component <> pc").select(F.least("p", "node").alias("u"), F.greatest("p", "node").alias("v"), F.col("n").alias("n_u"), F.col("n_p").alias("n_v")))
-        else:
-            rest = here.join(mixed.select("bucket"), "bucket", "left_semi")
-            other = rest.select("bucket", F.col("node").alias("o"), F.col("n").alias("n_v"), F.col("component").alias("oc"))
-            pairs = rest.join(other, "bucket").where("node < o AND component <> oc").select(F.col("node").alias("u"), F.col("o").alias("v"), F.col("n").alias("n_u"), "n_v")
-        pairs = store(pairs.where(fits).select("u", "v").distinct().join(done.select("u", "v"), ["u", "v"], "left_anti"), f"pairs{turn}")
-        if pairs.isEmpty():
-            if turn <= pivot_rounds:
-                continue
-            break
-        done = store(done.unionByName(_verified(pairs, sets, percent)), f"verified{turn}")
-        label = _labels(done.where("linked").select("u", "v"), store, f"labels{turn}")
-
-    component = nodes.select("node", "rep").join(label, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
+    of_size = nodes.select("node", "n")
+    links, label, turn = [], None, 0
+
+    def link(found: DataFrame, name: str) -> None:
+        nonlocal label
+        links.append(found.select("u", "v"))
+        label = _labels(functools.reduce(DataFrame.unionByName, links), store, name)
+
+    def labelled(df: DataFrame, node: str, name: str) -> DataFrame:
+        of = label.select(F.col("node").alias(node), F.col("component").alias(name))
+        return df.join(of, node, "left").withColumn(name, F.coalesce(name, node))
+
+    while turn < pivot_rounds and not members.isEmpty():
+        sizes = members.groupBy("bucket").agg(F.count("*").alias("c"))
+        weight = members.join(sizes, "bucket").groupBy("node").agg(F.sum("c").alias("weight"))
+        pivot = members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("p")).select("bucket", F.col("p.node").alias("u"))
+        pairs = members.join(pivot, "bucket").where("node <> u").select("u", F.col("node").alias("v")).distinct()
+        tried = store(_verified(pairs, sets, percent), f"verified{turn}")
+        link(tried.where("linked"), f"labels{turn}")
+        here = labelled(tried, "v", "component")
+        # Pairs that can be linked by what they share with the pivot.
+        near = here.where(f"100 * common >= {percent} * n_v").select("u", "v", "n_v", "common", "linked", "component")
+        second = near.select("u", *[F.col(c).alias(f"o_{c}") for c in ("v", "n_v", "common", "component")])
+        inside = (near.where("NOT linked").join(second, "u").where(f"v <> o_v AND component <> o_component AND least(common, o_common) * {100 + percent} >= (n_v + o_n_v) * {percent}")
+                  .select(F.least("v", "o_v").alias("u"), F.greatest("v", "o_v").alias("v")).distinct())
+        link(store(_verified(inside, sets, percent).where("linked").select("u", "v"), f"inside{turn}"), f"labels{turn}b")
+        # Pairs that share shingles outside the pivot.
+        here = labelled(tried.select("u", "v", "linked", "outside"), "v", "component")
+        rows_ = here.select(F.col("v").alias("node"), "component", "linked", F.explode(F.transform("outside", lambda s: F.xxhash64("u", s))).alias("bucket"))
+        shared = rows_.groupBy("bucket").agg(F.count("*").alias("c"), F.min("component").alias("a"), F.max("component").alias("b"), F.min("linked").alias("all_linked")).where("c > 1 AND a <> b AND NOT all_linked")
+        turn += 1
+        members = store(rows_.join(shared.select("bucket"), "bucket", "left_semi").select("bucket", "node").distinct(), f"members{turn}")
+    if not members.isEmpty():
+        rest = labelled(members, "node", "component").join(of_size, "node")
+        other = rest.select("bucket", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "component")])
+        pairs = (rest.join(other, "bucket").where(f"node < o_node AND component <> o_component AND 100 * least(n, o_n) >= {percent} * greatest(n, o_n)")
+                 .select(F.col("node").alias("u"), F.col("o_node").alias("v")).distinct())
+        link(store(_verified(pairs, sets, percent).where("linked").select("u", "v"), "rest"), "labels")
+
+    component = nodes.select("node", "rep")
+    component = labelled(component, "node", "component") if label is not None else component.withColumn("component", F.col("node"))
     smallest = component.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = component.select("node", "component").join(smallest, "component").select("node", "component_id")
     out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
