@@ -53,14 +53,15 @@ def with_levels(df: DataFrame) -> DataFrame:
 def _level(counts: DataFrame, parent: DataFrame, level: str, up: str | None) -> DataFrame:
     """(level, its parents, mean) with counts shrunk to the parent's mean by the level's strength."""
     of_all = F.col("n") > 0
-    each = counts.withColumn("rate", F.when(of_all, F.col("bad") / F.col("n")))
+    each = counts.withColumn("rate", F.try_divide("bad", "n"))
     total = counts.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("b"), F.coalesce(F.sum("n"), F.lit(0)).alias("t"), F.coalesce(F.sum(F.col("n") * F.col("n")), F.lit(0)).alias("t2"), F.count(F.when(of_all, 1)).alias("k"))
-    total = total.withColumn("p", F.when(F.col("t") > 0, F.col("b") / F.col("t")).otherwise(0.5))
+    total = total.withColumn("p", F.coalesce(F.try_divide("b", "t"), F.lit(0.5)))
     spread = each.crossJoin(F.broadcast(total)).agg(F.sum(F.col("n") * (F.col("rate") - F.col("p")) * (F.col("rate") - F.col("p"))).alias("s"))  # one row on the right
     moments = total.crossJoin(F.broadcast(spread))
     chance = F.col("p") * (1 - F.col("p"))
-    share = (F.col("s") / chance - (F.col("k") - 1)) / (F.col("t") - F.col("t2") / F.col("t") - (F.col("k") - 1))
-    strength = F.when((F.col("t") > 0) & (chance > 0) & (F.col("t") - F.col("t2") / F.col("t") - (F.col("k") - 1) > 0) & (share > 0), 1 / share - 1).otherwise(STRENGTH[1])
+    excess = F.try_divide(F.col("s"), chance) - (F.col("k") - 1)  # null where nothing can be estimated
+    room = F.col("t") - F.try_divide("t2", "t") - (F.col("k") - 1)
+    strength = F.when((room > 0) & (excess > 0), F.try_divide(room, excess) - 1).otherwise(STRENGTH[1])
     strength = F.least(F.greatest(strength, F.lit(STRENGTH[0])), F.lit(STRENGTH[1]))
     prior = counts.crossJoin(F.broadcast(moments.select(strength.alias("strength"))))  # one row
     prior = prior.crossJoin(F.broadcast(parent)) if up is None else prior.join(parent.select(up, F.col("mean").alias("prior")), up)
@@ -74,7 +75,7 @@ def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
     hosts = with_levels(voted.groupBy("host").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad")))
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    everything = suffixes.agg(F.when(F.sum("n") > 0, F.sum("bad") / F.sum("n")).otherwise(0.5).alias("prior"))
+    everything = suffixes.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.5)).alias("prior"))
     of_suffix = _level(suffixes, everything, "suffix", None)
     of_domain = _level(domains, of_suffix, "domain", "suffix")
     of_host = _level(hosts, of_domain, "host", "domain")

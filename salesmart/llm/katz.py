@@ -74,7 +74,7 @@ def pack(*arrays: np.ndarray) -> bytes:
             top = int(a.max()) if len(a) else 0
             code = next(c for c in (1, 2, 4, 8) if top < 1 << (8 * c))
             raw = a.astype(f"<u{code}")
-        planes = np.ascontiguousarray(raw.view(np.uint8).reshape(len(a), -1).T)
+        planes = np.ascontiguousarray(raw.view(np.uint8).reshape(len(a), raw.dtype.itemsize).T)
         data = press.compress(planes.tobytes())
         out.append(struct.pack("<BQQ", code, len(a), len(data)) + data)
     return b"".join(out)

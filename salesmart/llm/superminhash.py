@@ -231,6 +231,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         label = _labels(functools.reduce(DataFrame.unionByName, links), store, name)
 
     def labelled(df: DataFrame, node: str, name: str) -> DataFrame:
+        if label is None:
+            return df.withColumn(name, F.col(node))
         of = label.select(F.col("node").alias(node), F.col("component").alias(name))
         return df.join(of, node, "left").withColumn(name, F.coalesce(name, node))
 
@@ -262,7 +264,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         link(store(_verified(pairs, sets, percent).where("linked").select("u", "v"), "rest"), "labels")
 
     component = nodes.select("node", "rep")
-    component = labelled(component, "node", "component") if label is not None else component.withColumn("component", F.col("node"))
+    component = labelled(component, "node", "component")
     smallest = component.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = component.select("node", "component").join(smallest, "component").select("node", "component_id")
     out = signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
