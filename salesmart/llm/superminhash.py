@@ -13,20 +13,21 @@ Slots of two documents are equal with a chance of their Jaccard similarity.
 of 4e-7), which are verified on the full sets.
 
 Equal sets are one node from the start. A bucket's candidates are compared
-with one pivot, the member that shares most buckets, so a group of n near
-copies costs n pairs. Members that aren't linked to their pivot c may still be
-linked to each other or to other members; two bounds leave few such pairs. As
+with two pivots, the member u that shares most buckets and the next such
+member w of u's pairs, so a group of n near copies costs 2 n pairs. Members that
+are linked to neither may still be linked to each other or to other members;
+two bounds leave few such pairs. Let c be the shingles of u and w together. As
 a pair x, y shares at most min(|x & c|, |y & c|) shingles within c, it either
 
 * reaches the needed overlap with these alone: a bound on known numbers, and
   only pairs that meet it are verified; or
 * shares shingles outside c. By prefix filtering the two then share one of
   the first of these in a fixed order (as many as leave the needed overlap
-  possible), so (c, shingle) are new, much smaller buckets, to which the same applies.
+  possible), so (u, shingle) are new, much smaller buckets, to which the same applies.
 
 After ``PIVOT_ROUNDS`` such rounds the pairs of different components that are left in
-a bucket are verified one by one. No pair in a bucket is passed over. The
-shingle sets of candidates only are built again from their texts.
+a bucket, and that the bounds allow, are verified one by one. No pair in a bucket
+is passed over. The shingle sets of candidates only are built again from their texts.
 
 Edges: documents without words or text have no set, are linked with nothing
 and are kept. Shorter documents than a shingle have one, their whole sequence of
@@ -194,14 +195,26 @@ class _Store:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (u, v) with sizes, the common shingles, whether they are linked, and the prefix of v's shingles outside u."""
+    """The linked ones of ``pairs`` (u, v)."""
     mine, other = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set")) for c in "uv")
-    both = pairs.select("u", "v").join(other, "v").join(mine, "u")
-    both = once(both, common=F.size(F.array_intersect("u_set", "v_set")), n_u=F.size("u_set"), n_v=F.size("v_set"))
-    linked = F.col("common") * (100 + percent) >= (F.col("n_u") + F.col("n_v")) * percent
-    need = F.greatest(F.lit(1), F.ceil(F.col("n_v") * percent / 100).cast("int") - F.col("common"))
-    outside = F.slice(F.sort_array(F.array_except("v_set", "u_set")), F.lit(1), F.greatest(F.lit(0), F.col("n_v") - F.col("common") - need + 1))
-    return both.select("u", "v", "n_u", "n_v", "common", linked.alias("linked"), outside.alias("outside"))
+    both = once(pairs.select("u", "v").join(other, "v").join(mine, "u"), common=F.size(F.array_intersect("u_set", "v_set")))
+    return both.where(F.col("common") * (100 + percent) >= (F.size("u_set") + F.size("v_set")) * percent).select("u", "v")
+
+
+def _tried(pairs: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Each pair (u, v) with u's second pivot w: whether v is linked to u and to w, and v's shingles inside and outside of both.
+
+    ``outside`` is the prefix that a pair with enough overlap must share some of.
+    """
+    of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
+    both = pairs.select("u", "v").join(of("v"), "v").join(pivots.join(of("w"), "w").join(of("u"), "u"), "u")
+    size, common = (lambda c: F.size(f"{c}_set")), (lambda c: F.size(F.array_intersect(f"{c}_set", "v_set")))
+    both = once(both, in_u=common("u"), in_w=common("w"), beyond=F.array_except("v_set", F.array_union("u_set", "w_set")))
+    linked = lambda c: F.col(f"in_{c}") * (100 + percent) >= (size(c) + size("v")) * percent
+    both = both.select("u", "v", "w", size("v").alias("n_v"), (size("v") - F.size("beyond")).alias("inside"), linked("u").alias("with_u"), ((F.col("v") != F.col("w")) & linked("w")).alias("with_w"), F.sort_array("beyond").alias("beyond"))
+    need = F.greatest(F.lit(1), F.ceil(F.col("n_v") * percent / 100).cast("int") - F.col("inside"))
+    prefix = F.slice("beyond", F.lit(1), F.greatest(F.lit(0), F.col("n_v") - F.col("inside") - need + 1))
+    return both.select("u", "v", "w", "n_v", "inside", "with_u", "with_w", (F.col("with_u") | F.col("with_w") | (F.col("v") == F.col("w"))).alias("settled"), prefix.alias("outside"))
 
 
 def _labels(links: DataFrame, store: _Store, name: str) -> DataFrame:
@@ -227,6 +240,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     def link(found: DataFrame, name: str) -> None:
         nonlocal label
+        if found.isEmpty():
+            return
         links.append(found.select("u", "v"))
         label = _labels(functools.reduce(DataFrame.unionByName, links), store, name)
 
@@ -239,29 +254,35 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     while turn < pivot_rounds and not members.isEmpty():
         sizes = members.groupBy("bucket").agg(F.count("*").alias("c"))
         weight = members.join(sizes, "bucket").groupBy("node").agg(F.sum("c").alias("weight"))
-        pivot = members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("p")).select("bucket", F.col("p.node").alias("u"))
-        pairs = members.join(pivot, "bucket").where("node <> u").select("u", F.col("node").alias("v")).distinct()
-        tried = store(_verified(pairs, sets, percent), f"verified{turn}")
-        link(tried.where("linked"), f"labels{turn}")
-        here = labelled(tried, "v", "component")
-        # Pairs that can be linked by what they share with the pivot.
-        near = here.where(f"100 * common >= {percent} * n_v").select("u", "v", "n_v", "common", "linked", "component")
-        second = near.select("u", *[F.col(c).alias(f"o_{c}") for c in ("v", "n_v", "common", "component")])
-        inside = (near.where("NOT linked").join(second, "u").where(f"v <> o_v AND component <> o_component AND least(common, o_common) * {100 + percent} >= (n_v + o_n_v) * {percent}")
+        weighed = members.join(weight, "node")
+        pivot = weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("p")).select("bucket", F.col("p.node").alias("u"))
+        pairs = store(weighed.join(pivot, "bucket").where("node <> u").select("u", F.col("node").alias("v"), "weight").distinct(), f"pairs{turn}")
+        pivots = pairs.groupBy("u").agg(F.max(F.struct("weight", "v")).alias("p")).select("u", F.col("p.v").alias("w"))
+        tried = store(_tried(pairs, pivots, sets, percent), f"tried{turn}")
+        link(tried.where("with_u").select("u", "v").unionByName(tried.where("with_w").select(F.col("w").alias("u"), "v")), f"labels{turn}")
+        # Pairs that can be linked by what they share inside the pivots' sets.
+        here = labelled(tried.select("u", "v", "n_v", "inside", "settled"), "v", "component")
+        near = here.where(f"100 * inside >= {percent} * n_v").drop("settled")
+        second = near.select("u", *[F.col(c).alias(f"o_{c}") for c in ("v", "n_v", "inside", "component")])
+        open_ = here.where(f"NOT settled AND 100 * inside >= {percent} * n_v")
+        inside = (open_.join(second, "u").where(f"v <> o_v AND component <> o_component AND least(inside, o_inside) * {100 + percent} >= (n_v + o_n_v) * {percent}")
                   .select(F.least("v", "o_v").alias("u"), F.greatest("v", "o_v").alias("v")).distinct())
-        link(store(_verified(inside, sets, percent).where("linked").select("u", "v"), f"inside{turn}"), f"labels{turn}b")
-        # Pairs that share shingles outside the pivot.
-        here = labelled(tried.select("u", "v", "linked", "outside"), "v", "component")
-        rows_ = here.select(F.col("v").alias("node"), "component", "linked", F.explode(F.transform("outside", lambda s: F.xxhash64("u", s))).alias("bucket"))
-        shared = rows_.groupBy("bucket").agg(F.count("*").alias("c"), F.min("component").alias("a"), F.max("component").alias("b"), F.min("linked").alias("all_linked")).where("c > 1 AND a <> b AND NOT all_linked")
+        link(store(_verified(inside, sets, percent), f"inside{turn}"), f"labels{turn}b")
+        # Pairs that share shingles outside of them.
+        here = labelled(tried.select("u", "v", "n_v", "inside", "settled", "outside"), "v", "component")
+        rows_ = here.select("u", F.col("v").alias("node"), "n_v", "inside", "component", "settled", F.explode(F.transform("outside", lambda s: F.xxhash64("u", s))).alias("bucket"))
+        shared = rows_.groupBy("bucket").agg(F.count("*").alias("c"), F.min("component").alias("a"), F.max("component").alias("b"), F.min("settled").alias("all_settled")).where("c > 1 AND a <> b AND NOT all_settled")
         turn += 1
-        members = store(rows_.join(shared.select("bucket"), "bucket", "left_semi").select("bucket", "node").distinct(), f"members{turn}")
+        members = store(rows_.join(shared.select("bucket"), "bucket", "left_semi").select("bucket", "node", "n_v", "inside"), f"members{turn}")
     if not members.isEmpty():
-        rest = labelled(members, "node", "component").join(of_size, "node")
-        other = rest.select("bucket", *[F.col(c).alias(f"o_{c}") for c in ("node", "n", "component")])
-        pairs = (rest.join(other, "bucket").where(f"node < o_node AND component <> o_component AND 100 * least(n, o_n) >= {percent} * greatest(n, o_n)")
+        if turn == 0:  # no pivots: nothing is known to lie inside
+            members = members.join(of_size, "node").select("bucket", "node", F.col("n").alias("n_v"), F.lit(0).alias("inside"))
+        rest = labelled(members, "node", "component")
+        other = rest.select("bucket", *[F.col(c).alias(f"o_{c}") for c in ("node", "n_v", "inside", "component")])
+        most = "(least(inside, o_inside) + least(n_v - inside, o_n_v - o_inside))"
+        pairs = (rest.join(other, "bucket").where(f"node < o_node AND component <> o_component AND {most} * {100 + percent} >= (n_v + o_n_v) * {percent}")
                  .select(F.col("node").alias("u"), F.col("o_node").alias("v")).distinct())
-        link(store(_verified(pairs, sets, percent).where("linked").select("u", "v"), "rest"), "labels")
+        link(store(_verified(pairs, sets, percent), "rest"), "labels")
 
     component = nodes.select("node", "rep")
     component = labelled(component, "node", "component")
