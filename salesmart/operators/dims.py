@@ -1,9 +1,8 @@
 """Dimension loads E1–E8.
 
 Dimensions keep the source's natural key next to a deterministic
-surrogate key (see ``salesmart.functions.keys``). Source primary keys are
-unique by contract; Q3 verifies it instead of paying a shuffle per load
-to de-duplicate them. ``dim_geo`` is a DISTINCT by definition.
+surrogate key (see ``salesmart.functions.keys``). Members that the source
+repeats collapse to one when a dimension is loaded (``operators.merge``).
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions import clean, date_key, iso_weekday
-from salesmart.operators.surrogate import with_hashed_key
+from salesmart.functions.keys import natural_key
 from salesmart.schema import SENTINEL
 
 GEO_COLS = ("paysliv", "regionliv", "villeliv", "codepostalliv")
@@ -48,8 +47,8 @@ def calendar(days: DataFrame, col: str = "date_jour") -> DataFrame:
 def dim_date(commande: DataFrame) -> DataFrame:
     """One row per day between the bounds of E1.
 
-    Its size is bounded by the calendar span (366 rows per year), never by
-    the number of orders, which is why reports may broadcast it.
+    Its size follows the span of the dates, never the number of orders. A
+    stray date makes it longer but fails nothing.
     """
     days = date_bounds(commande).select(
         F.explode(F.sequence("dmin", "dmax", F.expr("INTERVAL 1 DAY"))).alias("date_jour"))
@@ -65,10 +64,9 @@ def client_rows(client: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> Da
     return client.select("codecli", *[clean(c, s).alias(c) for c in CLIENT_COLS[1:]])
 
 
-def dim_client(client: DataFrame, sentinels: Iterable[str] = (SENTINEL,), eager: bool = False) -> DataFrame:
-    """Customers with their collision-free hashed key."""
-    rows = client_rows(client, sentinels)
-    return with_hashed_key(rows, ["codecli"], "client_key", eager).select("client_key", *CLIENT_COLS)
+def dim_client(client: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
+    """Customers with their hashed key."""
+    return client_rows(client, sentinels).select(natural_key("codecli").alias("client_key"), *CLIENT_COLS)
 
 
 def dim_employe(employe: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
@@ -101,11 +99,9 @@ def geo_rows(commande: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> Dat
     return commande.select(clean_geo(sentinels)).distinct()
 
 
-def dim_geo(commande: DataFrame, sentinels: Iterable[str] = (SENTINEL,), eager: bool = False) -> DataFrame:
-    """Delivery addresses with their collision-free hashed key (NULL-safe
-    on all 4 fields)."""
-    return with_hashed_key(geo_rows(commande, sentinels), list(GEO_COLS), "geo_key", eager).select(
-        "geo_key", *GEO_COLS)
+def dim_geo(commande: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
+    """Delivery addresses with their hashed key (NULL-safe on all 4 fields)."""
+    return geo_rows(commande, sentinels).select(natural_key(*GEO_COLS).alias("geo_key"), *GEO_COLS)
 
 
 def dim_produit(produit: DataFrame, categorie: DataFrame, fournisseur: DataFrame,

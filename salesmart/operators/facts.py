@@ -9,15 +9,13 @@ Plan at scale (one order may carry a third of all lines):
   ``nocom``; with the order fact read back from its files (staged load)
   both inputs are plain shuffles, and AQE's skew-join splits a hot
   order's partition on the line side, replicating the one-row order side;
-* dimension keys are computed, not looked up (``salesmart.functions.keys``;
-  only the rare re-hashed members of ``operators.surrogate`` are);
+* dimension keys are computed, not looked up (``salesmart.functions.keys``);
   the inner joins of the source load that drop rows without a customer,
-  employee or product become, in the staged load, integrity checks
-  (``keep_known``) that join nothing when every reference resolves, and
-  in the lazy plan LEFT SEMI joins that Spark broadcasts or shuffle-joins
-  by the dimension's size;
-* ``ventes_key`` is ``monotonically_increasing_id`` taken in the scan
-  stage of the lines, before any exchange, so a retried task reproduces it.
+  employee or product are LEFT SEMI joins that Spark broadcasts or
+  shuffles by the dimension's size, which AQE can split;
+* ``ventes_key`` numbers the lines (``monotonically_increasing_id`` in their
+  scan stage, before any exchange): unique within a load, but not the same
+  in the next one, as lines have no natural key.
 """
 
 from __future__ import annotations
@@ -28,14 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.functions import date_key
+from salesmart.functions.keys import natural_key
 from salesmart.operators.dims import GEO_COLS, clean_geo
-from salesmart.operators.merge import keep_known, keep_known_all
-from salesmart.operators.surrogate import lookup_key
 from salesmart.schema import AMOUNT, RATE, SENTINEL
-from salesmart.sources.files import widen
 
 NET_EXACT = "decimal(18,4)"    # qte * prixunit * (1 - remise) is exact at scale 4
-TOTAL_EXACT = "decimal(20,4)"
 
 
 def line_amounts(detail: DataFrame) -> DataFrame:
@@ -49,8 +44,8 @@ def line_amounts(detail: DataFrame) -> DataFrame:
 
 
 def order_net_total(lines: DataFrame) -> DataFrame:
-    """SUM(net) per order (partial aggregation before the shuffle)."""
-    return lines.groupBy("nocom").agg(F.sum("montant_net").cast(TOTAL_EXACT).alias("total_net"))
+    """SUM(net) per order, DECIMAL(28,4) (partial aggregation before the shuffle)."""
+    return lines.groupBy("nocom").agg(F.sum("montant_net").alias("total_net"))
 
 
 def allocated_freight(port: str = "port", net: str = "montant_net", total: str = "total_net") -> F.Column:
@@ -65,8 +60,7 @@ def allocated_freight(port: str = "port", net: str = "montant_net", total: str =
 
 
 def fact_deliveries(commande: DataFrame, detail: DataFrame, dim_client: DataFrame, dim_employe: DataFrame,
-                    dim_transporteur: DataFrame, dim_geo: DataFrame, sentinels: Iterable[str] = (SENTINEL,),
-                    eager_checks: bool = False) -> DataFrame:
+                    dim_transporteur: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
     """One row per order with a known customer and employee.
 
     Besides the source columns it keeps ``total_net``, the order's net
@@ -74,25 +68,16 @@ def fact_deliveries(commande: DataFrame, detail: DataFrame, dim_client: DataFram
     denominator of the freight allocation. Storing it here makes the sales
     fact a two-input join of lines with this table, which AQE can split
     when one order holds a large share of the lines.
-
-    ``eager_checks`` (used by the staged refresh) applies the row-loss
-    rules with ``keep_known`` — no shuffle of the orders when every
-    reference resolves; otherwise they stay lazy LEFT SEMI joins.
     """
-    if eager_checks:
-        orders = keep_known_all(commande, [("codecli", dim_client), ("noemp", dim_employe)])
-    else:
-        orders = (commande
-                  .join(dim_client.select("codecli"), "codecli", "left_semi")
-                  .join(dim_employe.select("noemp"), "noemp", "left_semi"))
+    orders = (commande
+              .join(dim_client.select("codecli"), "codecli", "left_semi")
+              .join(dim_employe.select("noemp"), "noemp", "left_semi"))
     orders = (orders.join(dim_transporteur.select("notran", "transporteur_key"), "notran", "left")
               .join(order_net_total(line_amounts(detail)), "nocom", "left"))
     cleaned = orders.select(
         "nocom", "codecli", "noemp", "transporteur_key", "datecom", "dateenv", "dateobjliv", "port", "total_net",
         *clean_geo(sentinels))
-    keyed = lookup_key(cleaned, ["codecli"], "client_key", dim_client, eager_checks)
-    keyed = lookup_key(keyed, list(GEO_COLS), "geo_key", dim_geo, eager_checks)
-    return _fact_deliveries(keyed)
+    return _fact_deliveries(cleaned.withColumns({"client_key": natural_key("codecli"), "geo_key": natural_key(*GEO_COLS)}))
 
 
 def _fact_deliveries(cleaned: DataFrame) -> DataFrame:
@@ -115,28 +100,21 @@ def _fact_deliveries(cleaned: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame,
-               eager_checks: bool = False, widen_lines: bool = False) -> DataFrame:
+def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame) -> DataFrame:
     """One row per order line whose order and product are known.
 
     ``deliveries`` is the order-grain fact (E12): it already carries the
     order's keys and net total, and applies the customer / employee
     row-loss rules the source load applies to the lines. Read back from
     its files (staged load), the join below has two shuffled inputs, the
-    shape AQE's skew-join handles. ``widen_lines`` spreads a narrow line
-    source over the cluster after the keys are taken (``sources.files.widen``).
+    shape AQE's skew-join handles.
     """
     lines = line_amounts(detail).withColumn("ventes_key", F.monotonically_increasing_id())
-    if widen_lines:
-        lines = widen(lines)
-    if eager_checks:
-        lines = keep_known(lines, "refprod", dim_produit)
+    lines = lines.join(dim_produit.select("refprod"), "refprod", "left_semi")
     header = deliveries.select(
         "nocom", F.col("datecom_key").alias("date_key"), "client_key", "employe_key",
         "transporteur_key", "geo_key", "port", "total_net", "annee")
     enriched = lines.join(header, "nocom")
-    if not eager_checks:
-        enriched = enriched.join(dim_produit.select("refprod"), "refprod", "left_semi")
     return enriched.select(
         "ventes_key", "date_key", "client_key", "employe_key", "transporteur_key",
         F.col("refprod").alias("produit_key"), "geo_key", "nocom", "qte", "prixunit",

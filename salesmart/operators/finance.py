@@ -67,7 +67,7 @@ def f1_discounts(mart: Mart, period: Period | None = None) -> DataFrame:
         to_money(F.col("montant_brut") - F.col("montant_net")).alias("remise_montant"),
         to_money(F.col("montant_net")).alias("montant_net"),
     )
-    return out.orderBy(*_desc("remise_montant", "remise_taux", "montant_net"))
+    return out.orderBy(*_desc("remise_montant", "remise_taux", "montant_net"), "nocom", "nomprod")
 
 
 # --------------------------------------------------------------- F2 / F6
@@ -243,7 +243,7 @@ def v_discounts_agg(mart: Mart) -> DataFrame:
 def vf1_discounts(mart: Mart) -> DataFrame:
     """F1 view: every line, largest discount rate then net amount first."""
     s = (mart.fait_ventes
-         .join(F.broadcast(mart.dim_temps.select("date_key", "date_jour")), "date_key")
+         .join(mart.dim_temps.select("date_key", "date_jour"), "date_key")
          .join(mart.dim_produit.select("produit_key", "refprod", "nomprod"), "produit_key")
          .join(mart.dim_client.select("client_key", "codecli", F.col("societe").alias("societe_client")),
                "client_key")
@@ -255,7 +255,7 @@ def vf1_discounts(mart: Mart) -> DataFrame:
         F.col("remise").cast("double").alias("remise"),
         to_money(F.col("montant_brut")).alias("montant_brut"),
         to_money(F.col("montant_net")).alias("montant_net"))
-    return out.orderBy(*_desc("remise", "montant_net"))
+    return out.orderBy(*_desc("remise", "montant_net"), "nocom", "refprod")
 
 
 def vf2_revenue_product(mart: Mart) -> DataFrame:

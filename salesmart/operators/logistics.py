@@ -25,10 +25,10 @@ def l1_date_gaps(mart: Mart, period: Period | None = None, limit: int = 50) -> D
     P = ["annee", "trimestre", "mois", "semaine_iso"]
     cal = mart.dim_temps
     fl = deliveries(mart, period, P + ["date_jour"]).withColumnRenamed("date_jour", "date_commande")
-    fl = (fl.join(F.broadcast(cal.select(F.col("date_key").alias("dateenv_key"),
-                                         F.col("date_jour").alias("date_envoi"))), "dateenv_key", "left")
-          .join(F.broadcast(cal.select(F.col("date_key").alias("dateobj_key"),
-                                       F.col("date_jour").alias("date_objectif"))), "dateobj_key", "left"))
+    fl = (fl.join(cal.select(F.col("date_key").alias("dateenv_key"), F.col("date_jour").alias("date_envoi")),
+                  "dateenv_key", "left")
+          .join(cal.select(F.col("date_key").alias("dateobj_key"), F.col("date_jour").alias("date_objectif")),
+                "dateobj_key", "left"))
     gap = F.datediff("date_envoi", "date_objectif")
     top = (fl.select(*P, "nocom", "date_commande", "date_envoi", "date_objectif", "transporteur_key", "geo_key",
                      gap.alias("ecart_obj_envoi_jours"), F.abs(gap).alias("ecart_abs_jours"))
@@ -66,16 +66,17 @@ def l3_qty_zone(mart: Mart, period: Period | None = None, grain: str = "semaine"
 def l4_same_country_supplier(mart: Mart) -> DataFrame:
     """L4: orders holding a product whose supplier is in the delivery country.
 
-    Two line-sized shuffles at most: lines meet their product (supplier
-    country), then their order on (order, country) — the country equality
-    is a join key, so no pair is built only to be filtered. The final
-    DISTINCT needs no exchange: the join's hash partitioning on (order,
-    country) already co-locates equal rows.
+    Lines meet their product (supplier country) and become distinct (order,
+    country, supplier) rows before they meet their order, so an order with
+    very many lines brings one row per supplier to the join, and partial
+    aggregates reduce it in every task. The country equality is a join key,
+    so no pair is built only to be filtered.
     """
     sup = (mart.fait_ventes.select("nocom", "produit_key")
            .join(mart.dim_produit.filter(F.col("fournisseur_pays").isNotNull())
                  .select("produit_key", F.col("fournisseur_pays").alias("paysliv"), "fournisseur_societe"),
-                 "produit_key"))
+                 "produit_key")
+           .select("nocom", "paysliv", "fournisseur_societe").distinct())
     orders = (mart.fait_livraisons.select("nocom", "geo_key")
               .join(mart.dim_geo.select("geo_key", "paysliv").filter(F.col("paysliv").isNotNull()), "geo_key"))
     out = sup.join(orders, ["nocom", "paysliv"]).select(

@@ -9,7 +9,6 @@ constraint, where NULLs are distinct).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -21,70 +20,20 @@ def insert_if_absent(existing: DataFrame | None, new: DataFrame, key: Sequence[s
     """existing ∪ (rows of ``new`` whose key is not in ``existing``).
 
     Within ``new``, rows sharing a key collapse to one: the first by
-    ``order_by`` when given (deterministic), else any. Both are partial
-    aggregates (``min_by`` / ``dropDuplicates``), so a key repeated on a
-    third of the batch is reduced in every task before the shuffle.
+    ``order_by``, then by all other columns, NULLs first, so the winner
+    never depends on task order. It is a partial aggregate, so a key
+    repeated on a third of the batch is reduced in every task before the
+    shuffle. The first load (``existing`` None) collapses the same way.
     """
     key = list(key)
-    if order_by:
-        rest = [c for c in new.columns if c not in key]
-        first = F.min_by(F.struct(*rest), F.struct(*order_by)).alias("_first")
-        batch = new.groupBy(*key).agg(first).select(*key, *[F.col(f"_first.{c}").alias(c) for c in rest])
-        batch = batch.select(*new.columns)
+    rest = [c for c in new.columns if c not in key]
+    if rest:
+        first = [*(order_by or []), *[c for c in rest if c not in (order_by or [])]]
+        batch = new.groupBy(*key).agg(F.min(F.struct(*first)).alias("_first")).select(
+            *[F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in new.columns])
     else:
         batch = new.dropDuplicates(key)
     if existing is None:
         return batch
     cond = reduce(lambda a, b: a & b, [batch[k].eqNullSafe(existing[k]) for k in key])
-    absent = batch.join(existing, cond, "left_anti")
-    return existing.unionByName(absent)
-
-
-def keep_known(df: DataFrame, key: str, dim: DataFrame, dim_key: str | None = None,
-               max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Rows of ``df`` whose ``key`` exists in ``dim`` — an inner-join row-loss
-    rule, without shuffling ``df`` when nothing needs to be dropped.
-
-    The distinct keys of ``df`` (a partial aggregate: at most one row per
-    key and task is shuffled) are anti-joined with the dimension. That
-    count runs now (one number to the driver):
-
-    * 0 missing keys → ``df`` unchanged (NULL keys removed), no join;
-    * a few → broadcast anti-join of the missing keys (size checked just
-      above, so the broadcast is bounded);
-    * more → the plain LEFT SEMI join, which Spark shuffles.
-    """
-    dim_key = dim_key or key
-    known = dim.select(F.col(dim_key).alias(key))
-    present = df.filter(F.col(key).isNotNull())
-    missing = present.select(key).distinct().join(known, key, "left_anti")
-    n_missing = missing.count()
-    if n_missing == 0:
-        return present
-    if n_missing <= max_broadcast_rows:
-        return present.join(F.broadcast(missing), key, "left_anti")
-    return present.join(known, key, "left_semi")
-
-
-def keep_known_all(df: DataFrame, refs: Sequence[tuple[str, DataFrame]],
-                   max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``keep_known`` for several references of one table, their checks
-    counted concurrently (independent jobs). Same rows as nesting the
-    calls: missing keys found on rows another rule drops match nothing
-    that is left."""
-    present = df
-    for key, _ in refs:
-        present = present.filter(F.col(key).isNotNull())
-    missing = {key: present.select(key).distinct().join(dim.select(F.col(key)), key, "left_anti")
-               for key, dim in refs}
-    with ThreadPoolExecutor(max_workers=len(refs)) as pool:
-        counts = dict(zip(missing, pool.map(lambda m: m.count(), missing.values())))
-    out = present
-    for key, dim in refs:
-        if counts[key] == 0:
-            continue
-        if counts[key] <= max_broadcast_rows:
-            out = out.join(F.broadcast(missing[key]), key, "left_anti")
-        else:
-            out = out.join(dim.select(F.col(key)), key, "left_semi")
-    return out
+    return existing.unionByName(batch.join(existing, cond, "left_anti"))

@@ -67,7 +67,7 @@ def key_specs(oltp: Oltp, mart: Mart) -> list[tuple[str, str, DataFrame, list[st
         ("dimProduit", "produit_key", m.dim_produit, ["produit_key"]),
         ("dimProduit", "refprod", m.dim_produit, ["refprod"]),
         ("faitVentes", "ventes_key", m.fait_ventes, ["ventes_key"]),
-        ("faitLivraisons", "liv_key", m.fait_livraisons, ["liv_key"]),
+        ("faitLivraisons", "liv_key", m.fait_livraisons, ["nocom"]),  # liv_key is a copy of nocom: counted once
         ("faitLivraisons", "nocom", m.fait_livraisons, ["nocom"]),
     ]
 
@@ -127,21 +127,25 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return c.join(parent.select(F.col(pk).alias("_pk")), F.col(fk) == F.col("_pk"), "left_anti")
 
 
-def orphan_count(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """One row: number of child rows whose non-NULL reference has no parent.
+def dq_foreign_keys(oltp: Oltp, mart: Mart) -> DataFrame:
+    """Orphan count per reference (nullable references skip NULL).
 
-    The child is first reduced to (key, rows) — a partial aggregate — so
-    only distinct keys meet the parent; a fact is never shuffled whole.
+    All references of a child table are counted in one scan: unpivoted to
+    (reference, key), reduced to a row per key with partial sums, and
+    anti-joined with the keys of all its parents at once.
     """
-    keys = child.filter(F.col(fk).isNotNull()).groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-    missing = keys.join(parent.select(F.col(pk).alias("_k")), "_k", "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_orphans"))
-
-
-def dq_foreign_keys(oltp: Oltp, mart: Mart) -> DataFrame:
-    """Orphan count per reference (nullable references skip NULL)."""
-    return _union([orphan_count(c, fk, p, pk).select(F.lit(name).alias("fk_name"), "n_orphans")
-                   for name, c, fk, p, pk in fk_specs(oltp, mart)])
+    children: dict[int, tuple[DataFrame, list[tuple[str, str, DataFrame, str]]]] = {}
+    for name, child, fk, parent, pk in fk_specs(oltp, mart):
+        children.setdefault(id(child), (child, []))[1].append((name, fk, parent, pk))
+    parts = []
+    for child, refs in children.values():
+        pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("fk_name"), F.col(fk).cast("string").alias("_k")) for name, fk, _, _ in refs]))
+        keys = child.select(pairs.alias("_p")).select("_p.*").filter(F.col("_k").isNotNull()).groupBy("fk_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
+        parents = _union([parent.select(F.lit(name).alias("fk_name"), F.col(pk).cast("string").alias("_k")) for name, _, parent, pk in refs])
+        missing = keys.join(parents, ["fk_name", "_k"], "left_anti").select("fk_name", "_n")
+        none = child.sparkSession.createDataFrame([(name, 0) for name, _, _, _ in refs], "fk_name string, _n long")
+        parts.append(missing.unionByName(none).groupBy("fk_name").agg(F.sum("_n").alias("n_orphans")))
+    return _union(parts)
 
 
 # --------------------------------------------------------------------- Q5
@@ -200,7 +204,7 @@ def dq_not_null(mart: Mart) -> DataFrame:
 def dq_orders_without_lines(oltp: Oltp) -> DataFrame:
     """Order headers with no line (they exist only in the delivery fact)."""
     return (oltp.commande.select("nocom", "codecli", "datecom")
-            .join(oltp.detailcommande.select("nocom"), "nocom", "left_anti"))
+            .join(oltp.detailcommande.select("nocom").distinct(), "nocom", "left_anti"))
 
 
 # --------------------------------------------------------------------- Q8

@@ -4,6 +4,7 @@ generic top-N, the supplier matrix, date roles and gap direction."""
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,49 @@ def slicer(df: DataFrame, selections: Mapping[str, Iterable], include_null: Iter
     return df
 
 
+#: Dimension, its key in the facts, and the facts that have it, by column that can be selected on.
+_MEMBERS = {
+    **{c: ("dim_client", "client_key") for c in ("codecli", "societe", "ville", "region", "pays")},
+    **{c: ("dim_employe", "employe_key") for c in ("noemp", "nom", "prenom", "rendcomptea")},
+    **{c: ("dim_transporteur", "transporteur_key") for c in ("notran", "nomtran")},
+    **{c: ("dim_geo", "geo_key") for c in ("paysliv", "regionliv", "villeliv", "codepostalliv")},
+    **{c: ("dim_produit", "produit_key") for c in ("refprod", "nomprod", "codecateg", "nomcateg", "nofour",
+                                                   "fournisseur_societe", "fournisseur_pays", "fournisseur_region")},
+}
+
+
+def slice_mart(mart: Mart, selections: Mapping[str, Iterable], include_null: Iterable[str] = ()) -> Mart:
+    """R1 before aggregation: the mart with its facts cut to the selected members.
+
+    Every report on the result filters first, then aggregates, ranks,
+    limits and takes shares, like the visuals of a page under its slicers.
+    A selection on a product column cuts the sales only (deliveries have no
+    product). ``include_null`` keeps facts without a member, or whose member
+    has no value, for the columns it names.
+    """
+    keep_null = set(include_null)
+    chosen: dict[tuple[str, str], dict[str, Iterable]] = {}
+    for col, values in selections.items():
+        if col not in _MEMBERS:
+            raise ValueError(f"no dimension column {col!r}; one of {sorted(_MEMBERS)}")
+        values = list(values)
+        if values or col in keep_null:
+            chosen.setdefault(_MEMBERS[col], {})[col] = values
+    ventes, livraisons = mart.fait_ventes, mart.fait_livraisons
+    for (dim, key), wanted in chosen.items():
+        members = slicer(getattr(mart, dim), wanted, keep_null).select(F.col(key).alias("_member"))
+        cut = lambda fact: _cut(fact, key, members, set(wanted) <= keep_null)  # noqa: B023, E731 - used at once
+        ventes = cut(ventes)
+        if key in livraisons.columns:
+            livraisons = cut(livraisons)
+    return replace(mart, fait_ventes=ventes, fait_livraisons=livraisons)
+
+
+def _cut(fact: DataFrame, key: str, members: DataFrame, keep_null: bool) -> DataFrame:
+    known = fact.join(members, fact[key] == members["_member"], "left_semi")
+    return known.unionByName(fact.where(F.col(key).isNull())) if keep_null else known
+
+
 # --------------------------------------------------------------------- R2
 def kpi_finance(mart: Mart, period: Period | None = None) -> DataFrame:
     """One KPI row: revenue, gross, discount and freight amounts, orders,
@@ -143,9 +187,9 @@ def gap_direction(mart: Mart, period: Period | None = None) -> DataFrame:
     """Orders per direction of the signed ship-vs-target gap, per carrier."""
     fl = deliveries(mart, period, ["annee"]) if period is not None else mart.fait_livraisons
     cal = mart.dim_temps
-    fl = (fl.join(F.broadcast(cal.select(F.col("date_key").alias("dateenv_key"), F.col("date_jour").alias("_env"))),
+    fl = (fl.join(cal.select(F.col("date_key").alias("dateenv_key"), F.col("date_jour").alias("_env")),
                   "dateenv_key", "left")
-          .join(F.broadcast(cal.select(F.col("date_key").alias("dateobj_key"), F.col("date_jour").alias("_obj"))),
+          .join(cal.select(F.col("date_key").alias("dateobj_key"), F.col("date_jour").alias("_obj")),
                 "dateobj_key", "left"))
     gap = F.datediff("_env", "_obj")
     g = (fl.join(mart.dim_transporteur.select("transporteur_key", "nomtran"), "transporteur_key", "left")

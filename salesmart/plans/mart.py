@@ -3,29 +3,29 @@
 ``build_mart`` is lazy (a plan, nothing runs). ``write_mart`` persists it
 as Parquet (S5): dimensions one folder each, facts partitioned by order
 year ``annee`` so that year filters prune files. A refresh writes a new
-version folder and only then points ``CURRENT`` at it, so readers never
-see a half-written mart and a failed run leaves the previous one intact;
-re-running it gives the same tables (deterministic keys), unlike the
-source load whose sales insert doubled the fact on a second run.
+version folder and only then appends its marker to ``_versions``; markers
+are never changed, and readers take the newest, so a crash at any moment
+leaves the previous version current. Re-running a refresh gives the same
+tables (``ventes_key`` apart), unlike the source load whose sales insert
+doubled the fact on a second run.
 """
 
 from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import replace
 from collections.abc import Iterable
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
+from salesmart.functions.keys import natural_key
 from salesmart.operators import dims, facts
 from salesmart.operators.merge import insert_if_absent
-from salesmart.operators.surrogate import with_hashed_key
 from salesmart.plans.model import Mart, Oltp
 from salesmart.schema import SENTINEL
-from salesmart.sources.files import widen
 
 FACTS = ("fait_livraisons", "fait_ventes")
 DIM_KEYS = {
@@ -39,16 +39,13 @@ DIM_KEYS = {
 
 
 HASHED = {"dim_client": "client_key", "dim_geo": "geo_key"}
+# Distinct on their key by construction.
+DISTINCT = ("dim_temps", "dim_geo")
 
 
-def build_dims(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mart | None = None,
-               eager: bool = False) -> dict[str, DataFrame]:
-    """The six dimensions (E2, E4–E8), insert-if-absent into ``existing``.
-
-    Hashed keys are assigned after the merge, over all members, so a new
-    member whose hash clashes with an old one is re-hashed too (facts are
-    rebuilt with every refresh, so keys need not survive one).
-    """
+def build_dims(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mart | None = None) -> dict[str, DataFrame]:
+    """The six dimensions (E2, E4–E8), insert-if-absent into ``existing``;
+    the first load goes the same way, so repeated members collapse there too."""
     s = tuple(sentinels)
     new = {
         "dim_temps": dims.dim_date(oltp.commande),
@@ -58,16 +55,13 @@ def build_dims(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
         "dim_geo": dims.geo_rows(oltp.commande, s),
         "dim_produit": dims.dim_produit(oltp.produit, oltp.categorie, oltp.fournisseur, s),
     }
-    if existing is not None:
-        new = {name: insert_if_absent(getattr(existing, name).drop(*([HASHED[name]] if name in HASHED else [])),
-                                      df, DIM_KEYS[name])
-               for name, df in new.items()}
-    # the two clash checks (eager: one small job each) are independent
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        client = pool.submit(with_hashed_key, new["dim_client"], DIM_KEYS["dim_client"], "client_key", eager)
-        geo = pool.submit(with_hashed_key, new["dim_geo"], DIM_KEYS["dim_geo"], "geo_key", eager)
-        new["dim_client"] = client.result().select("client_key", *dims.CLIENT_COLS)
-        new["dim_geo"] = geo.result().select("geo_key", *dims.GEO_COLS)
+    for name, df in new.items():
+        members = getattr(existing, name).drop(HASHED.get(name, "")) if existing is not None else None
+        if members is not None or name not in DISTINCT:
+            df = insert_if_absent(members, df, DIM_KEYS[name])
+        if name in HASHED:
+            df = df.select(natural_key(*DIM_KEYS[name]).alias(HASHED[name]), *df.columns)
+        new[name] = df
     return new
 
 
@@ -83,7 +77,7 @@ def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
     s = tuple(sentinels)
     new = build_dims(oltp, s, existing)
     liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, new["dim_client"], new["dim_employe"],
-                                new["dim_transporteur"], new["dim_geo"], s)
+                                new["dim_transporteur"], s)
     ventes = facts.fact_sales(oltp.detailcommande, liv, new["dim_produit"])
     return Mart(fait_livraisons=liv, fait_ventes=ventes, **new)
 
@@ -94,18 +88,15 @@ def _table_path(root: str, name: str) -> str:
 
 FACT_SORT = {"fait_livraisons": "datecom_key", "fait_ventes": "date_key"}
 
-# Reports broadcast the calendar; its size is bounded by the span of the
-# order dates, which the staged load checks (200 years of days).
-MAX_CALENDAR_DAYS = 200 * 366
-
-
 def write_table(name: str, df: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """S5 for one table. Facts are partitioned by ``annee`` and sorted by
-    date inside each task: one open file per task at a time, and row
-    groups with tight ``date_key`` ranges for pushed-down date filters."""
+    """S5 for one table. Facts are dealt to tasks by ranges of (year, date,
+    order) before they are sorted and written by ``annee``: each file holds
+    a narrow run of dates, so date filters skip files and row groups inside
+    a year, and the files number about as many as the shuffle partitions."""
     path = _table_path(root, name)
     if name in FACTS:
-        df.sortWithinPartitions("annee", FACT_SORT[name]).write.mode(mode).partitionBy("annee").parquet(path)
+        by = ["annee", FACT_SORT[name], "nocom"]
+        df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode(mode).partitionBy("annee").parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 
@@ -121,30 +112,25 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
     """Staged load into ``root``: dimensions are written and read back,
     then the delivery fact, read back as the order header of the sales
     fact. Each stage reads the previous one's files, so lineage stays
-    short (a lost executor only recomputes the current stage), join
-    strategies are chosen on exact file sizes, and the row-loss rules
-    run as integrity checks (``keep_known``) rather than fact shuffles.
+    short (a lost executor only recomputes the current stage) and join
+    strategies are chosen on exact file sizes. The plans are those of
+    ``build_mart``.
     """
     spark = oltp.commande.sparkSession
     s = tuple(sentinels)
-    oltp = replace(oltp, commande=widen(oltp.commande))
     # the six dimension loads are independent jobs: submit them together so
     # small ones do not leave the cluster idle while they run one by one
-    dims_plan = build_dims(oltp, s, existing, eager=True)
+    dims_plan = build_dims(oltp, s, existing)
+    write = inheritable_thread_target(spark)(write_table)  # job group and pool of the caller
     with ThreadPoolExecutor(max_workers=len(dims_plan)) as pool:
-        for f in [pool.submit(write_table, name, df, root) for name, df in dims_plan.items()]:
+        for f in [pool.submit(write, name, df, root) for name, df in dims_plan.items()]:
             f.result()
     d = {name: spark.read.parquet(_table_path(root, name)) for name in DIM_KEYS}
-    days = d["dim_temps"].count()
-    if days > MAX_CALENDAR_DAYS:
-        raise ValueError(f"order / ship / target dates span {days} days (> {MAX_CALENDAR_DAYS}): "
-                         "check the source dates before loading")
     liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"],
-                                d["dim_transporteur"], d["dim_geo"], s, eager_checks=True)
+                                d["dim_transporteur"], s)
     write_table("fait_livraisons", liv, root)
     liv = spark.read.parquet(_table_path(root, "fait_livraisons"))
-    ventes = facts.fact_sales(oltp.detailcommande, liv, d["dim_produit"], eager_checks=True, widen_lines=True)
-    write_table("fait_ventes", ventes, root)
+    write_table("fait_ventes", facts.fact_sales(oltp.detailcommande, liv, d["dim_produit"]), root)
     return read_mart(spark, root)
 
 
@@ -153,8 +139,11 @@ def read_mart(spark: SparkSession, root: str) -> Mart:
     return Mart(**{name: spark.read.parquet(_table_path(root, name)) for name in Mart.__dataclass_fields__})
 
 
-def _current_pointer(root: str) -> str:
-    return f"{root.rstrip('/')}/CURRENT"
+MARKER = "seq long, version string"
+
+
+def _markers(root: str) -> str:
+    return f"{root.rstrip('/')}/_versions"
 
 
 def refresh(spark: SparkSession, oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
@@ -162,24 +151,48 @@ def refresh(spark: SparkSession, oltp: Oltp, root: str, sentinels: Iterable[str]
     """Load a new mart version under ``root`` and make it current.
 
     ``root`` must be on storage shared by the cluster (the same place as
-    ``spark.checkpoint.dir``). The pointer is a one-line text file written
-    through Spark, so it lives on the same storage.
+    ``spark.checkpoint.dir``). The marker is appended through Spark, whose
+    commit makes its file visible at once or not at all.
     """
-    previous = current_version(spark, root)
-    existing = read_mart(spark, f"{root.rstrip('/')}/{previous}") if (incremental and previous) else None
+    newest = _newest(spark, root)
+    existing = read_mart(spark, f"{root.rstrip('/')}/{newest[1]}") if (incremental and newest) else None
     version = f"v-{uuid.uuid4().hex[:12]}"
     load_mart(oltp, f"{root.rstrip('/')}/{version}", sentinels, existing)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").text(
-        _current_pointer(root))
+    (spark.createDataFrame([((newest[0] if newest else 0) + 1, version)], MARKER).coalesce(1)
+     .write.mode("append").json(_markers(root)))
     return read_mart(spark, f"{root.rstrip('/')}/{version}")
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
+def _newest(spark: SparkSession, root: str) -> tuple[int, str] | None:
     try:
-        rows = spark.read.text(_current_pointer(root)).collect()
-    except AnalysisException:  # no pointer yet (path not found)
+        markers = spark.read.schema(MARKER).json(_markers(root))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a mart never loaded has no markers
+            raise
         return None
-    return rows[0][0].strip() if rows else None
+    row = markers.orderBy(F.col("seq").desc(), F.col("version").desc()).first()
+    return (row["seq"], row["version"]) if row else None
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    newest = _newest(spark, root)
+    return newest[1] if newest else None
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete the folders of all but the newest ``keep`` versions; markers stay. Returns the versions deleted."""
+    if keep < 1:
+        raise ValueError("the current version stays")
+    if _newest(spark, root) is None:
+        return []
+    versions = [r["version"] for r in spark.read.schema(MARKER).json(_markers(root))
+                .orderBy(F.col("seq").desc(), F.col("version").desc()).collect()]  # a row per refresh
+    jvm, gone = spark.sparkContext._jvm, []
+    for version in versions[keep:]:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{version}")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True):
+            gone.append(version)
+    return gone
 
 
 def current_mart(spark: SparkSession, root: str) -> Mart | None:

@@ -84,28 +84,6 @@ class Period:
         return cond
 
 
-def calendar_key_runs(cal: DataFrame, key_col: str) -> Column | None:
-    """OR of ``key_col`` ranges covering the days left in a filtered calendar.
-
-    Consecutive days form one run (found with a window over the calendar,
-    bounded by its size), so a week or month filter without a year becomes
-    one short range per year; pushed to Parquet, it skips the row groups of
-    other dates (facts are sorted by date inside each file).
-    """
-    from pyspark.sql import Window
-
-    d = F.to_date(F.col(key_col).cast("string"), "yyyyMMdd")
-    runs = (cal.select(key_col, d.alias("_d"))
-            .withColumn("_run", F.date_sub("_d", F.row_number().over(Window.orderBy(key_col))))
-            .groupBy("_run").agg(F.min(key_col).alias("lo"), F.max(key_col).alias("hi"))
-            .collect())
-    cond = None
-    for r in runs:
-        c = F.col(key_col).between(r.lo, r.hi)
-        cond = c if cond is None else cond | c
-    return cond if cond is not None else F.lit(False)
-
-
 def finance_grain(grain: str) -> tuple[str, ...]:
     try:
         return FINANCE_GRAINS[grain]
@@ -133,8 +111,6 @@ def with_calendar(fact: DataFrame, dim_temps: DataFrame, key_col: str, cols: Seq
         if cf is not None:
             cal = cal.filter(cf)
         kf = period.key_range_filter(key_col)
-        if kf is None and cf is not None:
-            kf = calendar_key_runs(cal, key_col)      # no year: ranges of the days kept
         if kf is not None:
             fact = fact.filter(kf)
         years = _as_list(period.annee)
@@ -142,4 +118,4 @@ def with_calendar(fact: DataFrame, dim_temps: DataFrame, key_col: str, cols: Seq
             fact = fact.filter(F.col("annee").isin(years))
     if "annee" in fact.columns and "annee" in cols:
         fact = fact.drop("annee")
-    return fact.join(F.broadcast(cal), key_col, how)
+    return fact.join(cal, key_col, how)

@@ -26,6 +26,7 @@ _CACHE: dict[tuple[str, str], tuple[Oltp, Mart]] = {}
 # Fixed parameters of the registered period / slicer examples.
 EXAMPLE_PERIOD = Period(annee=1998, mois=8)
 EXAMPLE_SLICER = {"paysliv": ["NATION_1", "NATION_2", "NATION_3"], "semaine_iso": list(range(1, 14))}
+EXAMPLE_COUNTRY, EXAMPLE_CATEGORY = "NATION_8", "PROMO"
 INCREMENTAL_CUTOFF = "1998-01-01"
 
 
@@ -156,6 +157,19 @@ def q_null_safe_geo_lookup(m: Mart) -> DataFrame:
     return m.fait_livraisons.select("nocom", "geo_key").join(m.dim_geo, "geo_key", "left").drop("geo_key")
 
 
+def _in_country(m: Mart) -> Mart:
+    return report_layer.slice_mart(m, {"paysliv": [EXAMPLE_COUNTRY]})
+
+
+def q_insert_if_absent_client(o: Oltp) -> DataFrame:
+    """E10 on customers that the batch repeats with another contact: existing
+    members (odd codes) keep their row, the others collapse to their first."""
+    rows = dims.client_rows(o.client)
+    again = rows.withColumn("contact", F.concat(F.lit("CONTACT_"), "codecli"))
+    existing = rows.filter(F.col("codecli").cast("bigint") % 2 == 1)
+    return insert_if_absent(existing, rows.unionByName(again), ["codecli"], order_by=["contact"])
+
+
 def q_refresh(m: Mart) -> DataFrame:
     return table_counts(m)
 
@@ -228,6 +242,14 @@ OPERATORS: dict[str, tuple[str, Callable]] = {
     "period_filter": ("mart", lambda m: finance.f2_revenue_product(m, EXAMPLE_PERIOD)),
     "period_grain": ("mart", lambda m: finance.f5_orders_employee_customer(m, grain="trimestre")),
     "slicer": ("mart", lambda m: report_layer.slicer(logistics.l3_qty_zone(m), EXAMPLE_SLICER)),
+    "slicer_l1_country": ("mart", lambda m: logistics.l1_date_gaps(_in_country(m))),
+    "slicer_f8_country": ("mart", lambda m: finance.f8_top_customers_period(_in_country(m))),
+    "slicer_kpi_category": ("mart", lambda m: report_layer.kpi_finance(report_layer.slice_mart(m, {"nomcateg": [EXAMPLE_CATEGORY]}))),
+    "period_week": ("mart", lambda m: finance.f2_revenue_product(m, Period(semaine_iso=1))),
+    "period_grain_year": ("mart", lambda m: finance.f5_orders_employee_customer(m, grain="annee")),
+    "period_grain_l5_month": ("mart", lambda m: logistics.l5_shipping_delay(m, grain="mois")),
+    "role_date_report_target": ("mart", lambda m: report_layer.role_date_report(m, "obj")),
+    "insert_if_absent_client": ("oltp", q_insert_if_absent_client),
     "kpi_finance": ("mart", report_layer.kpi_finance),
     "kpi_shipments": ("mart", report_layer.kpi_shipments),
     "price_vs_quantity": ("mart", report_layer.price_vs_quantity),

@@ -53,21 +53,3 @@ def from_rows(spark: SparkSession, name: str, rows: list[tuple | dict]) -> DataF
     df = spark.createDataFrame(norm, as_text)
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
-
-def widen(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a narrow source over the cluster.
-
-    A source read by fewer tasks than the cluster has cores (unsplittable
-    compressed files, one big Parquet row group) keeps every operator of
-    its scan stage on those few tasks. Such an input gets one round-robin
-    repartition (made retry-safe by Spark's sort before repartitioning);
-    an input already split wider is returned unchanged, so a well-laid-out
-    100 TB source never pays this shuffle. Meant for plain source scans:
-    counting partitions plans the input, and runs any broadcast in it.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # a remote (Connect) session exposes no partitions: leave as is
-        return df
-    return df.repartition(target) if narrow else df

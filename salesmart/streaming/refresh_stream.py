@@ -5,32 +5,33 @@ tables, reload the mart (dimensions, then facts), run the reconciliation
 checks, let the BI tool refresh. Here a Structured Streaming file source
 watches a landing folder; each micro-batch
 
-1. imports its lines under ``detailcommande_incoming/epoch=<id>`` —
-   written in overwrite mode, so a batch replayed after a failure
-   replaces its own folder instead of adding the lines twice;
+1. imports its lines under ``detailcommande_incoming/batch=<stream>-<epoch>``,
+   where the stream is named by its checkpoint folder. The folder is written
+   in overwrite mode, so a batch replayed after a failure replaces its own
+   lines; another stream has other folders. Lines keep the file they came
+   from, and files that any other batch has imported are left out, so a
+   file counts once even where a new checkpoint sees it again;
 2. refreshes the mart from the sources as they now are (a new version,
-   dimensions insert-if-absent, facts rebuilt, pointer switched last);
-3. appends the revenue and order-count reconciliations (Q1, Q2) of that
-   version under ``<mart_root>/_checks/epoch=<id>``.
-
-The stream's checkpoint records which files were consumed, so files are
-imported once even across restarts.
+   dimensions insert-if-absent, facts rebuilt, version marker last), and
+   deletes versions older than the last two;
+3. writes the revenue and order-count reconciliations (Q1, Q2) of that
+   version under ``<mart_root>/_checks/batch=<stream>-<epoch>``.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from salesmart.operators.quality import dq_order_count, dq_revenue_reconciliation
-from salesmart.plans.mart import refresh
+from salesmart.plans.mart import expire_versions, refresh
 from salesmart.schema import DETAILCOMMANDE
-from salesmart.session import scratch_dir
 from salesmart.sources.files import CSV_OPTIONS, ORDER_LINES_CSV, read_oltp
 
 LINE_COLS = [f.name for f in DETAILCOMMANDE.fields]
@@ -48,20 +49,36 @@ def incoming_path(oltp_root: str) -> str:
     return f"{oltp_root.rstrip('/')}/detailcommande_incoming"
 
 
-def read_lines(spark: SparkSession, oltp_root: str) -> DataFrame:
-    """The source line table: the base snapshot plus every imported batch."""
-    base = spark.read.schema(DETAILCOMMANDE).parquet(f"{oltp_root.rstrip('/')}/detailcommande")
+INCOMING = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in DETAILCOMMANDE.fields), "source_file string", "batch string"])
+
+
+def read_incoming(spark: SparkSession, oltp_root: str) -> DataFrame | None:
+    """The imported lines with their file and batch; None where nothing was imported yet."""
     try:
-        inc = spark.read.parquet(incoming_path(oltp_root))
-    except AnalysisException:  # nothing imported yet
-        return base
-    return base.unionByName(inc.select([F.col(c).cast(DETAILCOMMANDE[c].dataType) for c in LINE_COLS]))
+        return spark.read.schema(INCOMING).parquet(incoming_path(oltp_root))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def batch_handler(oltp_root: str, mart_root: str) -> Callable[[DataFrame, int], None]:
-    def handle(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.select(LINE_COLS).write.mode("overwrite").parquet(f"{incoming_path(oltp_root)}/epoch={epoch_id}")
+def read_lines(spark: SparkSession, oltp_root: str) -> DataFrame:
+    """The source line table: the base snapshot plus every imported batch."""
+    base = spark.read.schema(DETAILCOMMANDE).parquet(f"{oltp_root.rstrip('/')}/detailcommande")
+    incoming = read_incoming(spark, oltp_root)
+    return base if incoming is None else base.unionByName(incoming.select(LINE_COLS))
+
+
+def batch_handler(oltp_root: str, mart_root: str, stream: str) -> Callable[[DataFrame, int], None]:
+    """What a micro-batch does; ``stream`` is the same name in all starts of a stream."""
+    def handle(lines: DataFrame, epoch_id: int) -> None:
+        spark, name = lines.sparkSession, f"{stream}-{epoch_id}"
+        new = lines.select(*[F.col(c).cast(DETAILCOMMANDE[c].dataType).alias(c) for c in LINE_COLS], "source_file")
+        imported = read_incoming(spark, oltp_root)
+        if imported is not None:
+            others = imported.where(F.col("batch") != name).select("source_file").distinct()
+            new = new.join(others, "source_file", "left_anti").select(*LINE_COLS, "source_file")
+        new.write.mode("overwrite").parquet(f"{incoming_path(oltp_root)}/batch={name}")
         oltp = replace(read_oltp(spark, oltp_root), detailcommande=read_lines(spark, oltp_root))
         mart = refresh(spark, oltp, mart_root, incremental=True)
         counts = dq_order_count(oltp, mart)
@@ -69,18 +86,21 @@ def batch_handler(oltp_root: str, mart_root: str) -> Callable[[DataFrame, int],
             "*",
             counts.select("commandes_oltp").scalar().alias("commandes_oltp"),
             counts.select("commandes_dw").scalar().alias("commandes_dw"))
-        checks.write.mode("overwrite").parquet(f"{mart_root.rstrip('/')}/_checks/epoch={epoch_id}")
+        checks.write.mode("overwrite").parquet(f"{mart_root.rstrip('/')}/_checks/batch={name}")
+        expire_versions(spark, mart_root)
     return handle
 
 
 def start_refresh_stream(spark: SparkSession, landing_dir: str, oltp_root: str, mart_root: str,
-                         checkpoint: str | None = None, available_now: bool = True,
+                         checkpoint: str, available_now: bool = True,
                          every: str = "5 minutes") -> StreamingQuery:
-    """Start the stream. ``available_now`` processes what has landed and
+    """Start the stream. ``checkpoint`` is its folder on shared storage, the
+    same one in every start. ``available_now`` processes what has landed and
     stops (a scheduled refresh); otherwise it polls every ``every``."""
-    ck = checkpoint or scratch_dir(spark, "refresh-stream")
-    w = (order_lines_stream(spark, landing_dir).writeStream
-         .foreachBatch(batch_handler(oltp_root, mart_root))
-         .option("checkpointLocation", ck))
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    lines = order_lines_stream(spark, landing_dir).select("*", F.col("_metadata.file_path").alias("source_file"))
+    w = (lines.writeStream
+         .foreachBatch(batch_handler(oltp_root, mart_root, stream))
+         .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every)
     return w.start()

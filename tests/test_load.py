@@ -6,10 +6,11 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import day
-from salesmart.functions import null_safe_key
-from salesmart.operators import dims, facts
-from salesmart.operators.merge import insert_if_absent, keep_known
+from conftest import day, edge_rows, make_oltp
+from salesmart.functions import natural_key
+from salesmart.operators import dims, facts, finance
+from salesmart.operators.merge import insert_if_absent
+from salesmart.plans.mart import build_mart
 
 
 def _by(df, key):
@@ -55,13 +56,10 @@ def test_geo_dim_distinct_null_safe(edge_mart, edge_oltp):
     assert len({r.geo_key for r in g}) == len(g)
 
 
-def test_null_safe_key_distinguishes_null_positions(spark):
-    df = spark.createDataFrame([(None, "a"), ("a", None), ("a", "a"), (None, None)], "x string, y string")
-    keys = [r.k for r in df.select(null_safe_key("x", "y").alias("k")).collect()]
-    assert len(set(keys)) == 4
-    # plain xxhash64 would collide on the first two
-    plain = [r.k for r in df.select(F.xxhash64("x", "y").alias("k")).collect()]
-    assert plain[0] == plain[1]
+def test_natural_keys_differ_for_different_tuples(spark):
+    rows = [(None, "a"), ("a", None), ("a", "a"), (None, None), ("", ""), ("", None), ("1:a", ""), ("a-", "b"), ("a", "-b"), ("-", None), ("ab", "c"), ("a", "bc")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(natural_key("x", "y").alias("k")).distinct().count() == len(rows)
 
 
 def test_fact_deliveries_rules(edge_mart):
@@ -112,49 +110,24 @@ def test_insert_if_absent_existing_rows_win(spark):
     assert again.count() == 3                    # idempotent
 
 
-def test_keep_known_paths(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
-    dim = spark.createDataFrame([(1,), (2,)], "k int")
-    assert sorted(r.v for r in keep_known(df, "k", dim).collect()) == ["a", "b"]          # no missing key
-    dim1 = spark.createDataFrame([(1,)], "k int")
-    assert [r.v for r in keep_known(df, "k", dim1).collect()] == ["a"]                    # broadcast anti
-    assert [r.v for r in keep_known(df, "k", dim1, max_broadcast_rows=0).collect()] == ["a"]   # semi join
-
-
-def test_hashed_keys_resolve_clashes(spark):
-    from salesmart.operators.surrogate import lookup_key, with_hashed_key
-
-    # a first-choice hash that sends every code onto 2 values: clashes on purpose
-    clashing = lambda cols: F.xxhash64(*[F.col(c) for c in cols]) % 2
-    dim = spark.createDataFrame([(f"C{i}",) for i in range(6)] + [(None,)], "codecli string")
-    for eager in (False, True):
-        keyed = with_hashed_key(dim, ["codecli"], "k", eager, hash_fn=clashing)
-        keys = {r.codecli: r.k for r in keyed.collect()}
-        assert len(set(keys.values())) == 7                      # all unique after re-hashing
-        facts_rows = spark.createDataFrame([("C1", 1), ("C5", 2), (None, 3), ("C1", 4)], "codecli string, v int")
-        got = lookup_key(facts_rows, ["codecli"], "k", keyed, eager, hash_fn=clashing).collect()
-        assert all(r.k == keys[r.codecli] for r in got) and len(got) == 4
-    # without clashes the key is the plain hash and no join is planned
-    plain = with_hashed_key(dim.filter("codecli is not null"), ["codecli"], "k", eager=True)
-    assert all(r.k == r.h for r in plain.select("k", F.xxhash64("codecli").alias("h")).collect())
-
-
-def test_repeated_natural_key_is_not_a_clash(spark):
-    from salesmart.operators.surrogate import lookup_key, with_hashed_key
-
-    dim = spark.createDataFrame([("C1",), ("C1",), ("C2",)], "codecli string")   # broken source key
-    keyed = with_hashed_key(dim, ["codecli"], "k", eager=True)
-    assert keyed.select("k").distinct().count() == 2                             # Q3 reports the repeat
-    rows = spark.createDataFrame([("C1", 1)], "codecli string, v int")
-    assert lookup_key(rows, ["codecli"], "k", keyed, eager=True).count() == 1     # no fact row doubled
-
-
-def test_keep_known_all_equals_nested(spark):
-    from salesmart.operators.merge import keep_known_all
-
-    df = spark.createDataFrame([(1, "a", 1), (2, "b", 9), (3, "z", 1), (None, "a", 1)], "k int, c string, v int")
-    dk = spark.createDataFrame([(1,), (2,), (3,)], "k int")
-    dc = spark.createDataFrame([("a",), ("b",)], "c string")
-    nested = keep_known(keep_known(df, "k", dk), "c", dc).select("k", "c", "v")
-    both = keep_known_all(df, [("k", dk), ("c", dc)]).select("k", "c", "v")
-    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, nested.collect())) == [(1, "a", 1), (2, "b", 9)]
+def test_first_load_collapses_repeated_members(spark):
+    rows = edge_rows()
+    twice = dict(rows, client=rows["client"] + [dict(r, contact="other") for r in rows["client"]])
+    first, plain = build_mart(make_oltp(spark, **twice)), build_mart(make_oltp(spark, **rows))
+    later = build_mart(make_oltp(spark, **twice), existing=plain)
+    assert first.dim_client.count() == later.dim_client.count() == plain.dim_client.count()
+    money = lambda m: sorted(tuple(r) for r in finance.vf5_avg_discount_customer(m).collect())
+    assert money(first) == money(later) == money(plain)
+    batch = make_oltp(spark, **twice).client.repartition(5)
+    winners = [sorted(map(str, insert_if_absent(None, b, ["codecli"]).collect())) for b in (batch, batch.repartition(2))]
+    assert winners[0] == winners[1]
+
+
+def test_an_order_total_may_be_very_large(spark):
+    rows = edge_rows()
+    line = dict(nocom=100, refprod=rows["detailcommande"][0]["refprod"], prixunit=Decimal("99999999.99"), qte=1_000_000, remise=Decimal("0.00"))
+    rows["detailcommande"] = [line] * 200
+    mart = build_mart(make_oltp(spark, **rows))
+    total = mart.fait_livraisons.where("nocom = 100").first().total_net
+    assert total == Decimal("99999999.99") * 1_000_000 * 200 > 10**16
+    assert mart.fait_ventes.where("nocom = 100").count() == 200

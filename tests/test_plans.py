@@ -60,30 +60,40 @@ def test_scale_settings_for_100_tb():
     assert int(small["spark.sql.shuffle.partitions"]) == 24
 
 
-def test_week_filter_without_year_pushes_date_ranges(persisted):
+def test_week_filter_without_year_needs_no_job_to_plan(spark, persisted):
     from salesmart.operators import logistics
 
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
     df = logistics.l5_shipping_delay(persisted, Period(semaine_iso=1))
-    p = plan(df)
-    # an OR of one range per run of days (the plan text is truncated after the first few)
-    assert "PushedFilters: [Or(Or(" in p and "GreaterThanOrEqual(datecom_key,19950102)" in p
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
     assert {r.semaine_iso for r in df.collect()} == {1}
 
 
-def test_calendar_key_runs_cover_exactly_the_kept_days(spark):
-    import datetime as dt
-
-    from pyspark.sql import functions as F
-
-    from salesmart.plans.period import calendar_key_runs
-
-    days = [dt.date(2014, 12, 29) + dt.timedelta(d) for d in range(7)]          # ISO week 1 of 2015
-    days += [dt.date(2016, 1, 4) + dt.timedelta(d) for d in range(7)]           # ISO week 1 of 2016
-    cal = spark.createDataFrame([(d,) for d in days], "d date").select(
-        (F.year("d") * 10000 + F.month("d") * 100 + F.dayofmonth("d")).alias("k"))
-    cond = calendar_key_runs(cal, "k")
-    probe = spark.createDataFrame([(20141228,), (20141229,), (20150104,), (20150105,), (20160104,),
-                                   (20160110,), (20160111,)], "k int")
-    assert sorted(r.k for r in probe.filter(cond).collect()) == [20141229, 20150104, 20160104, 20160110]
-    assert calendar_key_runs(cal.filter("k < 0"), "k") is not None             # no day kept: matches nothing
-    assert probe.filter(calendar_key_runs(cal.filter("k < 0"), "k")).count() == 0
+def test_fact_files_hold_narrow_runs_of_dates(spark, tmp_root):
+    """A month's filter skips most row groups of its year, by their bounds."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from conftest import SF0001
+    from salesmart.plans.mart import build_mart, write_table
+    from salesmart.sources.testdata import load_oltp
+
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_table("fait_livraisons", build_mart(load_oltp(spark, SF0001)).fait_livraisons.repartition(6), tmp_root)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    files = glob.glob(f"{tmp_root}/fait_livraisons/annee=*/*.parquet")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(files) <= n + len(glob.glob(f"{tmp_root}/fait_livraisons/annee=*"))
+    bounds = []
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        at = meta.schema.names.index("datecom_key")
+        bounds += [(s.min, s.max) for s in (meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups))]
+    year = max({lo // 10000 for lo, _ in bounds}, key=lambda y: sum(lo // 10000 == y for lo, _ in bounds))
+    mine = [b for b in bounds if b[0] // 10000 == year]
+    month = (year * 10000 + 601, year * 10000 + 630)
+    assert len(mine) > 1 and sum(lo <= month[1] and hi >= month[0] for lo, hi in mine) < len(mine)

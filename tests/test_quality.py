@@ -72,3 +72,41 @@ def test_checks_on_mart_built_twice_are_stable(edge_oltp):
     a = build_mart(edge_oltp).fait_ventes.drop("ventes_key")
     b = build_mart(edge_oltp).fait_ventes.drop("ventes_key")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_orphan_orders_reach_the_checks_through_the_adapter(spark, tmp_root):
+    """An order of a customer that the customer table lacks is lost by E12, and Q2 and Q4 say so."""
+    import shutil
+
+    from conftest import SF0001
+    from salesmart.operators import quality
+    from salesmart.plans.mart import build_mart
+    from salesmart.sources.testdata import TABLES, load_oltp
+
+    for t in TABLES:
+        if t != "customer":
+            shutil.copy(f"{SF0001}/{t}.parquet", f"{tmp_root}/{t}.parquet")
+    orders = spark.read.parquet(f"{SF0001}/orders.parquet")
+    some = orders.first().o_custkey
+    customers = spark.read.parquet(f"{SF0001}/customer.parquet").where(f"c_custkey <> {some}")
+    customers.write.mode("overwrite").parquet(f"{tmp_root}/customer.parquet")
+    lost = orders.where(f"o_custkey = {some}").count()
+    oltp = load_oltp(spark, tmp_root)
+    mart = build_mart(oltp)
+    assert quality.dq_order_count(oltp, mart).first().ecart == lost > 0
+    assert {r.fk_name: r.n_orphans for r in quality.dq_foreign_keys(oltp, mart).collect()}["_commande.codecli"] == lost
+
+
+def test_slicers_cut_the_facts_before_reports(spark, edge_mart):
+    from salesmart.operators import logistics, report_layer
+
+    cut = report_layer.slice_mart(edge_mart, {"paysliv": ["France"]})
+    countries = {r.paysliv for r in logistics.l1_date_gaps(cut).collect()}
+    assert countries == {"France"} and cut.fait_ventes.count() < edge_mart.fait_ventes.count()
+    assert report_layer.slice_mart(edge_mart, {"paysliv": []}).fait_ventes.count() == edge_mart.fait_ventes.count()
+    carriers = [r.nomtran for r in edge_mart.dim_transporteur.collect()]
+    known = report_layer.slice_mart(edge_mart, {"nomtran": carriers})
+    every = report_layer.slice_mart(edge_mart, {"nomtran": carriers}, include_null=["nomtran"])
+    assert every.fait_livraisons.count() == edge_mart.fait_livraisons.count() > known.fait_livraisons.count()
+    product = report_layer.slice_mart(edge_mart, {"nomcateg": ["Boissons"]})
+    assert product.fait_livraisons.count() == edge_mart.fait_livraisons.count()

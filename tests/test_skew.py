@@ -74,7 +74,7 @@ def test_hot_order_lines_are_split_and_results_unchanged(spark, skewed, tmp_root
         mart = load_mart(skewed, tmp_root)          # staged load (the production path)
         got = _totals(mart)
         # the sales fact exactly as the staged load builds it, from the written order fact
-        fv = facts.fact_sales(skewed.detailcommande, mart.fait_livraisons, mart.dim_produit, eager_checks=True)
+        fv = facts.fact_sales(skewed.detailcommande, mart.fait_livraisons, mart.dim_produit)
         fv.collect()                                # runs this DataFrame's own adaptive plan
         plan = fv._jdf.queryExecution().executedPlan().toString()
     assert got == expected
@@ -92,3 +92,23 @@ def test_reports_on_hot_customer_match_broadcast_plans(spark, skewed):
         got = {tuple(r) for r in finance.vf5_avg_discount_customer(mart).collect()}
         got_f8 = [tuple(r) for r in finance.f8_top_customers_period(mart).collect()]
     assert got == expected and got_f8 == expected_f8
+
+
+def test_hot_order_is_reduced_before_the_joins(spark, skewed):
+    """L4 and Q7: what meets the orders is a row per supplier, or one, of the hot order, not its lines."""
+    from salesmart.operators import logistics, quality
+
+    mart = build_mart(skewed)
+    with conf(spark, SKEW_CONF):
+        l4 = logistics.l4_same_country_supplier(mart)
+        got = [tuple(r) for r in l4.collect()]
+        q7 = quality.dq_orders_without_lines(skewed)
+        without = q7.count()
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (l4, q7)]
+    suppliers = mart.dim_produit.select("fournisseur_societe").distinct().count()
+    hot = mart.fait_ventes.groupBy("nocom").count().orderBy(F.desc("count")).first()
+    per_order = (mart.fait_ventes.where(F.col("nocom") == hot["nocom"])
+                 .join(mart.dim_produit, "produit_key").select("fournisseur_pays", "fournisseur_societe").distinct().count())
+    assert per_order <= suppliers < hot["count"]
+    assert all("Aggregate [nocom" in p for p in plans)
+    assert len(got) == len(set(got)) and without == skewed.commande.join(skewed.detailcommande, "nocom", "left_anti").count()

@@ -37,3 +37,24 @@ def test_stream_imports_once_and_refreshes(spark, tmp_root):
     assert current_mart(spark, f"{tmp_root}/mart").fait_ventes.count() == 8
     checks = spark.read.parquet(f"{tmp_root}/mart/_checks").collect()
     assert checks and all(r.commandes_oltp == 8 and r.commandes_dw == 7 for r in checks)
+
+
+def _run(spark, root, checkpoint):
+    q = start_refresh_stream(spark, f"{root}/landing", f"{root}/oltp", f"{root}/mart", checkpoint=checkpoint)
+    q.awaitTermination(300)
+    return current_mart(spark, f"{root}/mart").fait_ventes.count()
+
+
+def test_lines_stay_when_a_file_leaves_and_checkpoints_change(spark, tmp_root):
+    rows = edge_rows()
+    lines = rows["detailcommande"]
+    write_oltp(make_oltp(spark, **dict(rows, detailcommande=lines[:4])), f"{tmp_root}/oltp")
+    os.makedirs(f"{tmp_root}/landing")
+    _csv(f"{tmp_root}/landing/a.csv", lines[4:8])
+    _run(spark, tmp_root, f"{tmp_root}/ck1")
+    os.replace(f"{tmp_root}/landing/a.csv", f"{tmp_root}/a.csv")
+    _csv(f"{tmp_root}/landing/b.csv", lines[8:])
+    assert _run(spark, tmp_root, f"{tmp_root}/ck1") == 8          # both files' lines are there
+    assert _run(spark, tmp_root, f"{tmp_root}/ck2") == 8          # a new checkpoint sees b.csv again: nothing twice
+    incoming = spark.read.parquet(f"{tmp_root}/oltp/detailcommande_incoming")
+    assert incoming.count() == len(lines) - 4
