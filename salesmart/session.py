@@ -93,3 +93,25 @@ def scale_settings(input_bytes: int, total_cores: int, partition_bytes: int = 25
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * partition_bytes // (1 << 20)}m",
     }
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package.
+
+    They can where it is on their path (installed, PYTHONPATH, or local
+    mode started from its folder); else Spark sends them an archive, once a session.
+    """
+    import shutil
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    sc = spark.sparkContext
+    path = sc._jvm.System.getenv("PYTHONPATH") or ""
+    if root in map(os.path.abspath, filter(None, path.split(":"))) or (sc.master.startswith("local") and os.getcwd() == root):
+        return
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        base = os.path.join(tempfile.mkdtemp(prefix="salesmart-package-"), "salesmart")
+        sc.addPyFile(shutil.make_archive(base, "zip", root, "salesmart"))
+
+
+_SHIPPED: set[str] = set()
