@@ -12,9 +12,9 @@ from salesmart.llm.longest_match import op10_token_counts
 from salesmart.llm.mixing import op5_source_mixing
 from salesmart.llm.packing import op1_best_fit_packing
 from salesmart.llm.quality import OP6_SQL, op6_quality_rules
-from salesmart.llm.secret_scan import op4_secret_scan
+from salesmart.llm.secret_scan import OP4_SQL, op4_secret_scan
 from salesmart.llm.spherical_caps import OP8_SQL, op8_spherical_caps
-from salesmart.llm.superminhash import op7_superminhash
+from salesmart.llm.superminhash import OP7_SQL, op7_superminhash
 from salesmart.llm.token_files import op2_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -31,7 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_secret_scan": OP4_SQL,
     "op6_quality_rules": OP6_SQL,
+    "op7_superminhash": OP7_SQL,
     "op8_spherical_caps": OP8_SQL,
     "op9_host_reputation": OP9_SQL,
 }

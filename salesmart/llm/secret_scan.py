@@ -142,3 +142,38 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spans(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     n = lambda k: F.size(F.filter("__base", lambda s: s["kind"] == k)).cast("long")
     return df.select("doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"), F.sha2(_named("__base"), 256).alias("base_sha256"), _named("__spans").alias("spans"))
+
+
+def _sql_matches(kind: int, pattern: str) -> str:
+    """(doc_id, kind, match, start) of a pattern: places from the lengths of what is between and of the matches."""
+    quoted = pattern.replace("'", "''")
+    size = "list_sum(list_transform({}, lambda x: length(x)))"
+    return f"""SELECT doc_id, {kind} AS kind, ms[i] AS match, CAST({size.format("parts[1:i]")} + coalesce({size.format("ms[1:i - 1]")}, 0) AS BIGINT) AS start
+  FROM (SELECT doc_id, regexp_extract_all(t, '{quoted}') AS ms, string_split_regex(t, '{quoted}') AS parts FROM d WHERE regexp_matches(t, '{quoted}')) x, unnest(range(1, len(ms) + 1)) AS r(i)"""
+
+
+def _sql_named(order: str = "start, kind, stop") -> str:
+    return f"string_agg(['{"', '".join(KINDS)}'][kind + 1] || ':' || start || ':' || stop, ',' ORDER BY {order})"
+
+
+_QUOTED = ASSIGN.replace("'", "''")
+OP4_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (SELECT doc_id, kind, start, start + length(match) AS stop FROM (
+  {_sql_matches(0, ASSIGN)}
+  UNION ALL {_sql_matches(1, ACCESS)}
+  UNION ALL {_sql_matches(2, "[0-9a-f]+")}) m
+  WHERE CASE kind WHEN 0 THEN length(regexp_extract(match, '{_QUOTED}', 1)) >= {MIN_ASSIGN} WHEN 1 THEN length(match) >= {MIN_ACCESS} ELSE length(match) >= 24 END),
+runs AS (SELECT *, start + length(match) AS stop FROM ({_sql_matches(3, CANDIDATE)}) m
+  WHERE regexp_matches(match, '[A-Za-z]') AND regexp_matches(match, '[0-9]') AND NOT regexp_matches(match, '{ALLOW}')),
+counts AS (SELECT doc_id, start, i, substr(match, i + j, 1) AS c, count(*)::DOUBLE AS n
+  FROM runs, unnest(range(1, length(match) - {WINDOW} + 2)) AS w(i), unnest(range(0, {WINDOW})) AS o(j) GROUP BY ALL),
+bits AS (SELECT doc_id, start, max(h) AS bits FROM (SELECT doc_id, start, i, -sum(n / {WINDOW} * log2(n / {WINDOW})) AS h FROM counts GROUP BY ALL) x GROUP BY ALL),
+added AS (SELECT doc_id, kind, start, stop FROM runs JOIN bits USING (doc_id, start)
+  WHERE bits >= CASE WHEN regexp_matches(match, '^[0-9a-fA-F]+$') THEN {HEX_BITS} ELSE {ALPHABET_BITS} END
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = runs.doc_id AND b.start <= runs.start AND b.stop >= runs.stop)),
+b AS (SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n0, count(*) FILTER (WHERE kind = 1) AS n1, count(*) FILTER (WHERE kind = 2) AS n2, {_sql_named()} AS names FROM base GROUP BY doc_id),
+a AS (SELECT doc_id, {_sql_named()} AS names FROM (SELECT * FROM base UNION ALL SELECT * FROM added) x GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n0, 0) AS BIGINT) AS n_assign, CAST(coalesce(n1, 0) AS BIGINT) AS n_access, CAST(coalesce(n2, 0) AS BIGINT) AS n_hex,
+       sha256(coalesce(b.names, '')) AS base_sha256, coalesce(a.names, '') AS spans
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)"""

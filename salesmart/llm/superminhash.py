@@ -296,3 +296,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their component by four-word shingles at 0.8."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), shingle=4)
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], chr(10)) AS s FROM w, unnest(range(1, greatest(len(ws) - 2, 2))) AS r(i) WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+half AS (SELECT u, v FROM pairs JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 80 * (x.n + y.n - c)),
+link AS (SELECT u, v FROM half UNION ALL SELECT v, u FROM half),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT link.v, reach.r FROM reach JOIN link ON link.u = reach.doc_id),
+least_ AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM documents JOIN least_ USING (doc_id) LEFT JOIN sizes USING (doc_id)"""

@@ -13,7 +13,7 @@ def _entry():
     return __spark_entry__
 
 
-@pytest.mark.parametrize("name", ["op6_quality_rules", "op8_spherical_caps", "op9_host_reputation"])
+@pytest.mark.parametrize("name", ["op4_secret_scan", "op6_quality_rules", "op7_superminhash", "op8_spherical_caps", "op9_host_reputation"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 
