@@ -171,7 +171,12 @@ def q_insert_if_absent_client(o: Oltp) -> DataFrame:
 
 
 def q_refresh(m: Mart) -> DataFrame:
-    return table_counts(m)
+    """Rows of each table, and the sum of its amount where it has one."""
+    amounts = {"fait_ventes": "montant_net", "fait_livraisons": "port", "dim_produit": "prixcatalogue"}
+    sums = [df.select(F.lit(name).alias("table_name"), to_money(F.sum(amounts[name])).alias("total"))
+            for name, df in m.tables().items() if name in amounts]
+    total = sums[0].unionByName(sums[1]).unionByName(sums[2])
+    return table_counts(m).join(total, "table_name", "left").select("table_name", "n_rows", F.coalesce("total", F.lit(0.0)).alias("total"))
 
 
 def q_dim_date(m: Mart) -> DataFrame:
