@@ -16,8 +16,11 @@ Equal sets are one node from the start. A bucket's candidates are compared
 with two pivots, the member u that shares most buckets and the next such
 member w of u's pairs, so a group of n near copies costs 2 n pairs. Members that
 are linked to neither may still be linked to each other or to other members;
-two bounds leave few such pairs. Let c be the shingles of u and w together. As
-a pair x, y shares at most min(|x & c|, |y & c|) shingles within c, it either
+two bounds leave few such pairs; pairs of one component need no look, and members
+linked to one pivot are in one. Those linked to u and those linked to w may not be,
+so a pair of one of each is treated like any other. Let c be the shingles of u and w
+together, in three parts: of u only, of w only, of both. As a pair x, y shares at most
+min(|x & part|, |y & part|) shingles within each part, it either
 
 * reaches the needed overlap with these alone: a bound on known numbers, and
   only pairs that meet it are verified; or
@@ -57,11 +60,14 @@ BANDS = 28
 SLOTS = ROWS * BANDS
 SHINGLE = 5
 PERCENT = 80
-#: Rounds with one pivot a bucket before the remaining pairs are verified.
+#: Rounds with pivots before the remaining pairs are verified.
 PIVOT_ROUNDS = 1
 #: Elements whose permutations are held at once.
 _CHUNK = 200_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+#: A member's shingles in the pivots' sets: of u only, of w only, of both. And the most that two members share there.
+_PARTS = ("of_u", "of_w", "of_both")
+_WITHIN = f"({' + '.join(f'least({p}, o_{p})' for p in _PARTS)})"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -202,7 +208,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _tried(pairs: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each pair (u, v) with u's second pivot w: whether v is linked to u and to w, and v's shingles inside and outside of both.
+    """Each pair (u, v) with u's second pivot w: whether v is linked to u and to w, and v's shingles inside (by part) and outside of both.
 
     ``outside`` is the prefix that a pair with enough overlap must share some of.
     """
@@ -211,10 +217,11 @@ def _tried(pairs: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int) -
     size, common = (lambda c: F.size(f"{c}_set")), (lambda c: F.size(F.array_intersect(f"{c}_set", "v_set")))
     both = once(both, in_u=common("u"), in_w=common("w"), beyond=F.array_except("v_set", F.array_union("u_set", "w_set")))
     linked = lambda c: F.col(f"in_{c}") * (100 + percent) >= (size(c) + size("v")) * percent
-    both = both.select("u", "v", "w", size("v").alias("n_v"), (size("v") - F.size("beyond")).alias("inside"), linked("u").alias("with_u"), ((F.col("v") != F.col("w")) & linked("w")).alias("with_w"), F.sort_array("beyond").alias("beyond"))
+    both = both.select("u", "v", "w", size("v").alias("n_v"), (size("v") - F.size("beyond")).alias("inside"), "in_u", "in_w", linked("u").alias("with_u"), ((F.col("v") != F.col("w")) & linked("w")).alias("with_w"), F.sort_array("beyond").alias("beyond"))
     need = F.greatest(F.lit(1), F.ceil(F.col("n_v") * percent / 100).cast("int") - F.col("inside"))
     prefix = F.slice("beyond", F.lit(1), F.greatest(F.lit(0), F.col("n_v") - F.col("inside") - need + 1))
-    return both.select("u", "v", "w", "n_v", "inside", "with_u", "with_w", (F.col("with_u") | F.col("with_w") | (F.col("v") == F.col("w"))).alias("settled"), prefix.alias("outside"))
+    parts = (F.expr(e).alias(p) for p, e in zip(_PARTS, ("inside - in_w", "inside - in_u", "in_u + in_w - inside"), strict=True))
+    return both.select("u", "v", "w", "n_v", "inside", *parts, "with_u", "with_w", prefix.alias("outside"))
 
 
 def _labels(links: DataFrame, store: _Store, name: str) -> DataFrame:
@@ -261,26 +268,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         tried = store(_tried(pairs, pivots, sets, percent), f"tried{turn}")
         link(tried.where("with_u").select("u", "v").unionByName(tried.where("with_w").select(F.col("w").alias("u"), "v")), f"labels{turn}")
         # Pairs that can be linked by what they share inside the pivots' sets.
-        here = labelled(tried.select("u", "v", "n_v", "inside", "settled"), "v", "component")
-        near = here.where(f"100 * inside >= {percent} * n_v").drop("settled")
-        second = near.select("u", *[F.col(c).alias(f"o_{c}") for c in ("v", "n_v", "inside", "component")])
-        open_ = here.where(f"NOT settled AND 100 * inside >= {percent} * n_v")
-        inside = (open_.join(second, "u").where(f"v <> o_v AND component <> o_component AND least(inside, o_inside) * {100 + percent} >= (n_v + o_n_v) * {percent}")
-                  .select(F.least("v", "o_v").alias("u"), F.greatest("v", "o_v").alias("v")).distinct())
+        here = labelled(tried.select("u", "v", "w", "n_v", "inside", *_PARTS), "v", "component")
+        near = here.where(f"v <> w AND 100 * inside >= {percent} * n_v").drop("w", "inside")  # w has met all of u's pairs
+        second = near.select("u", *[F.col(c).alias(f"o_{c}") for c in ("v", "n_v", *_PARTS, "component")])
+        inside = (near.join(second, "u").where(f"v < o_v AND component <> o_component AND {_WITHIN} * {100 + percent} >= (n_v + o_n_v) * {percent}")
+                  .select(F.col("v").alias("u"), F.col("o_v").alias("v")).distinct())
         link(store(_verified(inside, sets, percent), f"inside{turn}"), f"labels{turn}b")
         # Pairs that share shingles outside of them.
-        here = labelled(tried.select("u", "v", "n_v", "inside", "settled", "outside"), "v", "component")
-        rows_ = here.select("u", F.col("v").alias("node"), "n_v", "inside", "component", "settled", F.explode(F.transform("outside", lambda s: F.xxhash64("u", s))).alias("bucket"))
-        shared = rows_.groupBy("bucket").agg(F.count("*").alias("c"), F.min("component").alias("a"), F.max("component").alias("b"), F.min("settled").alias("all_settled")).where("c > 1 AND a <> b AND NOT all_settled")
+        here = labelled(tried.select("u", "v", "n_v", *_PARTS, "outside"), "v", "component")
+        rows_ = here.select("u", F.col("v").alias("node"), "n_v", *_PARTS, "component", F.explode(F.transform("outside", lambda s: F.xxhash64("u", s))).alias("bucket"))
+        shared = rows_.groupBy("bucket").agg(F.count("*").alias("c"), F.min("component").alias("a"), F.max("component").alias("b")).where("c > 1 AND a <> b")
         turn += 1
-        members = store(rows_.join(shared.select("bucket"), "bucket", "left_semi").select("bucket", "node", "n_v", "inside"), f"members{turn}")
+        members = store(rows_.join(shared.select("bucket"), "bucket", "left_semi").select("bucket", "node", "n_v", *_PARTS), f"members{turn}")
     if not members.isEmpty():
         if turn == 0:  # no pivots: nothing is known to lie inside
-            members = members.join(of_size, "node").select("bucket", "node", F.col("n").alias("n_v"), F.lit(0).alias("inside"))
+            members = members.join(of_size, "node").select("bucket", "node", F.col("n").alias("n_v"), *[F.lit(0).alias(p) for p in _PARTS])
         rest = labelled(members, "node", "component")
-        other = rest.select("bucket", *[F.col(c).alias(f"o_{c}") for c in ("node", "n_v", "inside", "component")])
-        most = "(least(inside, o_inside) + least(n_v - inside, o_n_v - o_inside))"
-        pairs = (rest.join(other, "bucket").where(f"node < o_node AND component <> o_component AND {most} * {100 + percent} >= (n_v + o_n_v) * {percent}")
+        other = rest.select("bucket", *[F.col(c).alias(f"o_{c}") for c in ("node", "n_v", *_PARTS, "component")])
+        beyond = f"least(n_v - {' - '.join(_PARTS)}, o_n_v - {' - '.join(f'o_{p}' for p in _PARTS)})"
+        pairs = (rest.join(other, "bucket").where(f"node < o_node AND component <> o_component AND ({_WITHIN} + {beyond}) * {100 + percent} >= (n_v + o_n_v) * {percent}")
                  .select(F.col("node").alias("u"), F.col("o_node").alias("v")).distinct())
         link(store(_verified(pairs, sets, percent), "rest"), "labels")
 

@@ -8,7 +8,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 from salesmart.llm import katz, spherical_caps, superminhash
 from salesmart.llm.components import components
@@ -119,6 +121,30 @@ def test_near_duplicates(spark, near_rows, k, percent, rounds):
     assert got == _brute(near_rows, k, percent)
 
 
+@pytest.mark.parametrize("shape", ["inside", "outside"])
+def test_bridge_between_the_groups_of_two_pivots(spark, shape):
+    """u - x - y - w, u and w not linked: x ~ y joins them, by shingles of the pivots or by others, whichever two are the pivots."""
+    def chain(name):
+        words = lambda part, a, b: [f"{name}{part}{i}" for i in range(a, b)]
+        if shape == "inside":
+            return [words("a", s, s + 100) for s in (0, 8, 16, 24)]
+        core, d = words("c", 0, 84), words("d", 0, 8)
+        return [core + words("p", 0, 16), core + words("p", 0, 8) + d, core + words("q", 0, 8) + d, core + words("q", 0, 16)]
+
+    rows, ends = [], 0
+    for n in range(60):
+        texts = [" ".join(w) for w in chain(f"n{n}")]
+        hashes, at = superminhash.shingle_sets(pa.array(texts), 1)
+        if len(np.unique(superminhash.signatures(hashes, at, 1))) > 1:
+            continue  # not in one bucket
+        order = sorted(range(4), key=lambda i: np.uint64(xxhash.xxh3_64_intdigest(hashes[at[i] : at[i + 1]].tobytes())).astype(np.int64))
+        ends += set(order[2:]) == {0, 3}  # all weigh the same, so the largest two are the pivots
+        rows += [(10 * n + i, text) for i, text in enumerate(texts)]
+    assert ends >= 3
+    got = superminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80, rows=1, bands=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 10 for i, _ in rows}
+
+
 def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     got = superminhash.near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count()
