@@ -187,6 +187,22 @@ def test_near_vectors(spark):
     assert spherical_caps.near_vectors(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("scale", [[1] * 32 + [0] * 32, [1 / (i + 1) for i in range(64)], [1] * 32 + [0.1] * 32, [1] * 3, [1] * 4, [1] * 12], ids=["padded", "decaying", "uneven", "d3", "d4", "d12"])
+def test_near_vectors_of_any_shape(spark, scale):
+    """Pairs at just over the cosine, found whatever coordinates hold the length."""
+    rng, n, d = np.random.default_rng(7), 150, len(scale)
+    x, y = (rng.standard_normal((n, d)) * scale for _ in "xy")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    y = 0.9305 * x + math.sqrt(1 - 0.9305**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    both = np.concatenate((x, y))
+    want = ((both @ both.T) >= 0.93).sum(axis=1) - 1
+    assert want.min() >= 1
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(both)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in spherical_caps.near_vectors(df, block=64).collect()}
+    assert got == dict(enumerate(want.tolist()))
+
+
 def test_list_decoding_finds_all_directions():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((20, 9))
