@@ -10,6 +10,11 @@ threshold of its character class (hex, or the larger alphabet), unless the allow
 (placeholders, dates and numbers, UUIDs, paths of plain words) suppresses it or a
 base span holds it already.
 
+``spans`` lets a placeholder word suppress the whole candidate that holds it, as the
+query's SQL does. ``redact`` lets it suppress only the part that it is: candidates are
+split at / = _ - where a whole part is a placeholder, and each stretch between such parts
+is judged as a candidate, so a key beside "test_" or in a path with "latest-" is replaced.
+
 Places come from ``split``: the text between the matches and the matches
 themselves, added up, are the offsets in code points.
 
@@ -40,10 +45,13 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Bits a character; a window of 20 different characters has 4.32.
 HEX_BITS, ALPHABET_BITS = 3.0, 3.8
-ALLOW = (r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test[_-]"  # placeholders
-         r"|^[0-9+/_=-]+$"  # dates and numbers
-         r"|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"  # UUIDs
-         r"|^[A-Za-z]+([/_-][A-Za-z]+)*[/_-]?[0-9]{0,4}$")  # words, paths of words
+SHAPES = (r"^[0-9+/_=-]+$"  # dates and numbers
+          r"|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"  # UUIDs
+          r"|^[A-Za-z]+([/_-][A-Za-z]+)*[/_-]?[0-9]{0,4}$")  # words, paths of words
+ALLOW = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test[_-]|" + SHAPES  # placeholders first
+#: Placeholders that are a whole part of a run; and the stretches of runs without these and the separators before them.
+_PART = r"(?<![A-Za-z0-9+])(?i:(?:example|sample|dummy|placeholder|changeme|x{4,})(?![A-Za-z0-9+])|(?:your|test)[_-])"
+STRETCH = rf"(?<![A-Za-z0-9+])(?:(?![/=_-]{{0,8}}{_PART})[A-Za-z0-9+/_=-]){{20,}}+"
 
 _TERMS = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 1))]
 
@@ -98,17 +106,20 @@ def _window_bits(run: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(run) - 1), start, step, lambda a: a["best"])
 
 
-def spans(docs: DataFrame) -> DataFrame:
-    """``docs`` (with text) and ``__base``, ``__spans``: arrays of (kind, start, end) sorted by start, then kind."""
+def spans(docs: DataFrame, by_part: bool = False) -> DataFrame:
+    """``docs`` (with text) and ``__base``, ``__spans``: arrays of (kind, start, end) sorted by start, then kind.
+
+    Placeholders suppress the candidates that hold them or, ``by_part``, only the parts that they are.
+    """
     df = once(docs, __text=F.coalesce(F.col("text").cast("string"), F.lit("")))
-    df = _with_matches(df, __assign=ASSIGN, __access=ACCESS, __hex=HEX, __runs=CANDIDATE).drop("__text")
+    df = _with_matches(df, __assign=ASSIGN, __access=ACCESS, __hex=HEX, __runs=STRETCH if by_part else CANDIDATE).drop("__text")
     end = lambda m: m["start"] + F.length(m["match"])
     kept = {
         0: F.filter("__assign", lambda m: F.length(F.regexp_extract(m["match"], "^" + ASSIGN, 1)) >= MIN_ASSIGN),
         1: F.filter("__access", lambda m: F.length(m["match"]) >= MIN_ACCESS),
         2: F.col("__hex"),
     }
-    mixed = lambda m: m["match"].rlike("[A-Za-z]") & m["match"].rlike("[0-9]") & ~m["match"].rlike(ALLOW)
+    mixed = lambda m: m["match"].rlike("[A-Za-z]") & m["match"].rlike("[0-9]") & ~m["match"].rlike(SHAPES if by_part else ALLOW)
     df = once(df, __base=F.sort_array(F.concat(*[_spans_of(kind, found) for kind, found in kept.items()])), __mixed=F.filter("__runs", mixed)).drop("__assign", "__access", "__hex", "__runs")
     bits = F.transform("__mixed", lambda m: F.struct(m["match"].alias("match"), m["start"].alias("start"), _window_bits(m["match"]).alias("bits")))
     df = once(df, __runs=F.when(F.size("__mixed") > 0, bits).otherwise(F.array().cast("array<struct<match:string,start:int,bits:double>>"))).drop("__mixed")
@@ -126,7 +137,7 @@ def _named(array: str) -> Column:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one); n_chars follows where there is one."""
     names = docs.columns
-    df = spans(docs)
+    df = spans(docs, by_part=True)
     cut = F.aggregate("__spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
         F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).alias("out"),
         s["end"].alias("at"))))

@@ -101,6 +101,17 @@ def test_redact(spark, no_docs):
     assert secret_scan.redact(no_docs).collect() == []
 
 
+def test_placeholders_leave_the_keys_beside_them(spark):
+    key, long_key = "Zq8vN3xKp0Tb7LwYc2Rd5H", "aZ3+kQ9/pL0xW7_" * 100
+    texts = {f"/download/latest-{key}": "[SECRET]", f"get /samples/{key} now": "get [SECRET] now", f"sk_test_{key}": "sk_test_[SECRET]", f"a?x={key}&y=dummy/{key}": "a?[SECRET]&y=dummy/[SECRET]",
+             f"{key}_EXAMPLE": "[SECRET]_EXAMPLE", f"your_xxxxxx_test-{key}": "your_xxxxxx_test-[SECRET]", f"é {key[:11]}/{key[11:]}-sample-{key[:12]}": f"é [SECRET]-sample-{key[:12]}",
+             f"example/{long_key}": "example/[SECRET]", "x" * 2000 + "1": None, "test_" * 400 + "1": None, "-" * 2000 + "a1": None,
+             "your_example_test-sample/xxxxxxxx1": None, "path_of_many_words_2024/example_words_and_more_words_12": None, "550e8400-e29b-41d4-a716-446655440000": None, "test_550e8400-e29b-41d4-a716-446655440000": None}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert got == {i: text if new is None else new for i, (text, new) in enumerate(texts.items())}
+
+
 def test_query_columns(spark):
     from salesmart.llm.secret_scan import op4_secret_scan
 
