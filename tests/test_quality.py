@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import D, edge_rows, make_oltp
 from salesmart.operators import quality
@@ -27,6 +30,13 @@ def test_q3_unique_keys_reports_repeated_lines(edge_oltp, edge_mart):
     assert all(v == 0 for k, v in got.items() if k != ("_detailcommande", "nocom,refprod"))
 
 
+def test_q3_checks_liv_key_itself(edge_oltp, edge_mart):
+    """A stored fact whose liv_key repeats while its nocom does not."""
+    mart = dataclasses.replace(edge_mart, fait_livraisons=edge_mart.fait_livraisons.withColumn("liv_key", F.lit(1)))
+    got = {(r.table_name, r.key_name): r.n_duplicates for r in quality.dq_unique_keys(edge_oltp, mart).collect()}
+    assert got[("faitLivraisons", "liv_key")] == 6 and got[("faitLivraisons", "nocom")] == 0
+
+
 def test_q4_foreign_keys(edge_oltp, edge_mart):
     got = {r.fk_name: r.n_orphans for r in quality.dq_foreign_keys(edge_oltp, edge_mart).collect()}
     assert got["_commande.codecli"] == 1                 # C9
