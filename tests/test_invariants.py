@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from mart_samples import SF0001
 from salesmart.operators import facts, finance, logistics
 from salesmart.plans.mart import build_mart
 from salesmart.sources.testdata import load_oltp

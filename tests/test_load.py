@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import day, edge_rows, make_oltp
+from mart_samples import day, edge_rows, make_oltp
 from salesmart.functions import natural_key
 from salesmart.operators import dims, facts, finance
 from salesmart.operators.merge import insert_if_absent

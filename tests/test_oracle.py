@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF0001
+from mart_samples import SF0001
 from oracle_compare import compare, duck
 from salesmart.registry import OPERATORS
 

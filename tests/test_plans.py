@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF0001
+from mart_samples import SF0001
 from salesmart import Period
 from salesmart.operators import finance
 from salesmart.plans.mart import build_mart, load_mart
@@ -75,7 +75,7 @@ def test_fact_files_hold_narrow_runs_of_dates(spark, tmp_root):
 
     import pyarrow.parquet as pq
 
-    from conftest import SF0001
+    from mart_samples import SF0001
     from salesmart.plans.mart import build_mart, write_table
     from salesmart.sources.testdata import load_oltp
 

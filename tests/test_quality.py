@@ -7,7 +7,7 @@ import dataclasses
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import D, edge_rows, make_oltp
+from mart_samples import D, edge_rows, make_oltp
 from salesmart.operators import quality
 from salesmart.plans.mart import build_mart
 
@@ -88,7 +88,7 @@ def test_orphan_orders_reach_the_checks_through_the_adapter(spark, tmp_root):
     """An order of a customer that the customer table lacks is lost by E12, and Q2 and Q4 say so."""
     import shutil
 
-    from conftest import SF0001
+    from mart_samples import SF0001
     from salesmart.operators import quality
     from salesmart.plans.mart import build_mart
     from salesmart.sources.testdata import TABLES, load_oltp

@@ -37,7 +37,7 @@ def test_incremental_refresh_keeps_existing_members(spark, edge_oltp, tmp_root):
 
 def test_staged_load_equals_lazy_build_on_test_data(spark, tmp_root):
     """The bench / production path (staged load) gives the tables the checked lazy plan gives."""
-    from conftest import SF0001
+    from mart_samples import SF0001
     from salesmart.sources.testdata import load_oltp
 
     oltp = load_oltp(spark, SF0001)
@@ -50,7 +50,7 @@ def test_staged_load_equals_lazy_build_on_test_data(spark, tmp_root):
 def test_a_stray_date_makes_a_long_calendar(spark, tmp_root):
     import datetime as dt
 
-    from conftest import edge_rows, make_oltp
+    from mart_samples import edge_rows, make_oltp
 
     rows = edge_rows()
     rows["commande"][0] = dict(rows["commande"][0], dateobjliv=dt.date(2999, 1, 1))

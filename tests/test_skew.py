@@ -15,7 +15,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from mart_samples import SF0001
 from salesmart.operators import finance
 from salesmart.operators import facts
 from salesmart.plans.mart import build_mart, load_mart

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF0001
+from mart_samples import SF0001
 from salesmart.operators import facts
 from salesmart.plans.mart import read_mart, write_mart
 from salesmart.plans.publish import export_csv, publish

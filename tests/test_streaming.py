@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from conftest import edge_rows, make_oltp
+from mart_samples import edge_rows, make_oltp
 from salesmart.plans.mart import current_mart
 from salesmart.sources.files import write_oltp
 from salesmart.streaming.refresh_stream import start_refresh_stream
