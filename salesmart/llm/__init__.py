@@ -1,6 +1,6 @@
 """Operators for preparing training data for language models.
 
-Ten operators, each in a module of its own, and the queries that apply them
+Thirteen operators, each in a module of its own, and the queries that apply them
 to whole tables (``queries.py``). Nothing else in the library imports this
 subpackage.
 """

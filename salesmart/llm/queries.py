@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salesmart.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from salesmart.llm.host_reputation import OP9_SQL, op9_host_reputation
 from salesmart.llm.katz import op3_katz_scores
+from salesmart.llm.language_profiles import op11_language_profiles
 from salesmart.llm.longest_match import op10_token_counts
 from salesmart.llm.mixing import op5_source_mixing
 from salesmart.llm.packing import op1_best_fit_packing
+from salesmart.llm.periodic_runs import op13_periodic_runs
 from salesmart.llm.quality import OP6_SQL, op6_quality_rules
 from salesmart.llm.secret_scan import OP4_SQL, op4_secret_scan
 from salesmart.llm.spherical_caps import OP8_SQL, op8_spherical_caps
@@ -28,6 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spherical_caps": op8_spherical_caps,
     "op9_host_reputation": op9_host_reputation,
     "op10_token_counts": op10_token_counts,
+    "op11_language_profiles": op11_language_profiles,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
@@ -36,4 +42,5 @@ ORACLE: dict[str, str] = {
     "op7_superminhash": OP7_SQL,
     "op8_spherical_caps": OP8_SQL,
     "op9_host_reputation": OP9_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }

@@ -13,7 +13,7 @@ def _entry():
     return __spark_entry__
 
 
-@pytest.mark.parametrize("name", ["op4_secret_scan", "op6_quality_rules", "op7_superminhash", "op8_spherical_caps", "op9_host_reputation"])
+@pytest.mark.parametrize("name", ["op4_secret_scan", "op6_quality_rules", "op7_superminhash", "op8_spherical_caps", "op9_host_reputation", "op12_hard_negatives"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 
@@ -32,7 +32,7 @@ def test_queries_equal_their_sql(spark, name):
 def test_every_operator_is_registered():
     names = list(_entry().queries())
     assert [n for n in names if n.startswith("op")] == sorted((n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline(spark, prose, tmp_path):
