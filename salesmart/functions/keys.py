@@ -8,7 +8,8 @@ compute their dimension keys without joining the dimension:
 * string / composite natural keys use the MD5 of an encoding that says of
   every field whether it is NULL and how long it is, so different tuples
   never encode alike. With 128 bits a clash among 1.5e10 customer codes
-  has a chance of about 3e-19, so no clash handling is needed.
+  has a chance of about 3e-19, so no clash handling is needed. The key is
+  stored as its 16 bytes.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ def iso_weekday(col: str | Column) -> Column:
 
 
 def natural_key(*cols: str | Column) -> Column:
-    """128-bit key (hex) of one or more nullable string columns, NULL positions included."""
+    """128-bit key (16 bytes) of one or more nullable columns, NULL positions included."""
     parts: list[Column] = []
     for c in cols:
         text = (F.col(c) if isinstance(c, str) else c).cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.md5(F.concat(*parts))
+    return F.unhex(F.md5(F.concat(*parts)))

@@ -13,9 +13,9 @@ Plan at scale (one order may carry a third of all lines):
   the inner joins of the source load that drop rows without a customer,
   employee or product are LEFT SEMI joins that Spark broadcasts or
   shuffles by the dimension's size, which AQE can split;
-* ``ventes_key`` numbers the lines (``monotonically_increasing_id`` in their
-  scan stage, before any exchange): unique within a load, but not the same
-  in the next one, as lines have no natural key.
+* ``ventes_key`` is the key of a line's content and its number among lines
+  equal in all columns (``numbered_lines``): lines have no natural key, but
+  equal ones are interchangeable, so every load and retry gives the same keys.
 """
 
 from __future__ import annotations
@@ -33,16 +33,38 @@ from salesmart.schema import AMOUNT, RATE, SENTINEL
 NET_EXACT = "decimal(18,4)"    # qte * prixunit * (1 - remise) is exact at scale 4
 
 
-def line_amounts(detail: DataFrame) -> DataFrame:
-    """Gross and net amount of each line, unrounded."""
+def line_amounts(detail: DataFrame, more: Iterable[str] = ()) -> DataFrame:
+    """Gross and net amount of each line, unrounded (``more``: columns to keep)."""
     brut = F.col("qte") * F.col("prixunit")
     return detail.select(
-        "nocom", "refprod", "qte", "prixunit", "remise",
+        "nocom", "refprod", "qte", "prixunit", "remise", *more,
         brut.alias("montant_brut"),
         (brut * (F.lit(1) - F.col("remise"))).cast(NET_EXACT).alias("montant_net"),
     )
 
 
+LINE = ("nocom", "refprod", "prixunit", "qte", "remise")
+#: Equal lines that one task writes out in a row.
+COPIES = 4096
+
+
+def numbered_lines(detail: DataFrame) -> DataFrame:
+    """The lines with ``copie``, their number among lines equal in all columns.
+
+    Counted with partial sums, so a line repeated on a third of the table is
+    a row per task before the exchange; then a row is written out for each
+    copy. Lines with more than ``COPIES`` copies are first cut into ranges that
+    go to different tasks, so no window and no task sees all copies of a line.
+    """
+    counted = detail.groupBy(*LINE).agg(F.count(F.lit(1)).alias("_n"))
+    few = counted.where(F.col("_n") <= COPIES).select(*LINE, F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias("copie"))
+    ranges = (counted.where(F.col("_n") > COPIES)
+              .select(*LINE, "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(COPIES).cast("long"))).alias("_first"))
+              .repartition(*LINE, "_first"))
+    last = F.least(F.col("_first") + COPIES, F.col("_n")) - 1
+    return few.unionByName(ranges.select(*LINE, F.explode(F.sequence("_first", last)).alias("copie")))
+
+
 def order_net_total(lines: DataFrame) -> DataFrame:
     """SUM(net) per order, DECIMAL(28,4) (partial aggregation before the shuffle)."""
     return lines.groupBy("nocom").agg(F.sum("montant_net").alias("total_net"))
@@ -109,12 +131,13 @@ def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame)
     its files (staged load), the join below has two shuffled inputs, the
     shape AQE's skew-join handles.
     """
-    lines = line_amounts(detail).withColumn("ventes_key", F.monotonically_increasing_id())
-    lines = lines.join(dim_produit.select("refprod"), "refprod", "left_semi")
+    lines = numbered_lines(detail).join(dim_produit.select("refprod"), "refprod", "left_semi")
     header = deliveries.select(
         "nocom", F.col("datecom_key").alias("date_key"), "client_key", "employe_key",
         "transporteur_key", "geo_key", "port", "total_net", "annee")
-    enriched = lines.join(header, "nocom")
+    # amounts and key after the join: its exchange carries the source columns only
+    joined = lines.join(header, "nocom").withColumn("ventes_key", natural_key(*LINE, "copie"))
+    enriched = line_amounts(joined, [*header.columns[1:], "ventes_key"])
     return enriched.select(
         "ventes_key", "date_key", "client_key", "employe_key", "transporteur_key",
         F.col("refprod").alias("produit_key"), "geo_key", "nocom", "qte", "prixunit",

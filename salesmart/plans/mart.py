@@ -2,25 +2,38 @@
 
 ``build_mart`` is lazy (a plan, nothing runs). ``write_mart`` persists it
 as Parquet (S5): dimensions one folder each, facts partitioned by order
-year ``annee`` so that year filters prune files. A refresh writes a new
-version folder and only then appends its marker to ``_versions``; markers
-are never changed, and readers take the newest, so a crash at any moment
-leaves the previous version current. Re-running a refresh gives the same
-tables (``ventes_key`` apart), unlike the source load whose sales insert
+year ``annee`` so that year filters prune files.
+
+A refresh writes a version: the dimensions under ``<root>/<version>``, the
+facts under ``<root>/<fact>/load=<version>/annee=<year>``, then its marker in
+``_versions``. The marker lists, per fact and year, the load that holds it.
+An incremental refresh writes only the years whose source rows changed and
+takes the others from earlier loads as they are. Which years changed is told by
+their prints: sums of hashes over the orders and lines of a year, stored with
+the version. Years that hold rows of members new in a dimension change too.
+
+Markers are never changed and readers take the newest, so a crash at any
+moment leaves the previous version current. Re-running a refresh gives the same
+tables, keys included, unlike the source load whose sales insert
 doubled the fact on a second run.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable
+from dataclasses import replace
+from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from salesmart.functions.clustering import between, day_part, first_byte, interleaved
 from salesmart.functions.keys import natural_key
 from salesmart.operators import dims, facts
 from salesmart.operators.merge import insert_if_absent
@@ -71,8 +84,7 @@ def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
 
     With ``existing``, dimensions are loaded insert-if-absent (E10):
     members already in the mart keep their row, new ones are added. Facts
-    are always rebuilt from the sources (lines have no natural key, so an
-    append could not be made idempotent).
+    are built from the sources; ``refresh`` does that for some years only.
     """
     s = tuple(sentinels)
     new = build_dims(oltp, s, existing)
@@ -86,25 +98,81 @@ def _table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-FACT_SORT = {"fait_livraisons": "datecom_key", "fait_ventes": "date_key"}
+#: Order date of each fact; the facts lie on a curve through it and the keys of these.
+FACT_DATE = {"fait_livraisons": "datecom_key", "fait_ventes": "date_key"}
+#: Row groups can be skipped for one order by these filters, as by an index.
+BLOOM = {"parquet.bloom.filter.enabled#nocom": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
-def write_table(name: str, df: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """S5 for one table. Facts are dealt to tasks by ranges of (year, date,
-    order) before they are sorted and written by ``annee``: each file holds
-    a narrow run of dates, so date filters skip files and row groups inside
-    a year, and the files number about as many as the shuffle partitions."""
-    path = _table_path(root, name)
-    if name in FACTS:
-        by = ["annee", FACT_SORT[name], "nocom"]
-        df.repartitionByRange(*by).sortWithinPartitions(*by).write.mode(mode).partitionBy("annee").parquet(path)
-    else:
+
+def product_bounds(dim_produit: DataFrame) -> tuple[int, int]:
+    """The least and greatest product key (0, 0 without products)."""
+    row = dim_produit.agg(F.min("refprod"), F.max("refprod")).first()
+    return (row[0], row[1]) if row[0] is not None else (0, 0)
+
+
+def write_table(name: str, df: DataFrame, root: str, mode: str = "overwrite", products: tuple[int, int] = (0, 0)) -> None:
+    """S5 for one table. Facts are dealt to tasks by ranges of year, then of
+    a curve through date, client and product (``products``: the bounds of the
+    product keys), then of order, product and line, and are written by
+    ``annee`` in that order. So each file and row group has narrow bounds on
+    date, client and product, one order's lines go to as many tasks as
+    they need, and the files number about as many as the shuffle partitions.
+    A bloom filter on ``nocom`` lets a scan for one order skip row groups."""
+    _write_table(name, df, _table_path(root, name), mode, products)
+
+
+def _write_table(name: str, df: DataFrame, path: str, mode: str, products: tuple[int, int]) -> None:
+    if name not in FACTS:
         df.write.mode(mode).parquet(path)
+        return
+    axes = [day_part(FACT_DATE[name]), first_byte("client_key")]
+    lines = []
+    if name == "fait_ventes":
+        axes.append(between("produit_key", *products))
+        lines = ["produit_key", "ventes_key"]
+    by = ["annee", "_place", "nocom", *lines]
+    placed = df.withColumn("_place", interleaved(*axes)).repartitionByRange(*by).sortWithinPartitions(*by)
+    placed.drop("_place").write.mode(mode).options(**BLOOM).partitionBy("annee").parquet(path)
 
 
 def write_mart(mart: Mart, root: str, mode: str = "overwrite") -> None:
     """Parquet per table, each table from its own lazy plan."""
+    products = product_bounds(mart.dim_produit)
     for name, df in mart.tables().items():
-        write_table(name, df, root, mode)
+        write_table(name, df, root, mode, products)
+
+
+def _load_dims(oltp: Oltp, root: str, sentinels: tuple[str, ...], existing: Mart | None) -> dict[str, DataFrame]:
+    """The dimensions, written under ``root`` and read back."""
+    spark = oltp.commande.sparkSession
+    # the six dimension loads are independent jobs: submit them together so
+    # small ones do not leave the cluster idle while they run one by one
+    plan = build_dims(oltp, sentinels, existing)
+    write = inheritable_thread_target(spark)(write_table)  # job group and pool of the caller
+    with ThreadPoolExecutor(max_workers=len(plan)) as pool:
+        for f in [pool.submit(write, name, df, root) for name, df in plan.items()]:
+            f.result()
+    return {name: spark.read.schema(plan[name].schema).parquet(_table_path(root, name)) for name in DIM_KEYS}
+
+
+def _load_facts(oltp: Oltp, d: dict[str, DataFrame], paths: dict[str, str], sentinels: tuple[str, ...]) -> dict[str, str]:
+    """The facts, written to their ``paths``; their schemas, as JSON."""
+    products = product_bounds(d["dim_produit"])
+    liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"], d["dim_transporteur"], sentinels)
+    _write_table("fait_livraisons", liv, paths["fait_livraisons"], "overwrite", products)
+    header = _read_years(oltp.commande.sparkSession, liv.schema.json(), paths["fait_livraisons"], None)
+    ventes = facts.fact_sales(oltp.detailcommande, header, d["dim_produit"])
+    _write_table("fait_ventes", ventes, paths["fait_ventes"], "overwrite", products)
+    return {"fait_livraisons": liv.schema.json(), "fait_ventes": ventes.schema.json()}
+
+
+def _read_years(spark: SparkSession, schema: str, base: str, folders: list[str] | None) -> DataFrame:
+    """A fact from some folders under ``base`` (None: all); no files are needed to know its columns."""
+    declared = T.StructType.fromJson(json.loads(schema))
+    if folders == []:
+        return spark.createDataFrame([], declared)
+    read = spark.read.schema(declared).option("basePath", base)
+    return read.parquet(*(folders if folders is not None else [base])).select(*declared.names)
 
 
 def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
@@ -116,22 +184,11 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
     strategies are chosen on exact file sizes. The plans are those of
     ``build_mart``.
     """
-    spark = oltp.commande.sparkSession
     s = tuple(sentinels)
-    # the six dimension loads are independent jobs: submit them together so
-    # small ones do not leave the cluster idle while they run one by one
-    dims_plan = build_dims(oltp, s, existing)
-    write = inheritable_thread_target(spark)(write_table)  # job group and pool of the caller
-    with ThreadPoolExecutor(max_workers=len(dims_plan)) as pool:
-        for f in [pool.submit(write, name, df, root) for name, df in dims_plan.items()]:
-            f.result()
-    d = {name: spark.read.parquet(_table_path(root, name)) for name in DIM_KEYS}
-    liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"],
-                                d["dim_transporteur"], s)
-    write_table("fait_livraisons", liv, root)
-    liv = spark.read.parquet(_table_path(root, "fait_livraisons"))
-    write_table("fait_ventes", facts.fact_sales(oltp.detailcommande, liv, d["dim_produit"]), root)
-    return read_mart(spark, root)
+    d = _load_dims(oltp, root, s, existing)
+    paths = {name: _table_path(root, name) for name in FACTS}
+    schemas = _load_facts(oltp, d, paths, s)
+    return Mart(**d, **{name: _read_years(oltp.commande.sparkSession, schemas[name], path, None) for name, path in paths.items()})
 
 
 def read_mart(spark: SparkSession, root: str) -> Mart:
@@ -139,65 +196,180 @@ def read_mart(spark: SparkSession, root: str) -> Mart:
     return Mart(**{name: spark.read.parquet(_table_path(root, name)) for name in Mart.__dataclass_fields__})
 
 
-MARKER = "seq long, version string"
+# ------------------------------------------------------------------- years
+PRINTS = "annee int, n_orders long, order_print decimal(38,0), n_lines long, line_print decimal(38,0)"
+
+
+def year_prints(oltp: Oltp) -> DataFrame:
+    """A print per order year of the source rows that its facts are made of.
+
+    Rows are hashed and the hashes summed, so the print does not depend on
+    their order and repeated rows count. Lines are summed per order before they
+    meet their order's year (partial sums: a hot order is a row per task).
+    Orders without a date, and lines without an order, are of year NULL.
+    """
+    def row_print(columns: Iterable[str]) -> F.Column:
+        # the hash passes NULLs over, so it is told where they are; 28 digits leave room for 10^19 rows
+        return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).cast("decimal(28,0)")
+
+    lines = oltp.detailcommande.groupBy("nocom").agg(F.count(F.lit(1)).alias("_n"), F.sum(row_print(facts.LINE)).alias("_print"))
+    orders = oltp.commande.select("nocom", F.year("datecom").alias("annee"), row_print(oltp.commande.columns).alias("_order"))
+    both = orders.join(lines, "nocom", "full")
+    none = F.lit(0).cast("decimal(38,0)")
+    return both.groupBy("annee").agg(
+        F.count("_order").alias("n_orders"), F.coalesce(F.sum("_order"), none).cast("decimal(38,0)").alias("order_print"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_lines"), F.coalesce(F.sum(F.col("_print").cast("decimal(28,0)")), none).cast("decimal(38,0)").alias("line_print"))
+
+
+def _years(df: DataFrame) -> set[int | None]:
+    return {r["annee"] for r in df.select("annee").distinct().collect()}  # as many as the calendar has years
+
+
+def _in_years(years: set[int | None]) -> F.Column:
+    year = F.year("datecom")
+    return F.when(year.isNull(), F.lit(None in years)).otherwise(year.isin([y for y in years if y is not None]))
+
+
+def _of_years(oltp: Oltp, years: set[int | None]) -> Oltp:
+    orders = oltp.commande.where(_in_years(years))
+    return replace(oltp, commande=orders, detailcommande=oltp.detailcommande.join(orders.select("nocom"), "nocom", "left_semi"))
+
+
+def _years_of_new_members(oltp: Oltp, d: dict[str, DataFrame], existing: Mart) -> set[int | None]:
+    """Years of the orders that name a customer, employee, carrier or product the mart did not have.
+
+    Such orders and lines were dropped or without a key so far."""
+    def new(name: str) -> DataFrame:
+        key = DIM_KEYS[name]
+        return d[name].select(*key).join(getattr(existing, name).select(*key), key, "left_anti")
+
+    fresh = {name: new(name) for name in ("dim_client", "dim_employe", "dim_transporteur", "dim_produit")}
+    orders = oltp.commande.withColumn("annee", F.year("datecom"))
+    found = [orders.join(fresh[name], DIM_KEYS[name], "left_semi") for name in ("dim_client", "dim_employe", "dim_transporteur")]
+    found.append(orders.join(oltp.detailcommande.join(fresh["dim_produit"], "refprod", "left_semi").select("nocom").distinct(), "nocom", "left_semi"))
+    return _years(reduce(DataFrame.unionByName, [f.select("annee") for f in found]))
+
+
+# ---------------------------------------------------------------- versions
+MARKER = "seq long, version string, facts array<struct<name string, annee int, load string>>, schemas map<string, string>"
 
 
 def _markers(root: str) -> str:
     return f"{root.rstrip('/')}/_versions"
 
 
+def _load_path(root: str, name: str, load: str, annee: int | None | str = "") -> str:
+    """The folder of a load of a fact, or of one year of it."""
+    folder = f"{_table_path(root, name)}/load={load}"
+    return folder if annee == "" else f"{folder}/annee={'__HIVE_DEFAULT_PARTITION__' if annee is None else annee}"
+
+
+def _read_version(spark: SparkSession, root: str, marker: Row) -> Mart:
+    declared = {name: T.StructType.fromJson(json.loads(marker["schemas"][name])) for name in DIM_KEYS}
+    tables = {name: spark.read.schema(schema).parquet(_table_path(f"{root.rstrip('/')}/{marker['version']}", name)) for name, schema in declared.items()}
+    for name in FACTS:
+        folders = [_load_path(root, name, f["load"], f["annee"]) for f in marker["facts"] if f["name"] == name]
+        tables[name] = _read_years(spark, marker["schemas"][name], _table_path(root, name), folders)
+    return Mart(**tables)
+
+
 def refresh(spark: SparkSession, oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
-            incremental: bool = False) -> Mart:
+            incremental: bool = False, changed: DataFrame | None = None) -> Mart:
     """Load a new mart version under ``root`` and make it current.
 
     ``root`` must be on storage shared by the cluster (the same place as
     ``spark.checkpoint.dir``). The marker is appended through Spark, whose
     commit makes its file visible at once or not at all.
+
+    ``incremental`` keeps the members of the dimensions and rewrites the facts of
+    changed years only. All sources are read for their prints, unless
+    ``changed`` names the orders (nocom) that are new or whose header
+    or lines changed: then only their years are looked at, and the caller
+    answers for the rest.
     """
-    newest = _newest(spark, root)
-    existing = read_mart(spark, f"{root.rstrip('/')}/{newest[1]}") if (incremental and newest) else None
+    base, s = root.rstrip("/"), tuple(sentinels)
+    before = _newest(spark, root)
     version = f"v-{uuid.uuid4().hex[:12]}"
-    load_mart(oltp, f"{root.rstrip('/')}/{version}", sentinels, existing)
-    (spark.createDataFrame([((newest[0] if newest else 0) + 1, version)], MARKER).coalesce(1)
-     .write.mode("append").json(_markers(root)))
-    return read_mart(spark, f"{root.rstrip('/')}/{version}")
-
-
-def _newest(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    existing = _read_version(spark, root, before) if incremental and before else None
+    d = _load_dims(oltp, f"{base}/{version}", s, existing)
+    if existing is None:
+        prints, touched, part = year_prints(oltp).collect(), None, oltp  # a row per year
+    else:
+        old = spark.read.schema(PRINTS).parquet(f"{base}/{before['version']}/_years").collect()
+        if changed is None:
+            prints = year_prints(oltp).collect()
+            touched = {r["annee"] for r in set(old) ^ set(prints)}
+        else:
+            touched = _years(oltp.commande.join(changed.select("nocom").distinct(), "nocom", "left_semi").select(F.year("datecom").alias("annee")))
+            prints = [r for r in old if r["annee"] not in touched] + year_prints(_of_years(oltp, touched)).collect()
+        touched |= _years_of_new_members(oltp, d, existing)
+        part = _of_years(oltp, touched)
+    spark.createDataFrame(prints, PRINTS).coalesce(1).write.parquet(f"{base}/{version}/_years")
+    if touched == set():
+        listed, schemas = list(before["facts"]), before["schemas"]
+    else:
+        paths = {name: _load_path(root, name, version) for name in FACTS}
+        schemas = _load_facts(part, d, paths, s)
+        listed = [] if touched is None else [f for f in before["facts"] if f["annee"] not in touched]
+        for name, path in paths.items():
+            listed += [(name, annee, version) for annee in sorted(_years(_read_years(spark, schemas[name], path, None)), key=str)]
+    schemas = {**schemas, **{name: df.schema.json() for name, df in d.items()}}
+    marker = ((before["seq"] if before else 0) + 1, version, [tuple(f) for f in listed], schemas)
+    spark.createDataFrame([marker], MARKER).coalesce(1).write.mode("append").json(_markers(root))
+    return _read_version(spark, root, Row(version=version, facts=[Row(name=n, annee=a, load=v) for n, a, v in marker[2]], schemas=schemas))
+
+
+def _read_markers(spark: SparkSession, root: str) -> DataFrame | None:
+    """The markers, newest first; None where no mart was loaded."""
     try:
         markers = spark.read.schema(MARKER).json(_markers(root))
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":  # only a mart never loaded has no markers
             raise
         return None
-    row = markers.orderBy(F.col("seq").desc(), F.col("version").desc()).first()
-    return (row["seq"], row["version"]) if row else None
+    return markers.orderBy(F.col("seq").desc(), F.col("version").desc())
+
+
+def _newest(spark: SparkSession, root: str) -> Row | None:
+    markers = _read_markers(spark, root)
+    return markers.first() if markers is not None else None
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     newest = _newest(spark, root)
-    return newest[1] if newest else None
+    return newest["version"] if newest else None
 
 
 def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete the folders of all but the newest ``keep`` versions; markers stay. Returns the versions deleted."""
+    """Delete what only versions before the newest ``keep`` use: their dimensions, and the years of
+    the facts that no kept version lists. Markers stay. Returns the versions deleted."""
     if keep < 1:
         raise ValueError("the current version stays")
-    if _newest(spark, root) is None:
-        return []
-    versions = [r["version"] for r in spark.read.schema(MARKER).json(_markers(root))
-                .orderBy(F.col("seq").desc(), F.col("version").desc()).collect()]  # a row per refresh
-    jvm, gone = spark.sparkContext._jvm, []
-    for version in versions[keep:]:
-        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{version}")
-        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True):
-            gone.append(version)
+    markers = _read_markers(spark, root)
+    rows = markers.collect() if markers is not None else []  # a row per refresh
+    kept = {tuple(f) for r in rows[:keep] for f in r["facts"]}
+    jvm, base = spark.sparkContext._jvm, root.rstrip("/")
+
+    def delete(folder: str) -> bool:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    loads = {(name, load) for name, _, load in kept}
+    gone = []
+    for r in rows[keep:]:
+        for name, annee, load in map(tuple, r["facts"]):
+            if (name, load) not in loads:
+                delete(_load_path(root, name, load))
+            elif (name, annee, load) not in kept:
+                delete(_load_path(root, name, load, annee))
+        if delete(f"{base}/{r['version']}"):
+            gone.append(r["version"])
     return gone
 
 
 def current_mart(spark: SparkSession, root: str) -> Mart | None:
-    v = current_version(spark, root)
-    return read_mart(spark, f"{root.rstrip('/')}/{v}") if v else None
+    newest = _newest(spark, root)
+    return _read_version(spark, root, newest) if newest else None
 
 
 def table_counts(mart: Mart) -> DataFrame:
