@@ -4,19 +4,20 @@ Three fixed patterns (assignments, access keys, long hex) give the base spans.
 The entropy method adds spans: candidates are runs of ``CANDIDATE`` characters
 that hold a letter and a digit; over each a window of ``WINDOW`` characters
 slides, and the Shannon entropy of the window is kept up by incremental
-counts: one character enters, one leaves, and only their two terms of
+counts: one character enters, one leaves, and only their two counts and terms of
 ``sum(c * log2 c)`` change. A candidate is a secret where some window reaches the
 threshold of its character class (hex, or the larger alphabet), unless the allow-list
 (placeholders, dates and numbers, UUIDs, paths of plain words) suppresses it or a
 base span holds it already.
 
-``spans`` lets a placeholder word suppress the whole candidate that holds it, as the
-query's SQL does. ``redact`` lets it suppress only the part that it is: candidates are
-split at / = _ - where a whole part is a placeholder, and each stretch between such parts
-is judged as a candidate, so a key beside "test_" or in a path with "latest-" is replaced.
+A placeholder word suppresses what it names: a run is cut at the parts (between / = _ -)
+that are placeholders, and each stretch between them is judged as a candidate, so a key
+beside "test_" or in a path with "/example/" is found.
 
 Places come from ``split``: the text between the matches and the matches
-themselves, added up, are the offsets in code points.
+themselves, added up, are the offsets in code points. Sums over arrays are taken in blocks
+of ``BLOCK`` entries, then over the blocks, so texts with very many matches don't copy
+ever longer arrays. No pattern repeats a group without bound (Java would recurse).
 
 Edges: a null text has no spans and stays null; empty texts have none; rows
 are judged one by one, so ties and repeated rows stay; extra columns pass
@@ -41,92 +42,145 @@ HEX = r"[0-9a-f]{24,}"  # the runs of 24 or more: just those matches of [0-9a-f]
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "entropy")
 
+SHORTEST = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Bits a character; a window of 20 different characters has 4.32.
 HEX_BITS, ALPHABET_BITS = 3.0, 3.8
-SHAPES = (r"^[0-9+/_=-]+$"  # dates and numbers
-          r"|^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"  # UUIDs
-          r"|^[A-Za-z]+([/_-][A-Za-z]+)*[/_-]?[0-9]{0,4}$")  # words, paths of words
-ALLOW = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test[_-]|" + SHAPES  # placeholders first
-#: Placeholders that are a whole part of a run; and the stretches of runs without these and the separators before them.
-_PART = r"(?<![A-Za-z0-9+])(?i:(?:example|sample|dummy|placeholder|changeme|x{4,})(?![A-Za-z0-9+])|(?:your|test)[_-])"
-STRETCH = rf"(?<![A-Za-z0-9+])(?:(?![/=_-]{{0,8}}{_PART})[A-Za-z0-9+/_=-]){{20,}}+"
+# The allow-list: parts that are placeholders, and shapes of whole candidates.
+SEPARATOR = "[/=_-]"
+PLACEHOLDER = "^(example|sample|dummy|placeholder|changeme|x{4,})$"
+PREFIXES = ("your", "test")  # placeholders before _ or -
+NUMBERS = "^[0-9+/_=-]+$"  # dates and numbers
+UUID = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
+WORDS = "^[A-Za-z][A-Za-z/_-]*[0-9]{0,4}$"  # words, paths of words; separators stand alone in them
+TWO_SEPARATORS = "[/_-][/_-]"
 
-_TERMS = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 1))]
+BLOCK = 256
+#: c * log2 c in units of 2^-32, so that sums don't depend on their order.
+_UNIT = 1 << 32
+_TERMS = [0, *(round(c * math.log2(c) * _UNIT) for c in range(1, WINDOW + 1))]
+_FIRST, _PER_LONG, _BITS = ord("+"), 12, 5  # counts up to 31, twelve to a long, by character from '+' to 'z'
+_LONGS = (ord("z") - _FIRST) // _PER_LONG + 1
 
 
-def _spans_of(kind: int, found: Column) -> Column:
-    """Matches as (start, kind, end), in the order in which spans are sorted."""
-    return F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), (m["start"] + F.length(m["match"])).alias("end")))
+def _empty(kind: str) -> Column:
+    return F.array().cast(f"array<{kind}>")
+
+
+def _with_running(df: DataFrame, name: str, values: Column, largest: bool = False) -> DataFrame:
+    """Adds ``name``: for each of some arrays of numbers (``values``), the sums of the entries before each entry, or the largest of them (none: 0)."""
+    both = (lambda x, y: F.greatest(x, y)) if largest else (lambda x, y: x + y)
+    start = F.struct(_empty("int").alias("out"), F.lit(0).alias("at"))
+
+    def fold(array: Column, value) -> Column:
+        return F.aggregate(array, start, lambda a, x: F.struct(F.concat(a["out"], F.array(a["at"])).alias("out"), both(a["at"], value(x)).alias("at")))
+
+    block = lambda v, k: fold(F.slice(v, k * BLOCK + 1, BLOCK), lambda x: x)
+    cut = lambda v: F.when(F.size(v) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda k: block(v, k))).otherwise(
+        _empty("struct<out:array<int>,at:int>"))
+    df = once(df, __values=values)
+    df = once(df, __blocks=F.transform("__values", cut))
+    df = once(df, __offsets=F.transform("__blocks", lambda blocks: fold(blocks, lambda b: b["at"])["out"]))
+    whole = F.zip_with("__blocks", "__offsets", lambda blocks, offsets: F.flatten(F.zip_with(blocks, offsets, lambda b, o: F.transform(b["out"], lambda x: both(x, o)))))
+    return once(df, **{name: whole}).drop("__values", "__blocks", "__offsets")
 
 
 def _with_matches(df: DataFrame, **patterns: str) -> DataFrame:
     """Adds an array of (match, start) in order for each pattern; texts without a match cost one search."""
-    none = F.array().cast("array<string>")
-    found = {f"{n}_m": F.when(F.col("__text").rlike(p), F.regexp_extract_all("__text", F.lit(p), F.lit(0))).otherwise(none) for n, p in patterns.items()}
+    found = {f"{n}_m": F.when(F.col("__text").rlike(p), F.regexp_extract_all("__text", F.lit(p), F.lit(0))).otherwise(_empty("string")) for n, p in patterns.items()}
     df = once(df, **found)
-    lengths = {f"{n}_b": F.when(F.size(f"{n}_m") > 0, F.transform(F.split("__text", p, -1), lambda s: F.length(s))).otherwise(F.array().cast("array<int>")) for n, p in patterns.items()}
+    lengths = {f"{n}_b": F.when(F.size(f"{n}_m") > 0, F.transform(F.split("__text", p, -1), lambda s: F.length(s))).otherwise(_empty("int")) for n, p in patterns.items()}
     df = once(df, **lengths)
-    return once(df, **{n: _placed(f"{n}_m", f"{n}_b") for n in patterns}).drop(*found, *lengths)
+    between = {n: F.slice(f"{n}_b", 1, F.size(f"{n}_m")) for n in patterns}
+    df = _with_running(df, "__before", F.array(*[F.zip_with(between[n], f"{n}_m", lambda b, m: b + F.length(m)) for n in patterns]))
+    placed = {n: F.zip_with(f"{n}_m", F.zip_with(F.get("__before", F.lit(i)), between[n], lambda x, b: x + b), lambda m, at: F.struct(m.alias("match"), at.alias("start"))) for i, n in enumerate(patterns)}
+    return once(df, **placed).drop(*found, *lengths, "__before")
 
 
-def _placed(matches: str, between: str) -> Column:
-    """(match, start): the lengths between and of the matches, added up."""
-    start = F.struct(F.array().cast("array<struct<match:string,start:int>>").alias("out"), F.lit(0).alias("at"))
-    folded = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), start, lambda a, k: F.struct(
-        F.concat(a["out"], F.array(F.struct(F.get(matches, k).alias("match"), (a["at"] + F.get(between, k)).alias("start")))).alias("out"),
-        (a["at"] + F.get(between, k) + F.length(F.get(matches, k))).alias("at")), lambda a: a["out"])
-    return F.when(F.size(matches) > 0, folded).otherwise(F.array().cast("array<struct<match:string,start:int>>"))
+def _masked(run: Column) -> Column:
+    """The run with its placeholder parts blank."""
+    parts, separators = F.split(run, SEPARATOR, -1), F.concat(F.regexp_extract_all(run, F.lit(SEPARATOR), F.lit(0)), F.array(F.lit("")))
+    named = lambda p, s: F.lower(p).rlike(PLACEHOLDER) | (F.lower(p).isin(*PREFIXES) & s.isin("_", "-"))
+    return F.array_join(F.zip_with(parts, separators, lambda p, s: F.concat(F.when(named(p, s), F.repeat(F.lit(" "), F.length(p))).otherwise(p), s)), "")
 
 
-def _window_bits(run: Column) -> Column:
-    """The highest entropy of a window of the run, by incremental counts.
+def _with_stretches(df: DataFrame) -> DataFrame:
+    """``__runs`` cut at their placeholder parts: the stretches that are long enough."""
+    words = "|".join([PLACEHOLDER.strip("^()$"), *PREFIXES])
+    pieces = F.transform("__runs", lambda r: F.when(r["match"].rlike(f"(?i){words}"), F.split(_masked(r["match"]), " ")).otherwise(F.array(r["match"])))
+    df = once(df, __pieces=pieces)
+    df = _with_running(df, "__at", F.transform("__pieces", lambda ps: F.transform(ps, lambda p: F.length(p) + 1)))
 
-    The state holds the counts of the window's characters by code,
-    ``sum(c log2 c)`` and the best entropy so far. A window of w
-    characters has entropy ``log2 w - sum(c log2 c) / w``.
-    """
-    terms = F.array(*[F.lit(t) for t in _TERMS])
-    code = lambda k: F.ascii(F.substr(run, k + F.lit(1), F.lit(1)))
-    empty = F.array_repeat(F.lit(0), 128)
-    # counts by character code (candidates are ASCII)
-    start = F.struct(empty.alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+    def cut(run: Column, ps: Column, at: Column) -> Column:
+        # separators next to a placeholder go with it
+        def piece(p: Column, x: Column) -> Column:
+            last = x + F.length(p) >= F.length(run["match"])
+            front = F.when(x > 0, F.length(p) - F.length(F.ltrim(p, F.lit("/=_-")))).otherwise(0)
+            kept = F.when(x > 0, F.ltrim(p, F.lit("/=_-"))).otherwise(p)
+            return F.struct(F.when(last, kept).otherwise(F.rtrim(kept, F.lit("/=_-"))).alias("match"), (run["start"] + x + front).alias("start"))
+        return F.zip_with(ps, at, piece)
+
+    both = F.zip_with("__pieces", "__at", lambda ps, at: F.struct(ps.alias("ps"), at.alias("at")))
+    stretches = F.flatten(F.zip_with("__runs", both, lambda r, x: cut(r, x["ps"], x["at"])))
+    df = once(df, __cut=F.when(F.size("__runs") > 0, stretches).otherwise(_empty("struct<match:string,start:int>")))
+    return df.drop("__runs", "__pieces", "__at").withColumn("__runs", F.filter("__cut", lambda m: F.length(m["match"]) >= SHORTEST)).drop("__cut")
 
-    def step(a: Column, k: Column) -> Column:
-        enters, leaves = code(k), F.when(k >= WINDOW, code(k - WINDOW)).otherwise(F.lit(-1))
-        more, less = F.get(a["n"], enters), F.when(leaves >= 0, F.get(a["n"], leaves)).otherwise(F.lit(0))
-        same = enters == leaves
-        total = F.when(same, a["sum"]).otherwise(
-            a["sum"] + F.get(terms, more + 1) - F.get(terms, more) + F.when(leaves >= 0, F.get(terms, less - 1) - F.get(terms, less)).otherwise(F.lit(0.0)))
-        counts = F.when(same, a["n"]).otherwise(F.transform(a["n"], lambda c, i: c + (i == enters).cast("int") - (i == leaves).cast("int")))
-        bits = F.when(k >= WINDOW - 1, F.lit(math.log2(WINDOW)) - total / WINDOW).otherwise(F.lit(0.0))
-        return F.struct(counts.alias("n"), total.alias("sum"), F.greatest(a["best"], bits).alias("best"))
 
-    return F.aggregate(F.sequence(F.lit(0), F.length(run) - 1), start, step, lambda a: a["best"])
+def _allowed(match: Column) -> Column:
+    return match.rlike(NUMBERS) | match.rlike(UUID) | (match.rlike(WORDS) & ~match.rlike(TWO_SEPARATORS))
 
 
-def spans(docs: DataFrame, by_part: bool = False) -> DataFrame:
-    """``docs`` (with text) and ``__base``, ``__spans``: arrays of (kind, start, end) sorted by start, then kind.
+def _window_bits(run: Column) -> Column:
+    """The highest entropy of a window of the run, by incremental counts.
 
-    Placeholders suppress the candidates that hold them or, ``by_part``, only the parts that they are.
+    The state holds the counts of the window's characters, ``sum(c log2 c)``
+    and the least of the sums so far. A window of w characters has entropy
+    ``log2 w - sum(c log2 c) / w``.
     """
+    more = F.array(*[F.lit(_TERMS[c + 1] - _TERMS[c]).cast("long") for c in range(WINDOW)])  # what one more adds to a count's term
+    place = F.transform(F.split(run, ""), lambda c: F.ascii(c) - _FIRST)
+    enters = F.transform(place, lambda i: F.struct(F.floor(i / _PER_LONG).cast("int").alias("at"), (i % _PER_LONG * _BITS).alias("shift")))
+    none = F.struct(F.lit(-1).alias("at"), F.lit(0).alias("shift"))
+    one = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x)
+    count = lambda n, x: F.call_function("shiftright", F.get(n, x["at"]), x["shift"]).bitwiseAND(F.lit(31).cast("long")).cast("int")
+    moves = F.zip_with(enters, F.slice(F.concat(F.array_repeat(none, WINDOW), enters), 1, F.length(run)),
+                       lambda e, x: F.struct(e.alias("in"), x.alias("out"), one(e["shift"]).alias("plus"), one(x["shift"]).alias("minus")))
+    start = F.struct(F.array_repeat(F.lit(0).cast("long"), _LONGS).alias("n"), F.lit(0).cast("long").alias("sum"), F.lit(2**62).alias("least"))
+
+    def step(a: Column, m: Column) -> Column:
+        full = m["out"]["at"] >= 0
+        counts = F.transform(a["n"], lambda c, i: c + F.when(i == m["in"]["at"], m["plus"]).otherwise(F.lit(0)) - F.when(i == m["out"]["at"], m["minus"]).otherwise(F.lit(0)))
+        change = F.get(more, count(a["n"], m["in"])) - F.when(full, F.get(more, count(a["n"], m["out"]) - 1)).otherwise(F.lit(0))
+        total = F.when(m["in"] == m["out"], a["sum"]).otherwise(a["sum"] + change)
+        return F.struct(counts.alias("n"), total.alias("sum"), F.when(full, F.least(a["least"], a["sum"])).otherwise(a["least"]).alias("least"))
+
+    least = F.aggregate(moves, start, step, lambda a: F.least(a["least"], a["sum"]))
+    return F.lit(math.log2(WINDOW)) - least / F.lit(float(_UNIT * WINDOW))
+
+
+def spans(docs: DataFrame) -> DataFrame:
+    """``docs`` (with text) and ``__base``, ``__spans``: arrays of (start, kind, end), sorted."""
     df = once(docs, __text=F.coalesce(F.col("text").cast("string"), F.lit("")))
-    df = _with_matches(df, __assign=ASSIGN, __access=ACCESS, __hex=HEX, __runs=STRETCH if by_part else CANDIDATE).drop("__text")
+    df = _with_stretches(_with_matches(df, __assign=ASSIGN, __access=ACCESS, __hex=HEX, __runs=CANDIDATE).drop("__text"))
     end = lambda m: m["start"] + F.length(m["match"])
     kept = {
         0: F.filter("__assign", lambda m: F.length(F.regexp_extract(m["match"], "^" + ASSIGN, 1)) >= MIN_ASSIGN),
         1: F.filter("__access", lambda m: F.length(m["match"]) >= MIN_ACCESS),
         2: F.col("__hex"),
     }
-    mixed = lambda m: m["match"].rlike("[A-Za-z]") & m["match"].rlike("[0-9]") & ~m["match"].rlike(SHAPES if by_part else ALLOW)
-    df = once(df, __base=F.sort_array(F.concat(*[_spans_of(kind, found) for kind, found in kept.items()])), __mixed=F.filter("__runs", mixed)).drop("__assign", "__access", "__hex", "__runs")
-    bits = F.transform("__mixed", lambda m: F.struct(m["match"].alias("match"), m["start"].alias("start"), _window_bits(m["match"]).alias("bits")))
-    df = once(df, __runs=F.when(F.size("__mixed") > 0, bits).otherwise(F.array().cast("array<struct<match:string,start:int,bits:double>>"))).drop("__mixed")
+    mixed = lambda m: m["match"].rlike("[A-Za-z]") & m["match"].rlike("[0-9]") & ~_allowed(m["match"])
+    named = lambda kind, found: F.transform(found, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), end(m).alias("end")))
+    df = once(df, __base=F.sort_array(F.concat(*[named(kind, found) for kind, found in kept.items()])), __mixed=F.filter("__runs", mixed)).drop("__assign", "__access", "__hex", "__runs")
     limit = lambda m: F.when(m["match"].rlike("^[0-9a-fA-F]+$"), F.lit(HEX_BITS)).otherwise(F.lit(ALPHABET_BITS))
-    held = lambda m: F.exists("__base", lambda s: (s["start"] <= m["start"]) & (s["end"] >= end(m)))
-    new = F.filter("__runs", lambda m: (m["bits"] >= limit(m)) & ~held(m))
-    return once(df, __spans=F.sort_array(F.concat("__base", _spans_of(3, new)))).drop("__runs")
+    secret = F.filter("__mixed", lambda m: _window_bits(m["match"]) >= limit(m))
+    none = _empty("struct<start:int,kind:int,end:int>")
+    df = once(df, __found=F.when(F.size("__mixed") > 0, named(3, secret)).otherwise(none)).drop("__mixed")
+    # a base span holds a found one where the largest end of the base spans that begin no later reaches its end
+    df = once(df, __all=F.when(F.size("__found") > 0, F.sort_array(F.concat("__base", "__found"))).otherwise(none))
+    df = _with_running(df, "__reach", F.array(F.transform("__all", lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0))), largest=True)
+    free = F.zip_with("__all", F.get("__reach", F.lit(0)), lambda s, reach: F.when((s["kind"] < 3) | (reach < s["end"]), s))
+    return once(df, __spans=F.when(F.size("__found") > 0, F.array_compact(free)).otherwise(F.col("__base"))).drop("__found", "__all", "__reach")
 
 
 def _named(array: str) -> Column:
@@ -137,14 +191,18 @@ def _named(array: str) -> Column:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one); n_chars follows where there is one."""
     names = docs.columns
-    df = spans(docs, by_part=True)
-    cut = F.aggregate("__spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
-        F.when(s["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.substr(F.col("text"), a["at"] + 1, s["start"] - a["at"]), F.lit(mark))).alias("out"),
-        s["end"].alias("at"))))
-    df = once(df, __cut=F.when(F.size("__spans") > 0, cut))
-    text = F.when(F.size("__spans") > 0, F.concat(F.col("__cut.out"), F.substr("text", F.col("__cut.at") + 1))).otherwise(F.col("text"))
-    df = once(df, __new=text)
-    new = {"text": F.col("__new"), **({"n_chars": F.when(F.size("__spans") > 0, F.length("__new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in names else {})}
+    df = _with_running(spans(docs), "__ends", F.array(F.transform("__spans", lambda s: s["end"])), largest=True)
+    # (from, to, what follows) of what stays before each span; blocks of them are cut out of the text first, so that no cut reads all of a long text
+    stays = F.zip_with("__spans", F.get("__ends", F.lit(0)), lambda s, before: F.struct(
+        before.alias("a"), F.greatest(before, s["start"]).alias("b"), F.greatest(before, s["end"]).alias("next"), F.when(s["start"] >= before, F.lit(mark)).otherwise(F.lit("")).alias("mark")))
+    df = once(df, __stays=stays)
+    some = F.size("__spans") > 0
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("__stays") - 1) / BLOCK).cast("int")), lambda k: F.slice("__stays", k * BLOCK + 1, BLOCK))
+    df = once(df, __blocks=F.when(some, F.transform(blocks, lambda xs: F.struct(
+        xs.alias("xs"), F.get(xs, F.lit(0))["a"].alias("a"), F.substr(F.col("text"), F.get(xs, F.lit(0))["a"] + 1, F.element_at(xs, -1)["b"] - F.get(xs, F.lit(0))["a"]).alias("text")))))
+    cut = F.transform("__blocks", lambda k: F.array_join(F.transform(k["xs"], lambda x: F.concat(F.substr(k["text"], x["a"] - k["a"] + 1, x["b"] - x["a"]), x["mark"])), ""))
+    df = once(df, __new=F.when(some, F.concat(F.array_join(cut, ""), F.substr(F.col("text"), F.element_at("__stays", -1)["next"] + 1))).otherwise(F.col("text")))
+    new = {"text": F.col("__new"), **({"n_chars": F.when(some, F.length("__new").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))} if "n_chars" in names else {})}
     return df.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in names])
 
 
@@ -175,8 +233,17 @@ base AS (SELECT doc_id, kind, start, start + length(match) AS stop FROM (
   UNION ALL {_sql_matches(1, ACCESS)}
   UNION ALL {_sql_matches(2, "[0-9a-f]+")}) m
   WHERE CASE kind WHEN 0 THEN length(regexp_extract(match, '{_QUOTED}', 1)) >= {MIN_ASSIGN} WHEN 1 THEN length(match) >= {MIN_ACCESS} ELSE length(match) >= 24 END),
-runs AS (SELECT *, start + length(match) AS stop FROM ({_sql_matches(3, CANDIDATE)}) m
-  WHERE regexp_matches(match, '[A-Za-z]') AND regexp_matches(match, '[0-9]') AND NOT regexp_matches(match, '{ALLOW}')),
+whole AS (SELECT doc_id, kind, match, start, string_split_regex(match, '{SEPARATOR}') AS parts, regexp_extract_all(match, '{SEPARATOR}') AS seps FROM ({_sql_matches(3, CANDIDATE)}) m),
+masked AS (SELECT *, string_split(list_aggregate(list_transform(range(1, len(parts) + 1), lambda i:
+    CASE WHEN regexp_matches(lower(parts[i]), '{PLACEHOLDER}') OR (lower(parts[i]) IN {PREFIXES} AND coalesce(seps[i], '') IN ('_', '-')) THEN repeat(' ', length(parts[i])) ELSE parts[i] END
+    || coalesce(seps[i], '')), 'string_agg', ''), ' ') AS ps FROM whole),
+pieces AS (SELECT doc_id, kind, start, match, ps[i] AS p, i > 1 AS after, i < len(ps) AS before, coalesce(list_sum(list_transform(ps[1:i - 1], lambda x: length(x) + 1)), 0)::BIGINT AS x
+  FROM masked, unnest(range(1, len(ps) + 1)) AS u(i)),
+trimmed AS (SELECT doc_id, kind, start + x + CASE WHEN after THEN length(p) - length(ltrim(p, '/=_-')) ELSE 0 END AS start,
+  CASE WHEN before THEN rtrim(CASE WHEN after THEN ltrim(p, '/=_-') ELSE p END, '/=_-') WHEN after THEN ltrim(p, '/=_-') ELSE p END AS match FROM pieces),
+runs AS (SELECT *, start + length(match) AS stop FROM trimmed WHERE length(match) >= {SHORTEST}
+  AND regexp_matches(match, '[A-Za-z]') AND regexp_matches(match, '[0-9]') AND NOT regexp_matches(match, '{NUMBERS}') AND NOT regexp_matches(match, '{UUID}')
+  AND NOT (regexp_matches(match, '{WORDS}') AND NOT regexp_matches(match, '{TWO_SEPARATORS}'))),
 counts AS (SELECT doc_id, start, i, substr(match, i + j, 1) AS c, count(*)::DOUBLE AS n
   FROM runs, unnest(range(1, length(match) - {WINDOW} + 2)) AS w(i), unnest(range(0, {WINDOW})) AS o(j) GROUP BY ALL),
 bits AS (SELECT doc_id, start, max(h) AS bits FROM (SELECT doc_id, start, i, -sum(n / {WINDOW} * log2(n / {WINDOW})) AS h FROM counts GROUP BY ALL) x GROUP BY ALL),
