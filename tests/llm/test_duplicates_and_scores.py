@@ -145,6 +145,17 @@ def test_bridge_between_the_groups_of_two_pivots(spark, shape):
     assert {r.doc_id: r.component_id for r in got} == {i: i - i % 10 for i, _ in rows}
 
 
+def test_a_bridge_without_an_id(spark):
+    """1 ~ x ~ 2: the rows with x's text join the other two, with or without an id; repeats of a text without any id link nothing else."""
+    words = [f"w{i}" for i in range(116)]
+    text = lambda a, b: " ".join(words[a:b])
+    rows = [(1, text(0, 100)), (2, text(16, 116)), (7, " ".join(f"q{i}" for i in range(60)))]
+    for bridge in (9, None):
+        docs = spark.createDataFrame([*rows, (bridge, text(8, 108)), (bridge, text(8, 108)), (None, " ".join(f"z{i}" for i in range(60)))], "doc_id long, text string")
+        got = {(r.doc_id, r.n_shingles): r.component_id for r in superminhash.near_duplicates(docs).collect()}
+        assert got == {(1, 96): 1, (2, 96): 1, (bridge, 96): 1, (7, 56): 7, (None, 56): None}
+
+
 def test_near_duplicates_of_odd_rows(spark, odd_docs, no_docs):
     got = superminhash.near_duplicates(odd_docs).collect()
     assert len(got) == odd_docs.count()
