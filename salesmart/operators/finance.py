@@ -175,11 +175,11 @@ def f8_top_customers_period(mart: Mart, period: Period | None = None, grain: str
     base = (sales(mart, period, P).groupBy(*P, "client_key").agg(F.sum("montant_net").alias("ca"))
             .join(mart.dim_client.select("client_key", "codecli", F.col("societe").alias("client_societe")),
                   "client_key"))
-    # Period totals: one row per period — bounded by the calendar (≤ 12 per
-    # year at month grain), so broadcast — joined back on the period keys
-    # (no window over a whole period, which would put it in one task).
+    # Period totals: one row per period of the calendar, joined back on the
+    # period keys (no window over a whole period, which would put it in one
+    # task). Spark broadcasts them where their measured size allows it.
     tot = base.groupBy(*P).agg(F.sum("ca").alias("tot"))
-    out = base.join(F.broadcast(tot), list(P)).select(
+    out = base.join(tot, list(P)).select(
         *P, "codecli", "client_societe",
         to_money(F.col("ca")).alias("ca_net"),
         to_money(F.col("tot")).alias("ca_total"),

@@ -7,13 +7,10 @@
 * R8 ``role``: which date of the order drives the period
   (order ``com``, ship ``env`` or target ``obj`` date).
 
-The calendar is the only dimension broadcast explicitly: its size is
-bounded by the calendar span (≤ 366 rows per year), not by the data.
-A year filter on the order date also prunes the facts' ``annee``
-partitions, and every year / month filter becomes a ``date_key`` range
-that reaches the Parquet scan as a pushed filter. A filter without a year
-(ISO week 53, every August, …) becomes one range per run of consecutive
-days kept in the calendar.
+No dimension is broadcast by hint. A year filter on the order date prunes
+the facts' ``annee`` partitions and becomes a ``date_key`` range that
+reaches the Parquet scan as a pushed filter. A filter without a year
+(ISO week 53, every August, …) joins the filtered calendar.
 """
 
 from __future__ import annotations

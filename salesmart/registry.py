@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def context(spark: SparkSession, sf_dir: str) -> tuple[Oltp, Mart]:
     """Lazy source tables and mart of ``sf_dir`` (memoised per session)."""
     try:
         app = spark.sparkContext.applicationId
-    except Exception:  # a remote (Connect) session has no SparkContext
+    except PySparkException:  # a remote (Connect) session has no SparkContext
         app = str(id(spark))
     key = (app, sf_dir)
     if key not in _CACHE:
