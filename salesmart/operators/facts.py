@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from salesmart.functions import date_key
 from salesmart.functions.keys import natural_key
 from salesmart.operators.dims import GEO_COLS, clean_geo
-from salesmart.schema import AMOUNT, RATE, SENTINEL
+from salesmart.schema import AMOUNT, DETAILCOMMANDE, RATE, SENTINEL
 
 NET_EXACT = "decimal(18,4)"    # qte * prixunit * (1 - remise) is exact at scale 4
 
@@ -131,19 +131,29 @@ def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame)
     its files (staged load), the join below has two shuffled inputs, the
     shape AQE's skew-join handles.
     """
+    return with_line_keys(sales_lines(detail, deliveries, dim_produit))
+
+
+def with_line_keys(lines: DataFrame) -> DataFrame:
+    """``ventes_key`` in front, from a line's source columns and its number among equal lines."""
+    key = natural_key("nocom", "produit_key", "prixunit", "qte", F.col("remise").cast(DETAILCOMMANDE["remise"].dataType), "copie")
+    return lines.select(key.alias("ventes_key"), *[c for c in lines.columns if c != "copie"])
+
+
+def sales_lines(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame) -> DataFrame:
+    """The sales fact with ``copie`` in place of its key, which a load computes after it has dealt the rows."""
     lines = numbered_lines(detail).join(dim_produit.select("refprod"), "refprod", "left_semi")
     header = deliveries.select(
         "nocom", F.col("datecom_key").alias("date_key"), "client_key", "employe_key",
         "transporteur_key", "geo_key", "port", "total_net", "annee")
-    # amounts and key after the join: its exchange carries the source columns only
-    joined = lines.join(header, "nocom").withColumn("ventes_key", natural_key(*LINE, "copie"))
-    enriched = line_amounts(joined, [*header.columns[1:], "ventes_key"])
+    # amounts after the join: its exchange carries the source columns only
+    enriched = line_amounts(lines.join(header, "nocom"), [*header.columns[1:], "copie"])
     return enriched.select(
-        "ventes_key", "date_key", "client_key", "employe_key", "transporteur_key",
+        "date_key", "client_key", "employe_key", "transporteur_key",
         F.col("refprod").alias("produit_key"), "geo_key", "nocom", "qte", "prixunit",
         F.col("remise").cast(RATE).alias("remise"),
         F.col("montant_brut").cast(AMOUNT).alias("montant_brut"),
         F.col("montant_net").cast(AMOUNT).alias("montant_net"),
         allocated_freight().alias("port_alloc"),
-        "annee",
+        "copie", "annee",
     )

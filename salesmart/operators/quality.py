@@ -73,18 +73,14 @@ def key_specs(oltp: Oltp, mart: Mart) -> list[tuple[str, str, DataFrame, list[st
     ]
 
 
-def _key_code(df: DataFrame, cols: list[str]) -> tuple[F.Column, F.Column]:
-    """A key as a number and a check of it: an integer is itself, others are hashed.
-
-    A single NULL has no number; composite keys compare NULL fields as equal.
-    """
+def _key_code(df: DataFrame, cols: list[str]) -> tuple[F.Column, bool]:
+    """A key as one number, and whether that number is the key itself. A single NULL has none; composite keys compare NULL fields as equal."""
     if len(cols) == 1:
         c = F.col(cols[0])
         if isinstance(df.schema[cols[0]].dataType, (T.LongType, T.IntegerType)):
-            return c.cast("bigint"), F.lit(0)
-        return F.when(c.isNotNull(), F.xxhash64(c)), F.hash(c)
-    parts = [*cols, *[F.col(c).isNull() for c in cols]]
-    return F.xxhash64(*parts), F.hash(*parts)
+            return c.cast("bigint"), True
+        return F.when(c.isNotNull(), F.xxhash64(c)), False
+    return F.xxhash64(*cols, *[F.col(c).isNull() for c in cols]), False
 
 
 def dq_unique_keys(oltp: Oltp, mart: Mart) -> DataFrame:
@@ -92,31 +88,46 @@ def dq_unique_keys(oltp: Oltp, mart: Mart) -> DataFrame:
     hashed surrogate key it would be an unresolved collision). Composite
     keys compare NULL fields as equal.
 
-    All keys of a table are counted in one pass, as 64-bit numbers with partial
-    sums. Where two keys share a 64-bit hash, a second, independent hash tells
-    them apart: the least and the greatest of it differ, and the number
-    counts for two (of 10^12 keys, one in 10^5 such tables has a clash
-    that this misses).
+    All keys of a table are counted in one pass with partial sums, as 64-bit
+    numbers: integer keys as they are, others hashed. This runs at once and
+    brings a row per key to the driver. Only keys of which some hash
+    is seen more than once are counted again, by the key itself and for the
+    rows of such hashes, so a clash of hashes is no duplicate.
     """
     tables: dict[str, tuple[DataFrame, list[tuple[str, list[str]]]]] = {}
     for table, key_name, df, cols in key_specs(oltp, mart):
         tables.setdefault(table, (df, []))[1].append((key_name, cols))
-    parts = []
+    repeated, found = {}, []
     for table, (df, keys) in tables.items():
-        pairs = []
-        for i, (_, cols) in enumerate(keys):
-            code, check = _key_code(df, cols)
-            pairs.append(F.struct(F.lit(i).alias("_k"), code.alias("_code"), check.alias("_check")))
-        rows = df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
-        counts = rows.groupBy("_k", "_code").agg(F.count(F.lit(1)).alias("_n"), F.min("_check").alias("_a"), F.max("_check").alias("_b"))
-        distinct = F.when(F.col("_code").isNull(), 0).when(F.col("_a") == F.col("_b"), 1).otherwise(2)
-        found = counts.groupBy("_k").agg(F.sum("_n").alias("n_rows"), F.sum(distinct).alias("n_keys"))
-        names = F.explode(F.array(*[F.struct(F.lit(i).alias("_k"), F.lit(name).alias("key_name")) for i, (name, _) in enumerate(keys)]))
-        names = df.sparkSession.range(1).select(names.alias("_p")).select("_p.*")  # tables without rows have a line too
-        n_rows, n_keys = (F.coalesce(c, F.lit(0).cast("bigint")) for c in ("n_rows", "n_keys"))
-        parts.append(names.join(found, "_k", "left").select(
-            F.lit(table).alias("table_name"), "key_name", n_rows.alias("n_rows"), n_keys.alias("n_keys"), (n_rows - n_keys).alias("n_duplicates")))
-    return _union(parts)
+        codes = [_key_code(df, cols) for _, cols in keys]
+        integer = all(isinstance(df.schema[c].dataType, (T.LongType, T.IntegerType)) for _, cols in keys for c in cols)
+        if len(keys) == 1 and integer:  # the columns themselves are as short as a hash of them
+            exact, coded = [0], F.lit(0)
+            known = reduce(lambda x, y: x | y, [F.col(c).isNotNull() for c in keys[0][1]]) | F.lit(len(keys[0][1]) > 1)
+            counts = df.groupBy(*keys[0][1]).agg(F.count(F.lit(1)).alias("_n")).select(F.lit(0).alias("_k"), F.when(known, coded).alias("_code"), "_n")
+        else:
+            exact = [i for i, (_, same) in enumerate(codes) if same]
+            pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_k"), code.alias("_code")) for i, (code, _) in enumerate(codes)]))
+            counts = df.select(pairs.alias("_p")).select("_p.*").groupBy("_k", "_code").agg(F.count(F.lit(1)).alias("_n"))
+        sure = (F.col("_n") == 1) | F.col("_k").isin(exact)
+        known = F.col("_code").isNotNull()
+        repeated.update({(table, i): (df, cols, codes[i][0], counts.where((F.col("_k") == i) & (F.col("_n") > 1) & known).select("_code")) for i, (_, cols) in enumerate(keys)})
+        found.append(counts.groupBy("_k").agg(F.sum("_n").alias("n_rows"), F.count(F.when(known & sure, 1)).alias("n_sure"), F.count(F.when(known & ~sure, 1)).alias("n_again"))
+                     .withColumn("table_name", F.lit(table)))
+    first = {(r["table_name"], r["_k"]): r for r in _union(found).collect()}  # a row per key
+    parts, rows = [], []
+    for table, (_, keys) in tables.items():
+        for i, (key_name, _) in enumerate(keys):
+            r = first.get((table, i))  # a table without rows has none
+            n_rows, n_sure = (r["n_rows"], r["n_sure"]) if r else (0, 0)
+            if not r or r["n_again"] == 0:
+                rows.append((table, key_name, n_rows, n_sure, n_rows - n_sure))
+                continue
+            df, cols, code, again = repeated[table, i]
+            more = df.select(*cols, code.alias("_code")).join(again, "_code", "left_semi").select(*cols).distinct().agg((F.count(F.lit(1)) + n_sure).alias("n_keys"))
+            parts.append(more.select(F.lit(table).alias("table_name"), F.lit(key_name).alias("key_name"), F.lit(n_rows).cast("bigint").alias("n_rows"), "n_keys", (F.lit(n_rows) - F.col("n_keys")).alias("n_duplicates")))
+    done = mart.fait_ventes.sparkSession.createDataFrame(rows, "table_name string, key_name string, n_rows bigint, n_keys bigint, n_duplicates bigint")
+    return _union([done, *parts])
 
 
 # --------------------------------------------------------------------- Q4

@@ -125,14 +125,14 @@ def _write_table(name: str, df: DataFrame, path: str, mode: str, products: tuple
     if name not in FACTS:
         df.write.mode(mode).parquet(path)
         return
-    axes = [day_part(FACT_DATE[name]), first_byte("client_key")]
-    lines = []
+    axes, by = [day_part(FACT_DATE[name]), first_byte("client_key")], ["annee", "_place", "nocom"]
     if name == "fait_ventes":
         axes.append(between("produit_key", *products))
-        lines = ["produit_key", "ventes_key"]
-    by = ["annee", "_place", "nocom", *lines]
-    placed = df.withColumn("_place", interleaved(*axes)).repartitionByRange(*by).sortWithinPartitions(*by)
-    placed.drop("_place").write.mode(mode).options(**BLOOM).partitionBy("annee").parquet(path)
+        by += ["produit_key", "copie" if "copie" in df.columns else "ventes_key"]
+    placed = df.withColumn("_place", interleaved(*axes)).repartitionByRange(*by).sortWithinPartitions(*by).drop("_place")
+    if "copie" in df.columns:  # the exchange carries a small number, not the key
+        placed = facts.with_line_keys(placed)
+    placed.write.mode(mode).options(**BLOOM).partitionBy("annee").parquet(path)
 
 
 def write_mart(mart: Mart, root: str, mode: str = "overwrite") -> None:
@@ -161,9 +161,9 @@ def _load_facts(oltp: Oltp, d: dict[str, DataFrame], paths: dict[str, str], sent
     liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"], d["dim_transporteur"], sentinels)
     _write_table("fait_livraisons", liv, paths["fait_livraisons"], "overwrite", products)
     header = _read_years(oltp.commande.sparkSession, liv.schema.json(), paths["fait_livraisons"], None)
-    ventes = facts.fact_sales(oltp.detailcommande, header, d["dim_produit"])
-    _write_table("fait_ventes", ventes, paths["fait_ventes"], "overwrite", products)
-    return {"fait_livraisons": liv.schema.json(), "fait_ventes": ventes.schema.json()}
+    lines = facts.sales_lines(oltp.detailcommande, header, d["dim_produit"])
+    _write_table("fait_ventes", lines, paths["fait_ventes"], "overwrite", products)
+    return {"fait_livraisons": liv.schema.json(), "fait_ventes": facts.with_line_keys(lines).schema.json()}
 
 
 def _read_years(spark: SparkSession, schema: str, base: str, folders: list[str] | None) -> DataFrame:

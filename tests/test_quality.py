@@ -120,3 +120,19 @@ def test_slicers_cut_the_facts_before_reports(spark, edge_mart):
     assert every.fait_livraisons.count() == edge_mart.fait_livraisons.count() > known.fait_livraisons.count()
     product = report_layer.slice_mart(edge_mart, {"nomcateg": ["Boissons"]})
     assert product.fait_livraisons.count() == edge_mart.fait_livraisons.count()
+
+
+def test_q3_counts_rows_of_one_hash_by_their_keys(spark, edge_oltp, edge_mart, monkeypatch):
+    """Where hashes clash, the keys themselves are counted; no plan expands the facts."""
+    from pyspark.sql import functions as F
+
+    want = sorted(map(tuple, quality.dq_unique_keys(edge_oltp, edge_mart).collect()))
+    assert "Expand" not in quality.dq_unique_keys(edge_oltp, edge_mart)._jdf.queryExecution().optimizedPlan().toString()
+    plain = quality._key_code
+
+    def clashing(df, cols):
+        code, same = plain(df, cols)
+        return (code if same else F.when(code.isNotNull(), F.pmod(code, F.lit(2)))), same
+
+    monkeypatch.setattr(quality, "_key_code", clashing)
+    assert sorted(map(tuple, quality.dq_unique_keys(edge_oltp, edge_mart).collect())) == want
