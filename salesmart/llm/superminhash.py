@@ -238,10 +238,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     shared = rows_.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     members = store(rows_.join(shared, "bucket").select("bucket", "node"), "members0")
 
-    wanted = store(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("rep").alias("doc_id")), "wanted")
+    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    by_id = _sets(texts.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), shingle)
-    unnamed = wanted.where("doc_id IS NULL").select("node")  # sets that only rows without an id have
+    by_id = _sets(texts.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), shingle)
+    unnamed = wanted.where("rep IS NULL").select("node")  # sets that only rows without an id have
     by_node = _sets(texts.where("doc_id IS NULL"), shingle).join(unnamed, "node", "left_semi")
     sets = store(by_id.unionByName(by_node).dropDuplicates(["node"]), "sets")
 
