@@ -8,19 +8,23 @@ it:
 
 * crossover injects whole well-filled bins of one parent into the other,
   removes the bins that hold one of their pieces, and puts the pieces that
-  lose their bin back by best fit, longest first;
+  lose their bin back: first in exchange for a shorter member of a bin that they
+  fill better, then by best fit, longest first;
 * mutation empties some of the least filled bins and puts their pieces back
-  by best fit;
+  likewise;
 * the worse half of the population gives way to better children.
 
 Between epochs each island's best packing moves to the next island of the
-block (a shuffle of small rows by block and island). A block is done as soon
-as it needs no more bins than its tokens fill at least.
+block (a shuffle of small rows by block and island). A better packing has fewer
+bins or, with as many, its free space in fewer of them. A block is done when it
+needs no more bins than its tokens fill at least and all of them but one are full.
 
-Every block leaves a badly filled bin or two. The least filled bins of all
-blocks are emptied and their pieces are dealt to new, fewer blocks, and so on
-until one block is left: a tree of log(pieces) levels, in which no task and
-never the driver sees more than a block.
+Every block leaves some badly filled bins. The worst of them, an eighth of a
+block's bins or two at most, are emptied and their pieces are dealt to new, fewer
+blocks, and so on until one block is left: a tree of log(pieces) levels, in which
+no task and never the driver sees more than a block. Blocks have ``BLOCK_ROWS``
+pieces, or more where these fill less than ``BLOCK_BINS`` sequences, so each level
+has at most about a quarter of the tokens of the one before.
 
 Edges: empty or null texts are pieces of their end id; repeated rows are
 packed once each; an empty table gives an empty result.
@@ -29,7 +33,7 @@ packed once each; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,14 +48,16 @@ from salesmart.session import scratch_dir
 
 CAPACITY = 4096
 BLOCK_ROWS = 2000
+BLOCK_BINS = 16
 ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 CHILDREN = 8
-#: Bins filled less than this are emptied into the next level.
+#: Bins filled less than this may be emptied into the next level, the worst ``1 / TAIL_SHARE`` of a block's bins at most.
 TAIL_FILL = 0.999
+TAIL_SHARE = 8
 
-_ISLAND = "block long, island int, row_ids binary, lengths binary, population array<binary>, n_bins int, least int"
+_ISLAND = "block long, island int, row_ids binary, lengths binary, population array<binary>, n_bins int, unevenness double, done boolean"
 
 
 # --- one packing of a block: for each piece the number of its bin -------------------------------------
@@ -84,6 +90,25 @@ class Bins:
             if free > lengths[i]:
                 insort(order, (free - lengths[i], b))
 
+    def exchange(self, items: list[int]) -> list[int]:
+        """Exchanges a member of an open bin for the longer item that fills the bin best; the items then left over."""
+        lengths, order = self.lengths, []
+        pool = sorted((lengths[i], i) for i in items)
+        for free, b in self.order:
+            members, gain, k, at = self.members[b], 0, -1, -1
+            for j, m in enumerate(members):
+                fits = bisect_right(pool, (lengths[m] + free, len(lengths))) - 1
+                if fits >= 0 and pool[fits][0] - lengths[m] > gain:
+                    gain, k, at = pool[fits][0] - lengths[m], j, fits
+            if gain > 0:
+                _, new = pool.pop(at)
+                insort(pool, (lengths[members[k]], members[k]))
+                self.members[b] = [*members[:k], new, *members[k + 1 :]]
+            if free > gain:
+                insort(order, (free - gain, b))
+        self.order = order
+        return [i for _, i in pool]
+
     def packing(self) -> np.ndarray:
         out = np.empty(len(self.lengths), np.int32)
         for b, members in enumerate(self.members):
@@ -126,7 +151,7 @@ def crossover(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, capacity: int,
             bins.add_bin(members)
     for k in injected:
         bins.add_bin(of_b[k])
-    bins.best_fit(displaced)
+    bins.best_fit(bins.exchange(displaced))
     return bins.packing()
 
 
@@ -143,7 +168,7 @@ def mutate(a: np.ndarray, lengths: np.ndarray, capacity: int, rng: np.random.Gen
             displaced += members
         else:
             bins.add_bin(members)
-    bins.best_fit(displaced)
+    bins.best_fit(bins.exchange(displaced))
     return bins.packing()
 
 
@@ -157,22 +182,27 @@ def founders(lengths: np.ndarray, capacity: int, size: int, rng: np.random.Gener
             bins.best_fit([i])
         bins.best_fit(all_items[len(early) :].tolist())
         out.append(bins.packing())
-        if k == 0 and len(bins.members) <= least_bins(lengths, capacity):
+        if finished(out[-1], lengths, capacity):
             break
-    return out
+    return sorted(out, key=lambda p: quality(p, lengths, capacity))
 
 
 def least_bins(lengths: np.ndarray, capacity: int) -> int:
     return -(-int(lengths.sum()) // capacity)
 
 
+def finished(packing: np.ndarray, lengths: np.ndarray, capacity: int) -> bool:
+    """Whether no packing is better by much: the least number of bins, and all but one full."""
+    f = fills(packing, lengths)
+    return len(f) <= least_bins(lengths, capacity) and int((f < TAIL_FILL * capacity).sum()) <= 1
+
+
 def evolve(population: list[np.ndarray], lengths: np.ndarray, capacity: int, children: int, size: int, seed: int) -> list[np.ndarray]:
-    """The population after some children, best first; it ends early where no packing can be better."""
+    """The population after some children, best first; it ends early where no packing can be better by much."""
     rng = np.random.default_rng(seed)
     ranked = sorted(((quality(p, lengths, capacity), p) for p in population), key=lambda x: x[0])
-    least = least_bins(lengths, capacity)
     for _ in range(children):
-        if ranked[0][0][0] <= least:
+        if finished(ranked[0][1], lengths, capacity):
             break
         if len(ranked) > 1:
             a, b = rng.choice(len(ranked), size=2, replace=False)
@@ -189,18 +219,25 @@ def evolve(population: list[np.ndarray], lengths: np.ndarray, capacity: int, chi
 
 
 def _row(block: int, island: int, ids: bytes, lengths: np.ndarray, population: list[np.ndarray], capacity: int) -> dict:
-    return {"block": block, "island": island, "row_ids": ids, "lengths": lengths.astype("<i4").tobytes(),
-            "population": [p.astype("<i4").tobytes() for p in population], "n_bins": int(population[0].max()) + 1, "least": least_bins(lengths, capacity)}
+    n_bins, unevenness = quality(population[0], lengths, capacity)
+    return {"block": block, "island": island, "row_ids": ids, "lengths": lengths.astype("<i4").tobytes(), "population": [p.astype("<i4").tobytes() for p in population],
+            "n_bins": n_bins, "unevenness": unevenness, "done": finished(population[0], lengths, capacity)}
 
 
 def _packings(row) -> list[np.ndarray]:
     return [np.frombuffer(p, "<i4") for p in row.population]
 
 
-_COLUMNS = ["block", "island", "row_ids", "lengths", "population", "n_bins", "least"]
+_COLUMNS = ["block", "island", "row_ids", "lengths", "population", "n_bins", "unevenness", "done"]
 
 
-def _settle(pieces: DataFrame, capacity: int, islands: int, population: int) -> DataFrame:
+def _dealt(df: DataFrame, blocks: int, *by: str) -> DataFrame:
+    """The rows by block. They are small and the work on them is not, so Spark is told how many tasks to make of them."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(min(blocks, max(tasks, blocks // 64)), *by)
+
+
+def _settle(pieces: DataFrame, blocks: int, capacity: int, islands: int, population: int) -> DataFrame:
     """A row for each island of each block with its founders; one island is enough where these can't be beaten."""
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -209,14 +246,14 @@ def _settle(pieces: DataFrame, capacity: int, islands: int, population: int) ->
         for k in range(islands):
             start = founders(lengths, capacity, population, np.random.default_rng([int(key[0]), k]))
             out.append(_row(int(key[0]), k, pdf["row_id"].to_numpy("<i8").tobytes(), lengths, start, capacity))
-            if out[0]["n_bins"] <= out[0]["least"]:
+            if out[0]["done"]:
                 break
         return pd.DataFrame(out, columns=_COLUMNS)
 
-    return pieces.select("block", "row_id", "length").groupBy("block").applyInPandas(run, _ISLAND)
+    return _dealt(pieces.select("block", "row_id", "length"), blocks, "block").groupBy("block").applyInPandas(run, _ISLAND)
 
 
-def _epoch(islands: DataFrame, epoch: int, capacity: int, n_islands: int, children: int, size: int) -> DataFrame:
+def _epoch(islands: DataFrame, blocks: int, epoch: int, capacity: int, n_islands: int, children: int, size: int) -> DataFrame:
     """Every island evolves, then its best packing moves to the next island of the block."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,7 +263,7 @@ def _epoch(islands: DataFrame, epoch: int, capacity: int, n_islands: int, childr
                 lengths = np.frombuffer(r.lengths, "<i4").astype(np.int64)
                 grown = evolve(_packings(r), lengths, capacity, children, size, zlib.crc32(f"{r.block},{r.island},{epoch}".encode()))
                 out.append(_row(r.block, r.island, r.row_ids, lengths, grown, capacity))
-                if out[-1]["n_bins"] > out[-1]["least"]:  # the emigrant: only the packing travels
+                if not out[-1]["done"]:  # the emigrant: only the packing travels
                     out.append({**_row(r.block, (r.island + 1) % n_islands, b"", lengths, grown[:1], capacity), "lengths": b""})
             yield pd.DataFrame(out, columns=_COLUMNS)
 
@@ -241,7 +278,14 @@ def _epoch(islands: DataFrame, epoch: int, capacity: int, n_islands: int, childr
         ranked = sorted(different, key=lambda p: (quality(p, lengths, capacity), p.tobytes()))[:size]
         return pd.DataFrame([_row(r.block, r.island, r.row_ids, lengths, ranked, capacity)], columns=_COLUMNS)
 
-    return islands.mapInPandas(work, _ISLAND).groupBy("block", "island").applyInPandas(meet, _ISLAND)
+    return _dealt(islands.mapInPandas(work, _ISLAND), blocks * n_islands, "block", "island").groupBy("block", "island").applyInPandas(meet, _ISLAND)
+
+
+def worst_bins(f: np.ndarray, capacity: int, tail_fill: float) -> np.ndarray:
+    """Which bins go on to the next level: of those not full, the least filled ones, an eighth of all or two."""
+    worst = np.zeros(len(f), bool)
+    worst[np.argsort(f, kind="stable")[: max(2, len(f) // TAIL_SHARE)]] = True
+    return worst & (f < tail_fill * capacity)
 
 
 def _unfold(best: DataFrame, capacity: int, tail_fill: float) -> DataFrame:
@@ -258,7 +302,7 @@ def _unfold(best: DataFrame, capacity: int, tail_fill: float) -> DataFrame:
                 begins = ends - lengths[order]
                 b = packing[order]
                 yield pd.DataFrame({"row_id": row_ids[order], "length": lengths[order], "sequence_id": np.minimum.reduceat(row_ids[order], first)[b],
-                                    "offset": begins - begins[first][b], "tail": (f < tail_fill * capacity)[b]})
+                                    "offset": begins - begins[first][b], "tail": worst_bins(f, capacity, tail_fill)[b]})
 
     return best.mapInPandas(run, "row_id long, length long, sequence_id long, offset long, tail boolean")
 
@@ -277,23 +321,23 @@ def pack(pieces: DataFrame, folder: str, capacity: int = CAPACITY, block_rows: i
     """
     whole = F.col("length") >= capacity
     done = [pieces.where(whole).select("row_id", F.col("row_id").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
-    rest, n, level = pieces.where(~whole).select("row_id", "length"), None, 0
+    rest, level = pieces.where(~whole).select("row_id", "length"), 0
     while True:
-        count = rest.count()
-        blocks = max(1, -(-count // block_rows))
-        last = blocks == 1 or (n is not None and count > 0.7 * n)
+        count, tokens = rest.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
+        blocks = max(1, min(-(-count // block_rows), tokens // (BLOCK_BINS * capacity)))
+        last = blocks == 1
         dealt = rest.withColumn("block", F.pmod(F.xxhash64(F.lit(level), "row_id"), F.lit(blocks)))
-        state = _settle(dealt, capacity, islands, population)
+        state = _settle(dealt, blocks, capacity, islands, population)
         for e in range(epochs):
-            state = _epoch(state, e, capacity, islands, children, population)
-        by_quality = Window.partitionBy("block").orderBy(F.col("n_bins"), F.col("island"))
+            state = _epoch(state, blocks, e, capacity, islands, children, population)
+        by_quality = Window.partitionBy("block").orderBy(F.col("n_bins"), F.col("unevenness"), F.col("island"))
         best = state.withColumn("rank", F.row_number().over(by_quality)).where("rank = 1").drop("rank")
         placed = _stored(_unfold(best, capacity, tail_fill), f"{folder}/level{level}")
         settled = placed if last else placed.where(~F.col("tail"))
         done.append(settled.select("row_id", "sequence_id", "offset"))
         if last:
             break
-        rest, n, level = placed.where("tail").select("row_id", "length"), count, level + 1
+        rest, level = placed.where("tail").select("row_id", "length"), level + 1
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

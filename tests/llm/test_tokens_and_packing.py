@@ -126,6 +126,34 @@ def test_levels_leave_few_bins(spark):
     assert n <= 1.02 * alone[1]
 
 
+@pytest.mark.parametrize("lengths", [[1] * 5000, [60 + i % 41 for i in range(2500)], [100 - i % 3 for i in range(1500)], [3] * 3000 + [97] * 1500])
+def test_levels_end_at_one_block(spark, lengths):
+    """Tiny pieces, pieces that fill a bin alone, and pieces that go together only across blocks."""
+    pieces = spark.createDataFrame(list(enumerate(lengths)), "row_id long, length long")
+    got = pieces.join(packing.pack(pieces, scratch_dir(spark, "test-pack-end"), capacity=100, block_rows=100), "row_id").collect()
+    assert sorted(r.row_id for r in got) == list(range(len(lengths)))
+    n, least = _check_packing(got, 100), max(sum(x > 50 for x in lengths), -(-sum(lengths) // 100))
+    assert least <= n <= 1.03 * least + 1
+
+
+def test_search_leaves_fewer_tail_bins_than_founders(spark):
+    """On the documents: children that crossover and mutation made take the founders' place, and less goes on to the next level."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    cut = packing.cut(docs, tokenizer_path("word_bpe_49k.json"), 1).where("length < 4096").select("length").collect()
+    lengths = np.random.default_rng(4).permutation([r.length for r in cut])
+    founders_tail = search_tail = accepted = 0
+    for at in range(0, len(lengths) - 1000, 2000):
+        block = np.array(lengths[at : at + 2000], np.int64)
+        start = packing.founders(block, 4096, packing.POPULATION, np.random.default_rng(at))
+        grown = packing.evolve(start, block, 4096, 2 * packing.CHILDREN, packing.POPULATION, at)
+        known = {p.tobytes() for p in start}
+        accepted += grown[0].tobytes() not in known
+        founders_tail += int((packing.fills(start[0], block) < packing.TAIL_FILL * 4096).sum())
+        search_tail += int((packing.fills(grown[0], block) < packing.TAIL_FILL * 4096).sum())
+        assert grown[0].max() <= start[0].max()
+    assert accepted > 0 and search_tail < founders_tail
+
+
 def test_genetic_steps_keep_every_piece_once_and_improve():
     rng = np.random.default_rng(1)
     lengths = rng.integers(20, 60, 120)
