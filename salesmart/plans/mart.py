@@ -25,10 +25,11 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable
 from dataclasses import replace
+from decimal import Decimal
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -37,6 +38,7 @@ from salesmart.functions.clustering import between, day_part, first_byte, interl
 from salesmart.functions.keys import natural_key
 from salesmart.operators import dims, facts
 from salesmart.operators.merge import insert_if_absent
+from salesmart.operators.quality import NOT_NULL
 from salesmart.plans.model import Mart, Oltp
 from salesmart.schema import SENTINEL
 
@@ -121,10 +123,22 @@ def write_table(name: str, df: DataFrame, root: str, mode: str = "overwrite", pr
     _write_table(name, df, _table_path(root, name), mode, products)
 
 
-def _write_table(name: str, df: DataFrame, path: str, mode: str, products: tuple[int, int]) -> None:
+def _observed(name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows on their way to the writer, and their figures for Q1, Q2 and Q6.
+
+    The writer's stage ends its job, and Spark counts a task of such a stage once however often it is tried."""
+    observation = Observation()
+    figures = [F.count(F.lit(1)).alias("n_rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in NOT_NULL.get(name, [])]]
+    if name == "fait_ventes":
+        figures.append(F.sum("montant_net").alias("ca_dw"))
+    return df.observe(observation, *figures), observation
+
+
+def _write_table(name: str, df: DataFrame, path: str, mode: str, products: tuple[int, int]) -> dict:
     if name not in FACTS:
-        df.write.mode(mode).parquet(path)
-        return
+        seen, figures = _observed(name, df)
+        seen.write.mode(mode).parquet(path)
+        return figures.get
     axes, by = [day_part(FACT_DATE[name]), first_byte("client_key")], ["annee", "_place", "nocom"]
     if name == "fait_ventes":
         axes.append(between("produit_key", *products))
@@ -132,7 +146,9 @@ def _write_table(name: str, df: DataFrame, path: str, mode: str, products: tuple
     placed = df.withColumn("_place", interleaved(*axes)).repartitionByRange(*by).sortWithinPartitions(*by).drop("_place")
     if "copie" in df.columns:  # the exchange carries a small number, not the key
         placed = facts.with_line_keys(placed)
-    placed.write.mode(mode).options(**BLOOM).partitionBy("annee").parquet(path)
+    seen, figures = _observed(name, placed)
+    seen.write.mode(mode).options(**BLOOM).partitionBy("annee").parquet(path)
+    return figures.get
 
 
 def write_mart(mart: Mart, root: str, mode: str = "overwrite") -> None:
@@ -142,28 +158,28 @@ def write_mart(mart: Mart, root: str, mode: str = "overwrite") -> None:
         write_table(name, df, root, mode, products)
 
 
-def _load_dims(oltp: Oltp, root: str, sentinels: tuple[str, ...], existing: Mart | None) -> dict[str, DataFrame]:
-    """The dimensions, written under ``root`` and read back."""
+def _load_dims(oltp: Oltp, root: str, sentinels: tuple[str, ...], existing: Mart | None) -> tuple[dict[str, DataFrame], dict[str, dict]]:
+    """The dimensions, written under ``root`` and read back, and their figures."""
     spark = oltp.commande.sparkSession
     # the six dimension loads are independent jobs: submit them together so
     # small ones do not leave the cluster idle while they run one by one
     plan = build_dims(oltp, sentinels, existing)
-    write = inheritable_thread_target(spark)(write_table)  # job group and pool of the caller
+    write = inheritable_thread_target(spark)(_write_table)  # job group and pool of the caller
     with ThreadPoolExecutor(max_workers=len(plan)) as pool:
-        for f in [pool.submit(write, name, df, root) for name, df in plan.items()]:
-            f.result()
-    return {name: spark.read.schema(plan[name].schema).parquet(_table_path(root, name)) for name in DIM_KEYS}
+        running = {name: pool.submit(write, name, df, _table_path(root, name), "overwrite", (0, 0)) for name, df in plan.items()}
+        figures = {name: f.result() for name, f in running.items()}
+    return {name: spark.read.schema(plan[name].schema).parquet(_table_path(root, name)) for name in DIM_KEYS}, figures
 
 
-def _load_facts(oltp: Oltp, d: dict[str, DataFrame], paths: dict[str, str], sentinels: tuple[str, ...]) -> dict[str, str]:
-    """The facts, written to their ``paths``; their schemas, as JSON."""
+def _load_facts(oltp: Oltp, d: dict[str, DataFrame], paths: dict[str, str], sentinels: tuple[str, ...]) -> tuple[dict[str, str], dict[str, dict]]:
+    """The facts, written to their ``paths``; their schemas, as JSON, and their figures."""
     products = product_bounds(d["dim_produit"])
     liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"], d["dim_transporteur"], sentinels)
-    _write_table("fait_livraisons", liv, paths["fait_livraisons"], "overwrite", products)
+    figures = {"fait_livraisons": _write_table("fait_livraisons", liv, paths["fait_livraisons"], "overwrite", products)}
     header = _read_years(oltp.commande.sparkSession, liv.schema.json(), paths["fait_livraisons"], None)
     lines = facts.sales_lines(oltp.detailcommande, header, d["dim_produit"])
-    _write_table("fait_ventes", lines, paths["fait_ventes"], "overwrite", products)
-    return {"fait_livraisons": liv.schema.json(), "fait_ventes": facts.with_line_keys(lines).schema.json()}
+    figures["fait_ventes"] = _write_table("fait_ventes", lines, paths["fait_ventes"], "overwrite", products)
+    return {"fait_livraisons": liv.schema.json(), "fait_ventes": facts.with_line_keys(lines).schema.json()}, figures
 
 
 def _read_years(spark: SparkSession, schema: str, base: str, folders: list[str] | None) -> DataFrame:
@@ -185,9 +201,9 @@ def load_mart(oltp: Oltp, root: str, sentinels: Iterable[str] = (SENTINEL,),
     ``build_mart``.
     """
     s = tuple(sentinels)
-    d = _load_dims(oltp, root, s, existing)
+    d, _ = _load_dims(oltp, root, s, existing)
     paths = {name: _table_path(root, name) for name in FACTS}
-    schemas = _load_facts(oltp, d, paths, s)
+    schemas, _ = _load_facts(oltp, d, paths, s)
     return Mart(**d, **{name: _read_years(oltp.commande.sparkSession, schemas[name], path, None) for name, path in paths.items()})
 
 
@@ -251,6 +267,7 @@ def _years_of_new_members(oltp: Oltp, d: dict[str, DataFrame], existing: Mart) -
 
 
 # ---------------------------------------------------------------- versions
+FIGURES = "table_name string, figure string, value decimal(38,4)"
 MARKER = "seq long, version string, facts array<struct<name string, annee int, load string>>, schemas map<string, string>"
 
 
@@ -291,7 +308,7 @@ def refresh(spark: SparkSession, oltp: Oltp, root: str, sentinels: Iterable[str]
     before = _newest(spark, root)
     version = f"v-{uuid.uuid4().hex[:12]}"
     existing = _read_version(spark, root, before) if incremental and before else None
-    d = _load_dims(oltp, f"{base}/{version}", s, existing)
+    d, figures = _load_dims(oltp, f"{base}/{version}", s, existing)
     if existing is None:
         prints, touched, part = year_prints(oltp).collect(), None, oltp  # a row per year
     else:
@@ -309,10 +326,13 @@ def refresh(spark: SparkSession, oltp: Oltp, root: str, sentinels: Iterable[str]
         listed, schemas = list(before["facts"]), before["schemas"]
     else:
         paths = {name: _load_path(root, name, version) for name in FACTS}
-        schemas = _load_facts(part, d, paths, s)
+        schemas, of_facts = _load_facts(part, d, paths, s)
+        figures |= of_facts
         listed = [] if touched is None else [f for f in before["facts"] if f["annee"] not in touched]
         for name, path in paths.items():
             listed += [(name, annee, version) for annee in sorted(_years(_read_years(spark, schemas[name], path, None)), key=str)]
+    seen = [(table, figure, Decimal(value or 0)) for table, row in figures.items() for figure, value in row.items()]
+    spark.createDataFrame(seen, FIGURES).coalesce(1).write.parquet(f"{base}/{version}/_figures")
     schemas = {**schemas, **{name: df.schema.json() for name, df in d.items()}}
     marker = ((before["seq"] if before else 0) + 1, version, [tuple(f) for f in listed], schemas)
     spark.createDataFrame([marker], MARKER).coalesce(1).write.mode("append").json(_markers(root))
@@ -367,6 +387,17 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     return gone
 
 
+def load_figures(spark: SparkSession, root: str) -> DataFrame | None:
+    """(table_name, figure, value) of the rows that the newest load wrote, as counted while it wrote them:
+    ``n_rows``, the NULLs of each NOT NULL column (Q6), and ``ca_dw``, the net revenue (Q1).
+
+    After an incremental refresh they are of the dimensions and of the years it wrote; a fact of which it wrote
+    no year has none. None where no mart was loaded.
+    """
+    newest = _newest(spark, root)
+    return spark.read.schema(FIGURES).parquet(f"{root.rstrip('/')}/{newest['version']}/_figures") if newest else None
+
+
 def current_mart(spark: SparkSession, root: str) -> Mart | None:
     newest = _newest(spark, root)
     return _read_version(spark, root, newest) if newest else None
