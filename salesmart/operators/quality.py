@@ -165,24 +165,37 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return c.join(parent.select(F.col(pk).alias("_pk")), F.col(fk) == F.col("_pk"), "left_anti")
 
 
+def _kind(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> str:
+    """The type in which a reference and its key are compared."""
+    one, other = child.schema[fk].dataType, parent.schema[pk].dataType
+    if isinstance(one, T.IntegralType) and isinstance(other, T.IntegralType):
+        return "bigint"
+    return one.simpleString() if one == other else "string"
+
+
 def dq_foreign_keys(oltp: Oltp, mart: Mart) -> DataFrame:
     """Orphan count per reference (nullable references skip NULL).
 
-    All references of a child table are counted in one scan: unpivoted to
-    (reference, key), reduced to a row per key with partial sums, and
-    anti-joined with the keys of all its parents at once.
+    The references of a child table are taken by type, in which they stay:
+    unpivoted to (number of the reference, key), reduced to a row per key with
+    partial sums, and anti-joined with the keys of all parents of the type at
+    once. Each column is read once, by the scan for its type.
     """
-    children: dict[int, tuple[DataFrame, list[tuple[str, str, DataFrame, str]]]] = {}
+    children: dict[tuple[int, str], tuple[DataFrame, list[tuple[str, str, DataFrame, str]]]] = {}
     for name, child, fk, parent, pk in fk_specs(oltp, mart):
-        children.setdefault(id(child), (child, []))[1].append((name, fk, parent, pk))
+        children.setdefault((id(child), _kind(child, fk, parent, pk)), (child, []))[1].append((name, fk, parent, pk))
     parts = []
-    for child, refs in children.values():
-        pairs = F.explode(F.array(*[F.struct(F.lit(name).alias("fk_name"), F.col(fk).cast("string").alias("_k")) for name, fk, _, _ in refs]))
-        keys = child.select(pairs.alias("_p")).select("_p.*").filter(F.col("_k").isNotNull()).groupBy("fk_name", "_k").agg(F.count(F.lit(1)).alias("_n"))
-        parents = _union([parent.select(F.lit(name).alias("fk_name"), F.col(pk).cast("string").alias("_k")) for name, _, parent, pk in refs])
-        missing = keys.join(parents, ["fk_name", "_k"], "left_anti").select("fk_name", "_n")
-        none = child.sparkSession.createDataFrame([(name, 0) for name, _, _, _ in refs], "fk_name string, _n long")
-        parts.append(missing.unionByName(none).groupBy("fk_name").agg(F.sum("_n").alias("n_orphans")))
+    for (_, kind), (child, refs) in children.items():
+        if len(refs) == 1:
+            pairs = child.select(F.lit(0).alias("_ref"), F.col(refs[0][1]).cast(kind).alias("_k"))
+        else:
+            pairs = child.select(F.inline(F.array(*[F.struct(F.lit(i).alias("_ref"), F.col(fk).cast(kind).alias("_k")) for i, (_, fk, _, _) in enumerate(refs)])))
+        keys = pairs.where(F.col("_k").isNotNull()).groupBy("_ref", "_k").agg(F.count(F.lit(1)).alias("_n"))
+        parents = _union([parent.select(F.lit(i).alias("_ref"), F.col(pk).cast(kind).alias("_k")) for i, (_, _, parent, pk) in enumerate(refs)])
+        missing = keys.join(parents, ["_ref", "_k"], "left_anti").select("_ref", "_n")
+        none = child.sparkSession.range(len(refs)).select(F.col("id").cast("int").alias("_ref"), F.lit(0).cast("bigint").alias("_n"))
+        named = F.element_at(F.array(*[F.lit(name) for name, _, _, _ in refs]), F.col("_ref") + 1)
+        parts.append(missing.unionByName(none).groupBy("_ref").agg(F.sum("_n").alias("n_orphans")).select(named.alias("fk_name"), "n_orphans"))
     return _union(parts)
 
 

@@ -11,6 +11,9 @@ An incremental refresh writes only the years whose source rows changed and
 takes the others from earlier loads as they are. Which years changed is told by
 their prints: sums of hashes over the orders and lines of a year, stored with
 the version. Years that hold rows of members new in a dimension change too.
+Beside the prints lie the totals of Q1 and Q2 by year, of the source from the
+scan for the prints and of the mart from the writing stages, so ``load_checks``
+answers for the whole version without reading a table.
 
 Markers are never changed and readers take the newest, so a crash at any
 moment leaves the previous version current. Re-running a refresh gives the same
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from salesmart.functions import to_money
 from salesmart.functions.clustering import between, day_part, first_byte, interleaved
 from salesmart.functions.keys import natural_key
 from salesmart.operators import dims, facts
@@ -123,18 +127,21 @@ def write_table(name: str, df: DataFrame, root: str, mode: str = "overwrite", pr
     _write_table(name, df, _table_path(root, name), mode, products)
 
 
-def _observed(name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The rows on their way to the writer, and their figures for Q1, Q2 and Q6.
+def _observed(name: str, df: DataFrame, years: Iterable[int | None] = ()) -> tuple[DataFrame, Observation]:
+    """The rows on their way to the writer, and their figures for Q1, Q2 and Q6; those of Q1 and Q2 also by year, named ``(year)``.
 
     The writer's stage ends its job, and Spark counts a task of such a stage once however often it is tried."""
     observation = Observation()
     figures = [F.count(F.lit(1)).alias("n_rows"), *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in NOT_NULL.get(name, [])]]
     if name == "fait_ventes":
         figures.append(F.sum("montant_net").alias("ca_dw"))
+    for year in years:
+        here = F.col("annee").eqNullSafe(F.lit(year).cast("int"))
+        figures.append((F.sum(F.when(here, F.col("montant_net"))) if name == "fait_ventes" else F.count(F.when(here, 1))).alias(f"({year})"))
     return df.observe(observation, *figures), observation
 
 
-def _write_table(name: str, df: DataFrame, path: str, mode: str, products: tuple[int, int]) -> dict:
+def _write_table(name: str, df: DataFrame, path: str, mode: str, products: tuple[int, int], years: Iterable[int | None] = ()) -> dict:
     if name not in FACTS:
         seen, figures = _observed(name, df)
         seen.write.mode(mode).parquet(path)
@@ -146,7 +153,7 @@ def _write_table(name: str, df: DataFrame, path: str, mode: str, products: tuple
     placed = df.withColumn("_place", interleaved(*axes)).repartitionByRange(*by).sortWithinPartitions(*by).drop("_place")
     if "copie" in df.columns:  # the exchange carries a small number, not the key
         placed = facts.with_line_keys(placed)
-    seen, figures = _observed(name, placed)
+    seen, figures = _observed(name, placed, years)
     seen.write.mode(mode).options(**BLOOM).partitionBy("annee").parquet(path)
     return figures.get
 
@@ -171,14 +178,15 @@ def _load_dims(oltp: Oltp, root: str, sentinels: tuple[str, ...], existing: Mart
     return {name: spark.read.schema(plan[name].schema).parquet(_table_path(root, name)) for name in DIM_KEYS}, figures
 
 
-def _load_facts(oltp: Oltp, d: dict[str, DataFrame], paths: dict[str, str], sentinels: tuple[str, ...]) -> tuple[dict[str, str], dict[str, dict]]:
-    """The facts, written to their ``paths``; their schemas, as JSON, and their figures."""
+def _load_facts(oltp: Oltp, d: dict[str, DataFrame], paths: dict[str, str], sentinels: tuple[str, ...],
+                years: Iterable[int | None] = ()) -> tuple[dict[str, str], dict[str, dict]]:
+    """The facts, written to their ``paths``; their schemas, as JSON, and their figures, of ``years`` also by year."""
     products = product_bounds(d["dim_produit"])
     liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, d["dim_client"], d["dim_employe"], d["dim_transporteur"], sentinels)
-    figures = {"fait_livraisons": _write_table("fait_livraisons", liv, paths["fait_livraisons"], "overwrite", products)}
+    figures = {"fait_livraisons": _write_table("fait_livraisons", liv, paths["fait_livraisons"], "overwrite", products, years)}
     header = _read_years(oltp.commande.sparkSession, liv.schema.json(), paths["fait_livraisons"], None)
     lines = facts.sales_lines(oltp.detailcommande, header, d["dim_produit"])
-    figures["fait_ventes"] = _write_table("fait_ventes", lines, paths["fait_ventes"], "overwrite", products)
+    figures["fait_ventes"] = _write_table("fait_ventes", lines, paths["fait_ventes"], "overwrite", products, years)
     return {"fait_livraisons": liv.schema.json(), "fait_ventes": facts.with_line_keys(lines).schema.json()}, figures
 
 
@@ -213,7 +221,9 @@ def read_mart(spark: SparkSession, root: str) -> Mart:
 
 
 # ------------------------------------------------------------------- years
-PRINTS = "annee int, n_orders long, order_print decimal(38,0), n_lines long, line_print decimal(38,0)"
+PRINTS = "annee int, n_orders long, order_print decimal(38,0), n_lines long, line_print decimal(38,0), ca_oltp decimal(38,4)"
+#: What a version stores of each year: its print, and the totals of its facts.
+YEARS = f"{PRINTS}, commandes_dw long, ca_dw decimal(38,4)"
 
 
 def year_prints(oltp: Oltp) -> DataFrame:
@@ -223,24 +233,32 @@ def year_prints(oltp: Oltp) -> DataFrame:
     their order and repeated rows count. Lines are summed per order before they
     meet their order's year (partial sums: a hot order is a row per task).
     Orders without a date, and lines without an order, are of year NULL.
+    The same scan gives the net revenue of the lines, unrounded as in Q1; where two orders
+    share a number (Q3 reports them), their lines count for each.
     """
     def row_print(columns: Iterable[str]) -> F.Column:
         # the hash passes NULLs over, so it is told where they are; 28 digits leave room for 10^19 rows
         return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).cast("decimal(28,0)")
 
-    lines = oltp.detailcommande.groupBy("nocom").agg(F.count(F.lit(1)).alias("_n"), F.sum(row_print(facts.LINE)).alias("_print"))
+    net = F.sum(F.col("qte") * F.col("prixunit") * (F.lit(1) - F.col("remise")))
+    lines = oltp.detailcommande.groupBy("nocom").agg(F.count(F.lit(1)).alias("_n"), F.sum(row_print(facts.LINE)).alias("_print"), net.cast("decimal(38,4)").alias("_net"))
     orders = oltp.commande.select("nocom", F.year("datecom").alias("annee"), row_print(oltp.commande.columns).alias("_order"))
     both = orders.join(lines, "nocom", "full")
     none = F.lit(0).cast("decimal(38,0)")
     return both.groupBy("annee").agg(
         F.count("_order").alias("n_orders"), F.coalesce(F.sum("_order"), none).cast("decimal(38,0)").alias("order_print"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_lines"), F.coalesce(F.sum(F.col("_print").cast("decimal(28,0)")), none).cast("decimal(38,0)").alias("line_print"))
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_lines"), F.coalesce(F.sum(F.col("_print").cast("decimal(28,0)")), none).cast("decimal(38,0)").alias("line_print"),
+        F.sum("_net").cast("decimal(38,4)").alias("ca_oltp"))
 
 
 def _years(df: DataFrame) -> set[int | None]:
     return {r["annee"] for r in df.select("annee").distinct().collect()}  # as many as the calendar has years
 
 
+def _year_rows(oltp: Oltp) -> list[tuple]:
+    return [tuple(r) for r in year_prints(oltp).collect()]  # a row per year
+
+
 def _in_years(years: set[int | None]) -> F.Column:
     year = F.year("datecom")
     return F.when(year.isNull(), F.lit(None in years)).otherwise(year.isin([y for y in years if y is not None]))
@@ -310,27 +328,32 @@ def refresh(spark: SparkSession, oltp: Oltp, root: str, sentinels: Iterable[str]
     existing = _read_version(spark, root, before) if incremental and before else None
     d, figures = _load_dims(oltp, f"{base}/{version}", s, existing)
     if existing is None:
-        prints, touched, part = year_prints(oltp).collect(), None, oltp  # a row per year
+        prints, touched, part, kept = _year_rows(oltp), None, oltp, {}
+        written = [p[0] for p in prints]
     else:
-        old = spark.read.schema(PRINTS).parquet(f"{base}/{before['version']}/_years").collect()
+        stored = [tuple(r) for r in spark.read.schema(YEARS).parquet(f"{base}/{before['version']}/_years").collect()]  # a row per year
+        old = [r[:-2] for r in stored]
         if changed is None:
-            prints = year_prints(oltp).collect()
-            touched = {r["annee"] for r in set(old) ^ set(prints)}
+            prints = _year_rows(oltp)
+            touched = {p[0] for p in set(old) ^ set(prints)}
         else:
             touched = _years(oltp.commande.join(changed.select("nocom").distinct(), "nocom", "left_semi").select(F.year("datecom").alias("annee")))
-            prints = [r for r in old if r["annee"] not in touched] + year_prints(_of_years(oltp, touched)).collect()
+            prints = [p for p in old if p[0] not in touched] + _year_rows(_of_years(oltp, touched))
         touched |= _years_of_new_members(oltp, d, existing)
-        part = _of_years(oltp, touched)
-    spark.createDataFrame(prints, PRINTS).coalesce(1).write.parquet(f"{base}/{version}/_years")
+        part, kept = _of_years(oltp, touched), {r[0]: r[-2:] for r in stored if r[0] not in touched}
+        written = sorted(touched, key=str)
     if touched == set():
         listed, schemas = list(before["facts"]), before["schemas"]
     else:
         paths = {name: _load_path(root, name, version) for name in FACTS}
-        schemas, of_facts = _load_facts(part, d, paths, s)
+        schemas, of_facts = _load_facts(part, d, paths, s, written)
+        by_year = {name: {year: of_facts[name].pop(f"({year})") for year in written} for name in FACTS}
+        kept |= {year: (by_year["fait_livraisons"][year], by_year["fait_ventes"][year]) for year in written}
         figures |= of_facts
         listed = [] if touched is None else [f for f in before["facts"] if f["annee"] not in touched]
         for name, path in paths.items():
             listed += [(name, annee, version) for annee in sorted(_years(_read_years(spark, schemas[name], path, None)), key=str)]
+    spark.createDataFrame([(*p, *kept.get(p[0], (0, None))) for p in prints], YEARS).coalesce(1).write.parquet(f"{base}/{version}/_years")
     seen = [(table, figure, Decimal(value or 0)) for table, row in figures.items() for figure, value in row.items()]
     spark.createDataFrame(seen, FIGURES).coalesce(1).write.parquet(f"{base}/{version}/_figures")
     schemas = {**schemas, **{name: df.schema.json() for name, df in d.items()}}
@@ -398,6 +421,26 @@ def load_figures(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.schema(FIGURES).parquet(f"{root.rstrip('/')}/{newest['version']}/_figures") if newest else None
 
 
+def load_checks(spark: SparkSession, root: str) -> dict[str, DataFrame] | None:
+    """Q1 and Q2 of the current version, as the registered checks give them, from what its loads counted.
+
+    Neither a source nor a fact is read: a year's totals were taken by the load that wrote it, on the
+    source's side by the scan for its prints. With ``changed`` orders named by the caller, the source's side of
+    the other years is that of the load before. None where no mart was loaded.
+    """
+    newest = _newest(spark, root)
+    if newest is None:
+        return None
+    total = spark.read.schema(YEARS).parquet(f"{root.rstrip('/')}/{newest['version']}/_years").agg(
+        F.sum("ca_oltp").alias("ca_oltp"), F.sum("ca_dw").alias("ca_dw"),
+        F.coalesce(F.sum("n_orders"), F.lit(0)).alias("commandes_oltp"), F.coalesce(F.sum("commandes_dw"), F.lit(0)).alias("commandes_dw"))
+    return {
+        "dq_revenue_reconciliation": total.select(to_money(F.col("ca_oltp")).alias("ca_oltp"), to_money(F.col("ca_dw")).alias("ca_dw"),
+                                                  to_money(F.col("ca_dw") - F.col("ca_oltp")).alias("ecart")),
+        "dq_order_count": total.select("commandes_oltp", "commandes_dw", (F.col("commandes_oltp") - F.col("commandes_dw")).alias("ecart")),
+    }
+
+
 def current_mart(spark: SparkSession, root: str) -> Mart | None:
     newest = _newest(spark, root)
     return _read_version(spark, root, newest) if newest else None
