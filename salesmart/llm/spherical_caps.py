@@ -25,7 +25,8 @@ all their copies.
 
 Edges: vectors that are null, empty, zero or hold a null or non-finite component, and
 those without a label, link with nothing, also not with copies; each is its own component.
-Vectors of different lengths never link. Repeated rows are copies. An empty table gives no rows.
+Vectors of different lengths never link. Very large and very small components count: vectors
+are first scaled by the power of two of their largest. Repeated rows are copies. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -99,6 +100,7 @@ def _unit_rows(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for d in np.unique(lengths):
         at = np.flatnonzero(lengths == d)
         x = column.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(at), d)
+        x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])  # exact; no square overflows or vanishes
         yield at, x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -192,9 +194,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, code: int = CODE, z
     folder = scratch_dir(spark, "near-vectors")
     store = lambda df, name: (df.write.mode("errorifexists").parquet(f"{folder}/{name}"), spark.read.schema(df.schema).parquet(f"{folder}/{name}"))[1]
     df = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), F.col("label").cast("int").alias("label"))
-    limit = F.lit(1e300)
-    usable = (F.col("label").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < limit))
-              & F.exists("embedding", lambda x: F.abs(x) > 1e-150))
+    usable = (F.col("label").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+              & F.exists("embedding", lambda x: x != 0))
     exact = F.transform("embedding", lambda x: x + F.lit(0.0))  # -0.0 is 0.0
     df = df.withColumn("node", F.when(F.coalesce(usable, F.lit(False)), F.xxhash64("label", exact)))
     nodes = store(df.where("node IS NOT NULL").groupBy("node").agg(F.first("label").alias("label"), F.first("embedding").alias("embedding"), F.count("*").alias("n"), F.min("vec_id").alias("rep")), "nodes")
@@ -226,9 +227,11 @@ def op8_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = f"""
-WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
-ok AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v
-       WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+WITH RECURSIVE raw AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+top AS (SELECT vec_id, label, e, list_max(list_transform(e, lambda x: abs(x))) AS m FROM raw),
+v AS (SELECT vec_id, label, CASE WHEN m > 0 AND isfinite(m) AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      THEN list_transform(e, lambda x: x / pow(2::DOUBLE, floor(log2(CASE WHEN m > 0 AND isfinite(m) THEN m ELSE 1::DOUBLE END)))) END AS e FROM top),
+ok AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v WHERE label IS NOT NULL AND e IS NOT NULL),
 link AS (SELECT a.vec_id AS u, b.vec_id AS w FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
          WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= {COSINE}),
 reach(vec_id, r) AS (SELECT vec_id, vec_id FROM ok UNION SELECT link.w, reach.r FROM reach JOIN link ON link.u = reach.vec_id),

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -214,6 +215,25 @@ def test_near_vectors_of_any_shape(spark, scale):
     assert got == dict(enumerate(want.tolist()))
 
 
+@pytest.mark.parametrize("d", [4, 24])
+def test_near_vectors_of_any_length(spark, tmp_path, d):
+    """Finite vectors whose squares overflow or vanish link like others, in the query and in its SQL."""
+    rng, rows = np.random.default_rng(8), []
+    for group in range(6):
+        base = rng.standard_normal(d)
+        base /= np.abs(base).max()
+        near, far = base + 0.02 * rng.standard_normal(d), rng.standard_normal(d)
+        for x, size in ((base, 1.0), (near, 1e-200), (base, 1e305), (near, 1.5e308 / np.abs(near).max()), (base, 1e-300), (far / np.abs(far).max(), 1e305)):
+            rows.append((len(rows), (x * size).tolist(), group))
+    rows += [(len(rows), [0.0] * d, 0), (len(rows) + 1, [float("inf")] * d, 0), (len(rows) + 2, [None] * d, 0), (len(rows) + 3, None, 0)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {tuple(r) for r in spherical_caps.op8_spherical_caps(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert got == set(con.execute(spherical_caps.OP8_SQL).fetchall())
+    assert all(r[1] >= 4 for r in got if r[0] < 36 and r[0] % 6 != 5) and all(r[1] == 0 for r in got if r[0] >= 36)
+
+
 def test_list_decoding_finds_all_directions():
     rng = np.random.default_rng(2)
     x = rng.standard_normal((20, 9))
