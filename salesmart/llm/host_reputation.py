@@ -16,6 +16,8 @@ Edges: a null url, or one without ``://``, has an empty host and path; the empty
 host is a host like others. Null labels don't vote; repeated rows of pages
 or labels vote again. A host without labelled pages gets its domain's mean. An
 empty table gives no rows, empty labels the prior mean 1/2 and no strength.
+Under the suffixes of several labels in ``SUFFIXES`` (a parameter) each site is a domain; addresses
+are domains of their own, and ports tell hosts apart but not domains.
 """
 
 from __future__ import annotations
@@ -33,6 +35,13 @@ Z = 1.645
 #: A level's prior counts as so many pages.
 STRENGTH = (1.0, 1000.0)
 LEVELS = ("suffix", "domain", "host")
+#: Suffixes of several labels under which anyone may register; others have one label.
+SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.in", "co.jp", "ne.jp", "or.jp", "ac.jp", "co.kr", "com.br", "com.cn", "com.tw",
+            "com.hk", "com.sg", "com.mx", "com.ar", "com.tr", "co.il", "github.io", "gitlab.io", "blogspot.com", "wordpress.com", "netlify.app", "vercel.app", "herokuapp.com", "s3.amazonaws.com")
+#: Stands for the suffix of all hosts that are addresses.
+ADDRESS = "(address)"
+_IPV4 = r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"
+_PORT = ":[0-9]*$"
 
 
 def with_host(pages: DataFrame) -> DataFrame:
@@ -45,9 +54,18 @@ def with_host(pages: DataFrame) -> DataFrame:
     return df.withColumn("path", path).withColumn("host", F.translate("__host", string.ascii_uppercase, string.ascii_lowercase)).drop("__rest", "__host")
 
 
-def with_levels(df: DataFrame) -> DataFrame:
-    """Adds domain (the last two labels of the host) and suffix (the last)."""
-    return df.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
+def with_levels(df: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
+    """Adds suffix (the longest of ``suffixes`` that ends the host's name, else its last label) and domain (one label more).
+
+    A port belongs to the host alone. An address is its own domain, under a suffix of addresses."""
+    name = F.regexp_replace("host", _PORT, "")
+    suffix, domain = F.substring_index(name, ".", -1), F.substring_index(name, ".", -2)
+    for size in sorted({s.count(".") + 1 for s in suffixes}):  # the last, longest one wins
+        end = F.substring_index(name, ".", -size)
+        fits = end.isin([s for s in suffixes if s.count(".") + 1 == size])
+        suffix, domain = F.when(fits, end).otherwise(suffix), F.when(fits, F.substring_index(name, ".", -size - 1)).otherwise(domain)
+    address = name.rlike(_IPV4) | name.startswith("[")
+    return df.withColumn("domain", F.when(address, name).otherwise(domain)).withColumn("suffix", F.when(address, ADDRESS).otherwise(suffix))
 
 
 def _level(counts: DataFrame, parent: DataFrame, level: str, up: str | None) -> DataFrame:
@@ -68,15 +86,15 @@ def _level(counts: DataFrame, parent: DataFrame, level: str, up: str | None) ->
     return prior.withColumn("mean", (F.col("bad") + F.col("strength") * F.col("prior")) / (F.col("n") + F.col("strength")))
 
 
-def reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
+def reputation(pages: DataFrame, labels: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """(host, bad_bound) for every host of ``pages`` (page_id, host); ``labels`` (doc_id, quality, toxic) vote for the page of their id."""
     votes = labels.select(F.col("doc_id").alias("page_id"), F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), 0).alias("bad"))
     voted = pages.select("page_id", "host").join(votes.where("bad IS NOT NULL").groupBy("page_id").agg(F.count("*").alias("n"), F.sum("bad").alias("bad")), "page_id", "left")
-    hosts = with_levels(voted.groupBy("host").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad")))
+    hosts = with_levels(voted.groupBy("host").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad")), suffixes)
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    everything = suffixes.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.5)).alias("prior"))
-    of_suffix = _level(suffixes, everything, "suffix", None)
+    ends = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    everything = ends.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.5)).alias("prior"))
+    of_suffix = _level(ends, everything, "suffix", None)
     of_domain = _level(domains, of_suffix, "domain", "suffix")
     of_host = _level(hosts, of_domain, "host", "domain")
     a, b = F.col("bad") + F.col("strength") * F.col("prior"), F.col("n") - F.col("bad") + F.col("strength") * (1 - F.col("prior"))
@@ -94,10 +112,10 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return F.array_max(F.array(*fits))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = RULES, max_bad: float = MAX_BAD) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = RULES, max_bad: float = MAX_BAD, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for each row of ``pages`` (page_id, url)."""
     df = with_host(pages.select("page_id", "url")).drop("url")
-    by_host = reputation(df, labels)
+    by_host = reputation(df, labels, suffixes)
     df = df.join(by_host, "host").withColumn("__rule", rule_of(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("bad_bound") > max_bad, "block").otherwise("allow"))
     return df.select("page_id", "host", "path", F.col("__rule.rule").alias("rule"), verdict.alias("verdict"))
@@ -123,8 +141,12 @@ WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, inst
 h AS (SELECT page_id, coalesce(rest, '') AS rest, regexp_extract(coalesce(rest, ''), '^[^/?#]*') AS raw FROM u),
 pg AS (SELECT page_id, translate(raw, '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
 votes AS (SELECT doc_id, count(*) AS n, sum(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
-hosts AS (SELECT host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, string_split(host, '.')[-1] AS suffix,
-                 coalesce(sum(n), 0) AS n, coalesce(sum(bad), 0) AS bad FROM pg LEFT JOIN votes ON page_id = doc_id GROUP BY host),
+voted AS (SELECT host, regexp_replace(host, '{_PORT}', '') AS name, coalesce(sum(n), 0) AS n, coalesce(sum(bad), 0) AS bad FROM pg LEFT JOIN votes ON page_id = doc_id GROUP BY host),
+ends AS (SELECT s, length(s) - length(replace(s, '.', '')) + 1 AS size FROM (VALUES {", ".join(f"('{x}')" for x in SUFFIXES)}) AS t(s)),
+sized AS (SELECT host, greatest(coalesce(max(size), 1), 1) AS size FROM voted LEFT JOIN ends ON name = s OR ends_with(name, '.' || s) GROUP BY host),
+hosts AS (SELECT host, n, bad, CASE WHEN regexp_matches(name, '{_IPV4}') OR starts_with(name, '[') THEN '{ADDRESS}' ELSE array_to_string(list_slice(string_split(name, '.'), -size, -1), '.') END AS suffix,
+                 CASE WHEN regexp_matches(name, '{_IPV4}') OR starts_with(name, '[') THEN name ELSE array_to_string(list_slice(string_split(name, '.'), -size - 1, -1), '.') END AS domain
+          FROM voted JOIN sized USING (host)),
 domains AS (SELECT suffix, domain, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY suffix, domain),
 suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY suffix),
 everything AS (SELECT CASE WHEN sum(n) > 0 THEN sum(bad)::DOUBLE / sum(n) ELSE 0.5::DOUBLE END AS prior FROM suffixes),

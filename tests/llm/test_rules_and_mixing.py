@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -210,6 +211,36 @@ def test_rules_and_parts_of_urls(spark):
     assert host_reputation.judge(pages.limit(0), labels).collect() == []
 
 
+def test_levels_of_hosts(spark):
+    want = {"a.b.example.co.uk": ("example.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "me.github.io:8080": ("me.github.io", "github.io"), "b.s3.amazonaws.com": ("b.s3.amazonaws.com", "s3.amazonaws.com"),
+            "www.amazonaws.com": ("amazonaws.com", "com"), "notco.uk": ("notco.uk", "uk"), "10.0.0.1:80": ("10.0.0.1", "(address)"), "10.0.0.2": ("10.0.0.2", "(address)"),
+            "[::1]:80": ("[::1]", "(address)"), "www.example.com:443": ("example.com", "com"), "localhost": ("localhost", "localhost"), "": ("", "")}
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    assert {r.host: (r.domain, r.suffix) for r in host_reputation.with_levels(df).collect()} == want
+    own = host_reputation.with_levels(df.where("host = 'www.example.com:443'"), ["example.com"]).first()
+    assert (own.domain, own.suffix) == ("www.example.com", "example.com")
+
+
+def test_sites_under_a_shared_suffix_are_judged_apart(spark, tmp_path):
+    """Bad sites under co.uk, and bad addresses, leave the others alone; the SQL agrees."""
+    rng, rows, labels = random.Random(3), [], []
+    for host, bad in (("bad.co.uk", 0.9), ("www.bad.co.uk", 0.9), ("good.co.uk", 0.02), ("www.good.co.uk:81", 0.02), ("bad.github.io", 0.9), ("good.github.io", 0.02), ("10.1.0.1", 0.9),
+                      ("10.2.0.1:8", 0.02), ("[::1]:9", 0.5), ("fine.com", 0.05), ("co.uk", 0.1), ("localhost", 0.1)):
+        for _ in range(60):
+            rows.append((len(rows), f"http://{host}/x"))
+            labels.append((rows[-1][0], int(rng.random() >= bad), 0))
+    rows += [(len(rows), "http://new.good.co.uk/"), (len(rows) + 1, "http://new.bad.co.uk/"), (len(rows) + 2, None), (len(rows) + 3, "http://10.9.9.9/")]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = host_reputation.op9_host_reputation(spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert sorted(map(tuple, got), key=str) == sorted(con.execute(host_reputation.OP9_SQL).fetchall(), key=str)
+    verdict = {r.host: r.verdict for r in got}
+    assert [verdict[h] for h in ("bad.co.uk", "good.co.uk", "www.good.co.uk:81", "new.good.co.uk", "good.github.io", "10.2.0.1:8", "10.1.0.1")] == ["block", "allow", "allow", "allow", "allow", "allow", "block"]
+
+
 def test_bad_hosts_are_blocked_and_small_ones_shrunk(spark):
     rows = [(h * 1000 + i, f"http://h{h}.d{h % 5}.test/p") for h in range(20) for i in range(100)]
     pages = spark.createDataFrame([*rows, (90_000, "http://new.d0.test/"), (90_001, "http://once.d1.test/")], "page_id long, url string")
