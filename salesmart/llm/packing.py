@@ -224,8 +224,8 @@ def _row(block: int, island: int, ids: bytes, lengths: np.ndarray, population: l
             "n_bins": n_bins, "unevenness": unevenness, "done": finished(population[0], lengths, capacity)}
 
 
-def _packings(row) -> list[np.ndarray]:
-    return [np.frombuffer(p, "<i4") for p in row.population]
+def _packings(row: dict) -> list[np.ndarray]:
+    return [np.frombuffer(p, "<i4") for p in row["population"]]
 
 
 _COLUMNS = ["block", "island", "row_ids", "lengths", "population", "n_bins", "unevenness", "done"]
@@ -237,8 +237,22 @@ def _dealt(df: DataFrame, blocks: int, *by: str) -> DataFrame:
     return df.repartition(min(blocks, max(tasks, blocks // 64)), *by)
 
 
-def _settle(pieces: DataFrame, blocks: int, capacity: int, islands: int, population: int) -> DataFrame:
-    """A row for each island of each block with its founders; one island is enough where these can't be beaten."""
+def _grown(rows: list[dict], epoch: int, n_islands: int, capacity: int, children: int, size: int) -> pd.DataFrame:
+    """The islands after an epoch of their own, and the best packing of each on its way to the next island of the block."""
+    out = []
+    for r in rows:
+        lengths = np.frombuffer(r["lengths"], "<i4").astype(np.int64)
+        grown = evolve(_packings(r), lengths, capacity, children, size, zlib.crc32(f"{r['block']},{r['island']},{epoch}".encode()))
+        out.append(_row(r["block"], r["island"], r["row_ids"], lengths, grown, capacity))
+        if not out[-1]["done"]:  # the emigrant: only the packing travels
+            out.append({**_row(r["block"], (r["island"] + 1) % n_islands, b"", lengths, grown[:1], capacity), "lengths": b""})
+    return pd.DataFrame(out, columns=_COLUMNS)
+
+
+def _settle(pieces: DataFrame, blocks: int, capacity: int, islands: int, children: int, population: int) -> DataFrame:
+    """The islands of each block with their founders, after the first epoch; one island is enough where its founders can't be beaten.
+
+    Here and in ``_epoch`` one Python function does all of a group's work, so a task needs one Python worker."""
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row_id")
@@ -248,37 +262,28 @@ def _settle(pieces: DataFrame, blocks: int, capacity: int, islands: int, populat
             out.append(_row(int(key[0]), k, pdf["row_id"].to_numpy("<i8").tobytes(), lengths, start, capacity))
             if out[0]["done"]:
                 break
-        return pd.DataFrame(out, columns=_COLUMNS)
+        return _grown(out, 0, islands, capacity, children, population)
 
     return _dealt(pieces.select("block", "row_id", "length"), blocks, "block").groupBy("block").applyInPandas(run, _ISLAND)
 
 
-def _epoch(islands: DataFrame, blocks: int, epoch: int, capacity: int, n_islands: int, children: int, size: int) -> DataFrame:
-    """Every island evolves, then its best packing moves to the next island of the block."""
+def _epoch(islands: DataFrame, blocks: int, epoch: int | None, capacity: int, n_islands: int, children: int, size: int) -> DataFrame:
+    """Every island takes in who came, then evolves for another epoch (None: it was the last)."""
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                lengths = np.frombuffer(r.lengths, "<i4").astype(np.int64)
-                grown = evolve(_packings(r), lengths, capacity, children, size, zlib.crc32(f"{r.block},{r.island},{epoch}".encode()))
-                out.append(_row(r.block, r.island, r.row_ids, lengths, grown, capacity))
-                if not out[-1]["done"]:  # the emigrant: only the packing travels
-                    out.append({**_row(r.block, (r.island + 1) % n_islands, b"", lengths, grown[:1], capacity), "lengths": b""})
-            yield pd.DataFrame(out, columns=_COLUMNS)
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
         home = pdf[pdf["row_ids"].str.len() > 0]
-        if len(home) == 0 or len(pdf) == len(home):  # the island has ended, or nobody came
+        if len(home) == 0:
             return home[_COLUMNS]
-        r = next(home.itertuples(index=False))
-        lengths = np.frombuffer(r.lengths, "<i4").astype(np.int64)
-        everyone = [p for row in pdf.itertuples(index=False) for p in _packings(row)]
-        different = {p.tobytes(): p for p in everyone}.values()
-        ranked = sorted(different, key=lambda p: (quality(p, lengths, capacity), p.tobytes()))[:size]
-        return pd.DataFrame([_row(r.block, r.island, r.row_ids, lengths, ranked, capacity)], columns=_COLUMNS)
+        r = home[_COLUMNS].to_dict("records")[0]
+        if len(pdf) > len(home):
+            lengths = np.frombuffer(r["lengths"], "<i4").astype(np.int64)
+            everyone = [p for row in pdf[_COLUMNS].to_dict("records") for p in _packings(row)]
+            different = {p.tobytes(): p for p in everyone}.values()
+            ranked = sorted(different, key=lambda p: (quality(p, lengths, capacity), p.tobytes()))[:size]
+            r = _row(r["block"], r["island"], r["row_ids"], lengths, ranked, capacity)
+        return pd.DataFrame([r], columns=_COLUMNS) if epoch is None else _grown([r], epoch, n_islands, capacity, children, size)
 
-    return _dealt(islands.mapInPandas(work, _ISLAND), blocks * n_islands, "block", "island").groupBy("block", "island").applyInPandas(meet, _ISLAND)
+    return _dealt(islands, blocks * n_islands, "block", "island").groupBy("block", "island").applyInPandas(run, _ISLAND)
 
 
 def worst_bins(f: np.ndarray, capacity: int, tail_fill: float) -> np.ndarray:
@@ -293,8 +298,8 @@ def _unfold(best: DataFrame, capacity: int, tail_fill: float) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                row_ids, lengths, packing = np.frombuffer(r.row_ids, "<i8"), np.frombuffer(r.lengths, "<i4").astype(np.int64), _packings(r)[0]
+            for r in pdf.to_dict("records"):
+                row_ids, lengths, packing = np.frombuffer(r["row_ids"], "<i8"), np.frombuffer(r["lengths"], "<i4").astype(np.int64), _packings(r)[0]
                 order = np.argsort(packing, kind="stable")
                 f = fills(packing, lengths).astype(np.int64)
                 ends = np.cumsum(lengths[order])
@@ -314,7 +319,7 @@ def _stored(df: DataFrame, folder: str) -> DataFrame:
 
 def pack(pieces: DataFrame, folder: str, capacity: int = CAPACITY, block_rows: int = BLOCK_ROWS, islands: int = ISLANDS,
          epochs: int = EPOCHS, population: int = POPULATION, children: int = CHILDREN, tail_fill: float = TAIL_FILL) -> DataFrame:
-    """(row_id, sequence_id, offset) for pieces (row_id unique, length from 1 to capacity).
+    """(row_id, sequence_id, offset) for pieces (row_id unique, length from 1 to capacity); ``epochs`` is 1 or more.
 
     Levels are written to ``folder`` on the shared store, so the work on a
     level is not repeated when an executor is lost later.
@@ -327,8 +332,8 @@ def pack(pieces: DataFrame, folder: str, capacity: int = CAPACITY, block_rows: i
         blocks = max(1, min(-(-count // block_rows), tokens // (BLOCK_BINS * capacity)))
         last = blocks == 1
         dealt = rest.withColumn("block", F.pmod(F.xxhash64(F.lit(level), "row_id"), F.lit(blocks)))
-        state = _settle(dealt, blocks, capacity, islands, population)
-        for e in range(epochs):
+        state = _settle(dealt, blocks, capacity, islands, children, population)
+        for e in [*range(1, epochs), None]:
             state = _epoch(state, blocks, e, capacity, islands, children, population)
         by_quality = Window.partitionBy("block").orderBy(F.col("n_bins"), F.col("unevenness"), F.col("island"))
         best = state.withColumn("rank", F.row_number().over(by_quality)).where("rank = 1").drop("rank")
