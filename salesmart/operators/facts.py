@@ -20,7 +20,7 @@ Plan at scale (one order may carry a third of all lines):
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,8 +81,16 @@ def allocated_freight(port: str = "port", net: str = "montant_net", total: str =
     return F.when(F.col(total) > 0, share).otherwise(F.lit(0)).cast(AMOUNT)
 
 
+def _known(rows: DataFrame, dim: DataFrame, key: str, attributes: Mapping[str, str]) -> DataFrame:
+    """The rows whose member is in ``dim``, with attributes of it by their new name (the key keeps its own).
+    A dimension has each member once, so a join for attributes keeps the rows that LEFT SEMI keeps."""
+    wanted = [F.col(c).alias(n) for n, c in attributes.items() if c != key]
+    return rows.join(dim.select(key, *wanted), key, "inner" if wanted else "left_semi")
+
+
 def fact_deliveries(commande: DataFrame, detail: DataFrame, dim_client: DataFrame, dim_employe: DataFrame,
-                    dim_transporteur: DataFrame, sentinels: Iterable[str] = (SENTINEL,)) -> DataFrame:
+                    dim_transporteur: DataFrame, sentinels: Iterable[str] = (SENTINEL,),
+                    client: Mapping[str, str] = {}, employe: Mapping[str, str] = {}) -> DataFrame:
     """One row per order with a known customer and employee.
 
     Besides the source columns it keeps ``total_net``, the order's net
@@ -90,19 +98,20 @@ def fact_deliveries(commande: DataFrame, detail: DataFrame, dim_client: DataFram
     denominator of the freight allocation. Storing it here makes the sales
     fact a two-input join of lines with this table, which AQE can split
     when one order holds a large share of the lines.
+
+    ``client`` and ``employe`` name attributes of the two to append (name →
+    column of the dimension).
     """
-    orders = (commande
-              .join(dim_client.select("codecli"), "codecli", "left_semi")
-              .join(dim_employe.select("noemp"), "noemp", "left_semi"))
+    orders = _known(_known(commande, dim_client, "codecli", client), dim_employe, "noemp", employe)
     orders = (orders.join(dim_transporteur.select("notran", "transporteur_key"), "notran", "left")
               .join(order_net_total(line_amounts(detail)), "nocom", "left"))
     cleaned = orders.select(
         "nocom", "codecli", "noemp", "transporteur_key", "datecom", "dateenv", "dateobjliv", "port", "total_net",
-        *clean_geo(sentinels))
-    return _fact_deliveries(cleaned.withColumns({"client_key": natural_key("codecli"), "geo_key": natural_key(*GEO_COLS)}))
+        *clean_geo(sentinels), *[c for c in [*client, *employe] if c not in ("codecli", "noemp")])
+    return _fact_deliveries(cleaned.withColumns({"client_key": natural_key("codecli"), "geo_key": natural_key(*GEO_COLS)}), [*client, *employe])
 
 
-def _fact_deliveries(cleaned: DataFrame) -> DataFrame:
+def _fact_deliveries(cleaned: DataFrame, more: Iterable[str]) -> DataFrame:
     dateenv, dateobj, datecom = F.col("dateenv"), F.col("dateobjliv"), F.col("datecom")
     return cleaned.select(
         F.col("nocom").alias("liv_key"),
@@ -119,10 +128,12 @@ def _fact_deliveries(cleaned: DataFrame) -> DataFrame:
                F.greatest(F.lit(0), F.datediff(dateenv, dateobj))).alias("retard_jours"),
         "total_net",
         F.year(datecom).alias("annee"),
+        *more,
     )
 
 
-def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame) -> DataFrame:
+def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame,
+               produit: Mapping[str, str] = {}, more: Iterable[str] = ()) -> DataFrame:
     """One row per order line whose order and product are known.
 
     ``deliveries`` is the order-grain fact (E12): it already carries the
@@ -130,8 +141,11 @@ def fact_sales(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame)
     row-loss rules the source load applies to the lines. Read back from
     its files (staged load), the join below has two shuffled inputs, the
     shape AQE's skew-join handles.
+
+    ``produit`` names attributes of the product to append (name → column of
+    the dimension), ``more`` further columns of ``deliveries``.
     """
-    return with_line_keys(sales_lines(detail, deliveries, dim_produit))
+    return with_line_keys(sales_lines(detail, deliveries, dim_produit, produit, more))
 
 
 def with_line_keys(lines: DataFrame) -> DataFrame:
@@ -140,14 +154,15 @@ def with_line_keys(lines: DataFrame) -> DataFrame:
     return lines.select(key.alias("ventes_key"), *[c for c in lines.columns if c != "copie"])
 
 
-def sales_lines(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame) -> DataFrame:
+def sales_lines(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame,
+                produit: Mapping[str, str] = {}, more: Iterable[str] = ()) -> DataFrame:
     """The sales fact with ``copie`` in place of its key, which a load computes after it has dealt the rows."""
-    lines = numbered_lines(detail).join(dim_produit.select("refprod"), "refprod", "left_semi")
+    lines = _known(numbered_lines(detail), dim_produit, "refprod", produit)
     header = deliveries.select(
         "nocom", F.col("datecom_key").alias("date_key"), "client_key", "employe_key",
-        "transporteur_key", "geo_key", "port", "total_net", "annee")
+        "transporteur_key", "geo_key", "port", "total_net", "annee", *more)
     # amounts after the join: its exchange carries the source columns only
-    enriched = line_amounts(lines.join(header, "nocom"), [*header.columns[1:], "copie"])
+    enriched = line_amounts(lines.join(header, "nocom"), [*header.columns[1:], "copie", *[c for c in produit if c != "refprod"]])
     return enriched.select(
         "date_key", "client_key", "employe_key", "transporteur_key",
         F.col("refprod").alias("produit_key"), "geo_key", "nocom", "qte", "prixunit",
@@ -155,5 +170,5 @@ def sales_lines(detail: DataFrame, deliveries: DataFrame, dim_produit: DataFrame
         F.col("montant_brut").cast(AMOUNT).alias("montant_brut"),
         F.col("montant_net").cast(AMOUNT).alias("montant_net"),
         allocated_freight().alias("port_alloc"),
-        "copie", "annee",
+        "copie", "annee", *produit, *more,
     )

@@ -43,7 +43,7 @@ from salesmart.functions.keys import natural_key
 from salesmart.operators import dims, facts
 from salesmart.operators.merge import insert_if_absent
 from salesmart.operators.quality import NOT_NULL
-from salesmart.plans.model import Mart, Oltp
+from salesmart.plans.model import Attributes, BuiltMart, Mart, Oltp
 from salesmart.schema import SENTINEL
 
 FACTS = ("fait_livraisons", "fait_ventes")
@@ -84,7 +84,7 @@ def build_dims(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
     return new
 
 
-def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mart | None = None) -> Mart:
+def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mart | None = None) -> BuiltMart:
     """Lazy star schema: dimensions, then deliveries, then sales (the
     source load order), as one plan per table.
 
@@ -94,10 +94,17 @@ def build_mart(oltp: Oltp, sentinels: Iterable[str] = (SENTINEL,), existing: Mar
     """
     s = tuple(sentinels)
     new = build_dims(oltp, s, existing)
-    liv = facts.fact_deliveries(oltp.commande, oltp.detailcommande, new["dim_client"], new["dim_employe"],
-                                new["dim_transporteur"], s)
+
+    def deliveries(client: Attributes, employe: Attributes) -> DataFrame:
+        return facts.fact_deliveries(oltp.commande, oltp.detailcommande, new["dim_client"], new["dim_employe"],
+                                     new["dim_transporteur"], s, client, employe)
+
+    def sales(produit: Attributes, client: Attributes, employe: Attributes) -> DataFrame:
+        return facts.fact_sales(oltp.detailcommande, deliveries(client, employe), new["dim_produit"], produit, [*client, *employe])
+
+    liv = deliveries({}, {})
     ventes = facts.fact_sales(oltp.detailcommande, liv, new["dim_produit"])
-    return Mart(fait_livraisons=liv, fait_ventes=ventes, **new)
+    return BuiltMart(fait_livraisons=liv, fait_ventes=ventes, **new, attributed=sales, built=(liv, ventes))
 
 
 def _table_path(root: str, name: str) -> str:
