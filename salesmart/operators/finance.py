@@ -225,15 +225,14 @@ def v_revenue_carrier(mart: Mart) -> DataFrame:
 
 def v_discounts_agg(mart: Mart) -> DataFrame:
     """Average / max discount and net revenue per customer × employee × product."""
-    base = mart.fait_ventes.groupBy("client_key", "employe_key", "produit_key").agg(
+    client, employe = ["codecli", "societe"], ["noemp", "nom", "prenom"]
+    produit = ["refprod", "nomprod"]
+    s = mart.sales_of(*[{c: c for c in wanted} for wanted in (produit, client, employe)])
+    g = s.groupBy(*client, *employe, *produit).agg(
         avg_exact(F.col("remise")).alias("remise_moy"),
         F.max("remise").cast("double").alias("remise_max"),
         F.sum("montant_net").alias("ca"))
-    out = (base.join(mart.dim_client.select("client_key", "codecli", "societe"), "client_key")
-           .join(mart.dim_employe.select("employe_key", "noemp", "nom", "prenom"), "employe_key")
-           .join(mart.dim_produit.select("produit_key", "refprod", "nomprod"), "produit_key"))
-    return out.select("codecli", "societe", "noemp", "nom", "prenom", "refprod", "nomprod",
-                      "remise_moy", "remise_max", to_money(F.col("ca")).alias("ca_net"))
+    return g.select(*client, *employe, *produit, "remise_moy", "remise_max", to_money(F.col("ca")).alias("ca_net"))
 
 
 # ----------------------------------------------------------- views, file 2
