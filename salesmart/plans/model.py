@@ -62,7 +62,7 @@ class BuiltMart(Mart):
     order grain. No line is shuffled again, by a key of 16 bytes, to meet a dimension.
     """
 
-    #: ``fait_ventes`` with attributes, and the facts it goes with: a mart whose facts were replaced (a slicer) joins by key.
+    #: ``fait_ventes`` with attributes, and the two facts it goes with: a mart whose facts were replaced (a slicer) joins by key.
     attributed: Callable[[Attributes, Attributes, Attributes], DataFrame]
     built: tuple[DataFrame, DataFrame]
 
